@@ -12,13 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bindings.views import PAGE_LABELS, Tables
 from daymart.functions import dates, numbers, text
 from daymart.operators import calendar, checks, lookback, pick
 from daymart.plans import financials, ledger, marts, portfolio, prices, sentiment
-from daymart.schemas import table_schema
+from daymart.schemas import schema_of
 from daymart.session import shared_dir
 from daymart.sinks import day_partitions, load
 from daymart.sources import day_tables, html, landed_files, payloads
@@ -37,7 +36,7 @@ def query(function: Query) -> Query:
 
 
 def _r4(name: str) -> Column:
-    return F.round(F.col(name).cast("decimal(28,10)"), 4).cast("double").alias(name)
+    return F.round(F.col(name).cast("decimal(28,7)"), 4).cast("double").alias(name)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -319,7 +318,7 @@ def json_extract(t: Tables) -> DataFrame:
 
 @query
 def json_records(t: Tables) -> DataFrame:
-    point = T.StructType.fromDDL("k BIGINT")
+    point = schema_of("k BIGINT")
     rows = t["events"].select(
         "event_id",
         F.format_string('{"data": [%s, %s]}', "props", "props").alias("page"),
@@ -451,7 +450,7 @@ def trading_day_gate(t: Tables) -> DataFrame:
     return calendar.trading_days_only(rows, "day", t["holidays"]).select("o_orderkey", "day", "o_totalprice")
 
 
-LOADED = T.StructType.fromDDL(
+LOADED = schema_of(
     "l_orderkey BIGINT NOT NULL, l_shipdate DATE NOT NULL, l_quantity DOUBLE NOT NULL, "
     "l_linenumber BIGINT, l_returnflag STRING, l_tax DOUBLE"
 )

@@ -28,7 +28,7 @@ LEXICON = {
 
 
 def _raw_statistic(i: int, name: str, kind: str) -> str:
-    n = f"((p_partkey * {17 + i} + p_size * 13 + {i * 101}) % 9973)"
+    n = f"n{i}"
     digits = f"CAST({n} % 1000 AS STRING)"
     text = {
         "number": f"CAST({n} AS DOUBLE) / 100",
@@ -108,7 +108,9 @@ VIEWS: dict[str, str] = {
         SELECT {_DAY.format("(2 * p_partkey) % 30")} AS p_date,
                'S' || CAST(2 * p_partkey AS STRING) || '.SI' AS Ticker,
                {", ".join(_raw_statistic(i, n, k) for i, (n, k) in enumerate(FINANCIALS))}
-        FROM {{part}}""",
+        FROM (SELECT p_partkey, {", ".join(
+            f"(p_partkey * {17 + i} + p_size * 13 + {i * 101}) % 9973 AS n{i}" for i in range(len(FINANCIALS))
+        )} FROM {{part}}) AS numbered""",
     "statistics_pages": """
         SELECT Ticker, '<html><body><table>' || {} || '</table><p>end</p></body></html>' AS html
         FROM {{financials_raw}}""".format(

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 
 def parse_percent(text: Column) -> Column:
     """``'1,234.5%'`` -> 12.345; NULL stays NULL."""
-    digits = F.regexp_replace(F.replace(text, F.lit(","), F.lit("")), r"%+$", "")
+    digits = F.rtrim(F.translate(text, ",", ""), F.lit("%"))
     return digits.try_cast("double") / F.lit(100.0)
 
 
 def parse_magnitude(text: Column) -> Column:
     """``'1.5B'`` -> 1.5e9 with case-sensitive k, M and B; a missing value is 0.0."""
-    unit = F.regexp_extract(text, r"([kMB])$", 1)
-    number = F.regexp_replace(text, r"[kMB]$", "").try_cast("double")
-    scale = F.when(unit == "k", 1e3).when(unit == "M", 1e6).when(unit == "B", 1e9).otherwise(1.0)
-    return F.when(text.isNull(), F.lit(0.0)).otherwise(number * scale)
+    unit = F.right(text, F.lit(1))
+    scale = F.when(unit == "k", 1e3).when(unit == "M", 1e6).when(unit == "B", 1e9)
+    number = F.when(scale.isNull(), text).otherwise(F.left(text, F.length(text) - 1)).try_cast("double")
+    return F.when(text.isNull(), F.lit(0.0)).otherwise(number * F.coalesce(scale, F.lit(1.0)))
 
 
 def parse_ratio(text: Column) -> Column:

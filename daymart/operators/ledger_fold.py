@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.functions.dates import time_slot
-from daymart.session import reliable_checkpoint
+from daymart.session import materialise
 
 CHUNK_ROWS = 1_000_000
 _FIRST, _START, _CHUNK, _SLOT = "_first", "_start", "_chunk", "_slot"
@@ -53,10 +53,10 @@ def accept_flags(
     if chunks.isEmpty():
         return _fold(rows.drop(_SLOT).withColumn(_START, F.lit(0.0)), keys, order, amount, flag)
 
-    chunks = reliable_checkpoint(chunks)
+    chunks = materialise(chunks)
     hot_keys = chunks.select(*keys).distinct()
     cold = rows.join(hot_keys, list(keys), "left_anti").drop(_SLOT).withColumn(_START, F.lit(0.0))
-    hot = reliable_checkpoint(rows.join(chunks, [*keys, _SLOT], "inner").drop(_SLOT))
+    hot = materialise(rows.join(chunks, [*keys, _SLOT], "inner").drop(_SLOT))
     openings = _settle(hot, keys, order, amount)
     parts = [*keys, _CHUNK]
     settled = _fold(hot.join(openings, parts, "inner"), parts, order, amount, flag).drop(_CHUNK)
@@ -179,11 +179,11 @@ def _propose(known: DataFrame, keys, schema: T.StructType) -> DataFrame:
 def _settle(hot: DataFrame, keys, order, amount: str) -> DataFrame:
     parts = [*keys, _CHUNK]
     schema = T.StructType([*[hot.schema[c] for c in parts], T.StructField(_START, T.DoubleType())])
-    known = reliable_checkpoint(_closings(hot.withColumn(_START, F.lit(0.0)), keys, order, amount))
+    known = materialise(_closings(hot.withColumn(_START, F.lit(0.0)), keys, order, amount))
     while True:
-        openings = reliable_checkpoint(_propose(known, keys, schema))
+        openings = materialise(_propose(known, keys, schema))
         changed = openings.join(known, parts).where(F.col(_START) != F.col("opened")).select(*parts, _START)
         if changed.isEmpty():
             return openings
         again = _closings(hot.join(changed, parts, "inner"), keys, order, amount)
-        known = reliable_checkpoint(known.join(changed, parts, "left_anti").unionByName(again))
+        known = materialise(known.join(changed, parts, "left_anti").unionByName(again))

@@ -30,28 +30,38 @@ def financials_raw(pages: DataFrame, ticker: str, page: str, ds: dt.date | str)
     )
 
 
-def _typed(name: str, kind: str) -> Column:
-    value = F.col(name)
-    if kind == "magnitude":
-        value = parse_magnitude(value)
-    elif kind == "percent":
-        value = parse_percent(value)
-    elif kind == "ratio":
-        value = parse_ratio(value)
-    elif kind == "number_ratio":
-        # Already a number when it gets here, and only text counts as a ratio: always NULL.
-        value = F.lit(None).cast("double")
-    elif kind == "text_number":
-        value = value.cast("double")
-    return value.alias(name)
+_PARSERS = {
+    "magnitude": parse_magnitude,
+    "percent": parse_percent,
+    "ratio": parse_ratio,
+    "text_number": lambda value: value.cast("double"),
+}
 
 
 def financials_clean(raw: DataFrame, ds: dt.date | None = None) -> DataFrame:
-    """Raw statistics as numbers; the date-like columns are dropped.  One projection."""
-    typed = on_day(raw, ds).select(
-        "p_date", "Ticker", *[_typed(name, kind) for name, kind in FINANCIALS if kind != "dropped"]
+    """Raw statistics as numbers; the date-like columns are dropped.
+
+    Columns of one kind are parsed as one array.  Fifty parsers side by side would make a
+    generated method too large for the JVM to compile; an array keeps it small.
+    """
+    kept = [(name, kind) for name, kind in FINANCIALS if kind != "dropped"]
+    texts = {k: [name for name, kind in kept if kind == k] for k in _PARSERS}
+    parsed = on_day(raw, ds).select(
+        "p_date",
+        "Ticker",
+        *[name for name, kind in kept if kind == "number"],
+        *[F.transform(F.array(*names), _PARSERS[k]).alias(f"_{k}") for k, names in texts.items()],
     )
-    return enforce(typed, table_schema("financials"))
+
+    def value(name: str, kind: str) -> Column:
+        if kind == "number":
+            return F.col(name)
+        if kind == "number_ratio":
+            # Already a number when it gets here, and only text counts as a ratio: always NULL.
+            return F.lit(None).cast("double").alias(name)
+        return F.col(f"_{kind}")[texts[kind].index(name)].alias(name)
+
+    return enforce(parsed.select("p_date", "Ticker", *[value(*c) for c in kept]), table_schema("financials"))
 
 
 def pivot_key_values(rows: DataFrame, key: str, name: str, value: str, names: list[str]) -> DataFrame:

@@ -132,15 +132,36 @@ FINANCIALS: list[tuple[str, str]] = [tuple(line.split()) for line in _FINANCIALS
 FINANCIAL_MEASURES: list[str] = [name for name, kind in FINANCIALS if kind != "dropped"]
 
 
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "DATE": T.DateType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def schema_of(text: str) -> T.StructType:
+    """``"a BIGINT NOT NULL, b STRING"`` as a schema; needs no running session."""
+    fields = []
+    for column in text.split(","):
+        name, kind, *required = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not required))
+    return T.StructType(fields)
+
+
+def _financials(kept: list[str], kinds: dict[str, str]) -> T.StructType:
+    columns = [f"{name} {kinds.get(name, 'DOUBLE')}" for name in kept]
+    return schema_of(", ".join(["p_date DATE NOT NULL", "Ticker STRING NOT NULL", *columns]))
+
+
 def table_schema(name: str) -> T.StructType:
     if name == "financials_raw":
-        kinds = {"number": "DOUBLE", "number_ratio": "DOUBLE"}
-        columns = [f"{c} {kinds.get(k, 'STRING')}" for c, k in FINANCIALS]
-        return T.StructType.fromDDL("p_date DATE NOT NULL, Ticker STRING NOT NULL, " + ", ".join(columns))
+        texts = {c: "STRING" for c, kind in FINANCIALS if not kind.startswith("number")}
+        return _financials([c for c, _ in FINANCIALS], texts)
     if name == "financials":
-        columns = [f"{c} DOUBLE" for c in FINANCIAL_MEASURES]
-        return T.StructType.fromDDL("p_date DATE NOT NULL, Ticker STRING NOT NULL, " + ", ".join(columns))
-    return T.StructType.fromDDL(" ".join(_TABLES[name].split()))
+        return _financials(FINANCIAL_MEASURES, {})
+    return schema_of(_TABLES[name])
 
 
 TABLE_NAMES = [*_TABLES, "financials_raw", "financials"]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "daymart", master: str | None = None, **conf: object) -> SparkSession:
@@ -46,9 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def reliable_checkpoint(df):
-    """Cut lineage through the shared folder, so that losing an executor loses nothing."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts lineage so that losing an executor loses nothing, and unlike a checkpoint the result
+    is planned with its real size, which loops of joins depend on.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from daymart.functions import dates, numbers, text
 from daymart.operators import calendar, checks, lookback, pick
 from daymart.plans import financials, ledger, marts, portfolio, prices, sentiment
 from daymart.schemas import schema_of
-from daymart.session import shared_dir
+from daymart.session import materialise, shared_dir
 from daymart.sinks import day_partitions, load
 from daymart.sources import day_tables, html, landed_files, payloads
 
@@ -144,9 +144,13 @@ def _snapshot(rows: DataFrame) -> DataFrame:
     return rows.select(*[_r4(c) if c in money else F.col(c) for c in rows.columns])
 
 
+def _validated(t: Tables) -> DataFrame:
+    """The validated ledger as a written table, which is what snapshots read."""
+    return materialise(ledger.validated_ledger(t["ledger_raw"], t["holdings"]))
+
+
 def _literal_snapshot(t: Tables) -> DataFrame:
-    valid = ledger.validated_ledger(t["ledger_raw"], t["holdings"])
-    return portfolio.portfolio_snapshot(valid, t["holdings"], t["stock_prices"])
+    return portfolio.portfolio_snapshot(_validated(t), t["holdings"], t["stock_prices"])
 
 
 @query
@@ -156,8 +160,7 @@ def portfolio_snapshot(t: Tables) -> DataFrame:
 
 @query
 def portfolio_snapshot_intent(t: Tables) -> DataFrame:
-    valid = ledger.validated_ledger(t["ledger_raw"], t["holdings"])
-    return _snapshot(portfolio.portfolio_snapshot_intent(valid, t["holdings"], t["stock_prices"]))
+    return _snapshot(portfolio.portfolio_snapshot_intent(_validated(t), t["holdings"], t["stock_prices"]))
 
 
 @query
@@ -184,21 +187,12 @@ def dedup_keep_first(t: Tables) -> DataFrame:
     return pick.keep_first(t["documents"], ["text", "source"], ["doc_id"]).select("doc_id", "source", "lang")
 
 
-def _clean_posts(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (
-        sentiment.clean_social(t["social"], "seq"),
-        sentiment.clean_news(t["news"], "seq"),
-        sentiment.clean_forum(t["forum"], "seq"),
-    )
-
-
 @query
 def clean_dedup_posts(t: Tables) -> DataFrame:
-    social, news, forum = _clean_posts(t)
     whole = sentiment.union_sources(
-        social.withColumn("kind", F.lit("social")),
-        news.withColumn("kind", F.lit("news")),
-        forum.withColumn("kind", F.lit("forum")),
+        sentiment.social_table(t["social"], "seq").withColumn("kind", F.lit("social")),
+        sentiment.news_table(t["news"], "seq").withColumn("kind", F.lit("news")),
+        sentiment.forum_table(t["forum"], "seq").withColumn("kind", F.lit("forum")),
     )
     return whole.select("kind", "seq", "p_date", "ticker", "source", "title", "description", "content")
 
@@ -228,11 +222,16 @@ def _lexicon(t: Tables) -> DataFrame:
 
 
 def _scored(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    social, news, forum = _clean_posts(t)
+    words, scored = sentiment.prepared_lexicon(_lexicon(t)), sentiment.scored_posts
+    social, news, forum = (
+        sentiment.clean_social(t["social"]),
+        sentiment.clean_news(t["news"]),
+        sentiment.clean_forum(t["forum"]),
+    )
     return (
-        sentiment.score_posts(social, "content", _lexicon(t)),
-        sentiment.score_posts(news, "description", _lexicon(t)),
-        sentiment.score_posts(forum, "title", _lexicon(t), "NLTK_SIA_compound_score"),
+        scored(social, "content", sentiment.SAME_SOCIAL, "seq", words),
+        scored(news, "description", sentiment.SAME_NEWS, "seq", words),
+        scored(forum, "title", sentiment.SAME_FORUM, "seq", words, "NLTK_SIA_compound_score"),
     )
 
 

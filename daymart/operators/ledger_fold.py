@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.functions.dates import time_slot
+from daymart.operators.skew import SPLIT_ROWS, oversized_keys
 from daymart.session import materialise
 
-CHUNK_ROWS = 1_000_000
 _FIRST, _START, _CHUNK, _SLOT = "_first", "_start", "_chunk", "_slot"
 
 
@@ -39,7 +39,7 @@ def accept_flags(
     amount: str,
     time: str,
     flag: str = "Is_Valid",
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int = SPLIT_ROWS,
     slot: str = "minute",
 ) -> DataFrame:
     """Append ``flag``: was the entry accepted?
@@ -48,12 +48,13 @@ def accept_flags(
     later.  Cutting happens between slots only.  The sizes are looked up by one aggregation
     when the function is called.
     """
-    rows = rows.withColumn(_SLOT, time_slot(F.col(time), slot))
-    chunks = _chunk_map(rows, keys, chunk_rows)
-    if chunks.isEmpty():
-        return _fold(rows.drop(_SLOT).withColumn(_START, F.lit(0.0)), keys, order, amount, flag)
+    oversized = oversized_keys(rows, keys, chunk_rows)
+    if oversized is None:
+        return _fold(rows.withColumn(_START, F.lit(0.0)), keys, order, amount, flag)
 
-    chunks = materialise(chunks)
+    rows = rows.withColumn(_SLOT, time_slot(F.col(time), slot))
+    large = rows.join(oversized, list(keys), "left_semi")
+    chunks = materialise(_chunk_map(large, keys, chunk_rows))
     hot_keys = chunks.select(*keys).distinct()
     cold = rows.join(hot_keys, list(keys), "left_anti").drop(_SLOT).withColumn(_START, F.lit(0.0))
     hot = materialise(rows.join(chunks, [*keys, _SLOT], "inner").drop(_SLOT))
@@ -64,11 +65,10 @@ def accept_flags(
 
 
 def _chunk_map(rows: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
-    """Chunk number per time slot, for the keys that need more than one chunk."""
+    """Chunk number per time slot, for the keys that fall into more than one chunk."""
     before = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    oversized = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > chunk_rows).drop("_n")
-    sizes = rows.join(oversized, list(keys), "left_semi").groupBy(*keys, _SLOT).agg(F.count("*").alias("_n"))
+    sizes = rows.groupBy(*keys, _SLOT).agg(F.count("*").alias("_n"))
     return (
         sizes.withColumn(
             _CHUNK, F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(chunk_rows)).cast("long")

@@ -1,10 +1,10 @@
 """Running sums that survive a hot key.
 
 A plain ``SUM() OVER (PARTITION BY key ORDER BY time)`` puts all rows of a key into one
-task.  Sums are associative, so here the key is cut into time buckets: sums per bucket
-(pre-aggregated before the shuffle), a running sum over the few bucket rows, and a window
-within each bucket on top of its opening value.  Rows with equal time stay in one bucket
-and share their result, like the default RANGE frame.
+task, which is the cheapest plan as long as every key is small.  Keys above ``split_rows``
+are cut into time buckets: sums per bucket (pre-aggregated before the shuffle), a running
+sum over the few bucket rows, and a window within each bucket on top of its opening value.
+Rows with equal time share their result either way, like the default RANGE frame.
 """
 
 from __future__ import annotations
@@ -15,11 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import time_slot
-
-
-def _add(opening: Column, inner: Column) -> Column:
-    zero = F.lit(0.0)
-    return F.when(opening.isNotNull() | inner.isNotNull(), F.coalesce(opening, zero) + F.coalesce(inner, zero))
+from daymart.operators.skew import SPLIT_ROWS, oversized_keys
 
 
 def running_sums(
@@ -27,9 +23,32 @@ def running_sums(
     keys: Sequence[str],
     time: str,
     sums: Mapping[str, Column],
-    bucket: str = "hour",
+    bucket: str = "minute",
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Append one running sum per entry of ``sums`` (output name -> summed column).
+
+    The key sizes are looked up when the function is called, so ``rows`` should be a table or
+    something as cheap to read.
+    """
+    within = Window.partitionBy(*keys).orderBy(time)
+    plain = {n: F.sum(c).over(within) for n, c in sums.items()}
+    large = oversized_keys(rows, keys, split_rows)
+    if large is None:
+        return rows.withColumns(plain)
+    cold = rows.join(large, list(keys), "left_anti")
+    hot = rows.join(large, list(keys), "left_semi")
+    return cold.withColumns(plain).unionByName(_bucketed(hot, keys, time, sums, bucket))
+
+
+def _add(opening: Column, inner: Column) -> Column:
+    zero = F.lit(0.0)
+    return F.when(opening.isNotNull() | inner.isNotNull(), F.coalesce(opening, zero) + F.coalesce(inner, zero))
+
+
+def _bucketed(
+    rows: DataFrame, keys: Sequence[str], time: str, sums: Mapping[str, Column], bucket: str
 ) -> DataFrame:
-    """Append one running sum per entry of ``sums`` (output name -> summed column)."""
     slot, inner, opening = "_bucket", "_in_{}", "_open_{}"
     rows = rows.withColumn(slot, time_slot(F.col(time), bucket))
     before = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)

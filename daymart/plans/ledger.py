@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daymart.functions.dates import start_of_time
 from daymart.operators import ledger_fold
+from daymart.operators.skew import SPLIT_ROWS
 from daymart.sources.day_tables import on_day
 
 LEDGER_COLUMNS = ["Analyst", "Ticker", "Price", "Txn_Type", "Amount", "p_date", "Txn_Time"]
@@ -52,7 +53,7 @@ def validated_ledger(
     raw: DataFrame,
     snapshot: DataFrame,
     ds: dt.date | None = None,
-    chunk_rows: int = ledger_fold.CHUNK_ROWS,
+    chunk_rows: int = SPLIT_ROWS,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Entries of the run date that never take a holding below zero, amounts signed."""

@@ -39,17 +39,19 @@ def daily_prices(
     code, so a code that the primary lacks gets NULL prices but keeps its row and volume.
     """
     primary, backup, rates = (on_day(t, ds) for t in (primary, backup, rates))
-    rate = F.col("Rate")
+    rated, rate = with_rate(primary, rates), F.col("Rate")
 
-    currency = primary.select("p_date", F.col("Stock_Code").alias("Ticker"), "Currency")
-    second = with_rate(backup.join(currency, ["p_date", "Ticker"], "left"), rates).select(
+    # The rate, not the currency, is handed to the backup rows: they then stay partitioned by
+    # code from this join to the final one.
+    quoted = rated.select("p_date", F.col("Stock_Code").alias("Ticker"), "Rate")
+    second = backup.join(quoted, ["p_date", "Ticker"], "left").select(
         "p_date",
         F.col("Ticker").alias("Stock_Code"),
         F.col("Ticker").alias("Stock_Name"),
         *[(F.col(c) * rate).alias(c) for c in ("Open", "Close", "High", "Low")],
         "Volume",
     )
-    first = with_rate(primary, rates).select(
+    first = rated.select(
         "p_date",
         "Stock_Code",
         "Stock_Name",

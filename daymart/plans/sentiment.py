@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ POSTS_PER_KEYWORD = 6
 
 # A lexicon of at most this many words travels inside the plan; a larger one is joined.
 INLINE_LEXICON_WORDS = 20_000
+Lexicon = DataFrame | Mapping[str, float]
 
 
 def tag_by_keyword(posts: DataFrame, keyword: str) -> DataFrame:
@@ -79,50 +81,89 @@ def union_sources(*parts: DataFrame) -> DataFrame:
     return whole
 
 
-def clean_social(posts: DataFrame, seq: str) -> DataFrame:
-    """Cleaned posts, first of equal ``(content, ticker, p_date)``; line breaks become spaces."""
-    cleaned = posts.withColumns(
+# The columns on which two texts of a kind count as the same.
+SAME_SOCIAL = ["content", "ticker", "p_date"]
+SAME_NEWS = ["title", "ticker"]
+SAME_FORUM = ["title", "p_date"]
+
+
+def clean_social(posts: DataFrame) -> DataFrame:
+    """Post texts cleaned, and line breaks turned into spaces in every string."""
+    return posts.withColumns(
         {
             "content": one_line(clean_text(F.col("content"))),
             "ticker": one_line(F.col("ticker")),
             "source": one_line(F.col("source")),
         }
     )
-    return keep_first(cleaned, ["content", "ticker", "p_date"], [seq]).select(
-        "p_date", "ticker", "source", "content", seq
-    )
 
 
-def clean_news(news: DataFrame, seq: str) -> DataFrame:
-    """Cleaned news, first of equal ``(title, ticker)``."""
-    cleaned = news.withColumns({c: clean_text(F.col(c)) for c in ("title", "description")})
-    return keep_first(cleaned, ["title", "ticker"], [seq])
+def clean_news(news: DataFrame) -> DataFrame:
+    return news.withColumns({c: clean_text(F.col(c)) for c in ("title", "description")})
+
+
+def clean_forum(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("title", clean_text(F.col("title")))
+
+
+def social_table(posts: DataFrame, seq: str) -> DataFrame:
+    """Cleaned posts, the first of equal ones in ``seq`` order."""
+    first = keep_first(clean_social(posts), SAME_SOCIAL, [seq])
+    return first.select("p_date", "ticker", "source", "content", seq)
+
+
+def news_table(news: DataFrame, seq: str) -> DataFrame:
+    return keep_first(clean_news(news), SAME_NEWS, [seq])
 
 
-def clean_forum(posts: DataFrame, seq: str) -> DataFrame:
-    """Cleaned forum titles, first of equal ``(title, p_date)``."""
-    cleaned = posts.withColumn("title", clean_text(F.col("title")))
-    return keep_first(cleaned, ["title", "p_date"], [seq]).select("source", "title", "p_date", seq)
+def forum_table(posts: DataFrame, seq: str) -> DataFrame:
+    return keep_first(clean_forum(posts), SAME_FORUM, [seq]).select("source", "title", "p_date", seq)
+
+
+def prepared_lexicon(lexicon: DataFrame) -> Lexicon:
+    """A table of ``token, valence``; as a plain mapping if its size is within the bound."""
+    words = lexicon.select("token", "valence").limit(INLINE_LEXICON_WORDS + 1).collect()
+    return {r.token: float(r.valence) for r in words} if len(words) <= INLINE_LEXICON_WORDS else lexicon
 
 
 def score_posts(
-    posts: DataFrame, text: str, lexicon: DataFrame, score: str = "NLTK_score", label: str = "NLTK_sentiment"
+    posts: DataFrame, text: str, lexicon: Lexicon, score: str = "NLTK_score", label: str = "NLTK_sentiment"
 ) -> DataFrame:
     """Append the compound lexicon score of ``text`` and its label.
 
-    ``lexicon`` has ``token, valence``.  Up to ``INLINE_LEXICON_WORDS`` words it becomes part
-    of the expression and every text is scored where it lies.  A larger one is joined to
-    the tokens, and only (row, sum) pairs travel.
+    A lexicon of up to ``INLINE_LEXICON_WORDS`` words becomes part of the expression and every
+    text is scored where it lies.  A larger one is joined to the tokens, and only
+    (text digest, sum) pairs travel.
     """
-    words = lexicon.select("token", "valence").limit(INLINE_LEXICON_WORDS + 1).collect()
-    if len(words) <= INLINE_LEXICON_WORDS:
-        valence = valence_sum(F.col(text), {r.token: float(r.valence) for r in words})
-        scored = posts.withColumn(score, compound(valence))
+    if isinstance(lexicon, DataFrame):
+        lexicon = prepared_lexicon(lexicon)
+    if not isinstance(lexicon, DataFrame):
+        scored = posts.withColumn(score, compound(valence_sum(F.col(text), lexicon)))
     else:
         scored = _score_by_join(posts, text, lexicon, score)
     return scored.withColumn(label, post_label(F.col(score)))
 
 
+def scored_posts(
+    cleaned: DataFrame,
+    text: str,
+    same: list[str],
+    seq: str,
+    lexicon: Lexicon,
+    score: str = "NLTK_score",
+    label: str = "NLTK_sentiment",
+) -> DataFrame:
+    """Scores of the first of equal posts, for reports that do not show the texts.
+
+    ``same`` names the columns on which two posts count as equal.  Equal texts score alike,
+    so scoring may come first, where the texts lie; then only scores and digests of the
+    columns are shuffled to find the copies, and no text is.
+    """
+    scored = score_posts(cleaned, text, lexicon, score, label)
+    digests = {f"_same{i}": F.sha2(F.col(c).cast("string"), 256) for i, c in enumerate(same)}
+    return keep_first(scored.withColumns(digests), list(digests), [seq]).drop(*digests)
+
+
 def _score_by_join(posts: DataFrame, text: str, lexicon: DataFrame, score: str) -> DataFrame:
     """Distinct texts are scored once: tokens meet the lexicon, sums come back by text hash."""
     keyed = posts.withColumn("_key", F.sha2(F.col(text), 256))

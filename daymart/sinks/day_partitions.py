@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import as_date
@@ -32,17 +32,21 @@ def overwrite_days(rows: DataFrame, table: str, days: Iterable[dt.date | str]) -
     lets adaptive execution split a day that is much larger than the others.
     """
     days = sorted({as_date(d) for d in days})
-    wanted = rows.where(F.col("p_date").isin(days)) if days else rows.where(F.lit(False))
+    if not days:
+        return
+    wanted = rows.where(F.col("p_date").isin(days))
+    # Which days got rows is noted while writing; the rows are not computed a second time.
+    seen = Observation("days written")
+    counts = [F.count_if(F.col("p_date") == F.lit(d)).alias(d.isoformat()) for d in days]
     (
-        wanted.hint("rebalance", "p_date")
+        wanted.observe(seen, *counts)
+        .hint("rebalance", "p_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("p_date")
         .parquet(table)
     )
-    spark = rows.sparkSession
-    written = {r.p_date for r in wanted.select("p_date").distinct().collect()}  # at most len(days) rows
-    blank = spark.createDataFrame([], rows.drop("p_date").schema)
+    blank = rows.sparkSession.createDataFrame([], rows.drop("p_date").schema)
     for day in days:
-        if day not in written:
+        if not seen.get[day.isoformat()]:
             overwrite_day(blank, table, day)

@@ -31,9 +31,8 @@ def on_stamp_day(rows: DataFrame, ds: dt.date | str, stamp: str) -> DataFrame:
 
 
 def latest_partition(rows: DataFrame, day: str = "p_date") -> DataFrame:
-    """Rows of the newest day.  The maximum is one row, joined by equality."""
-    newest = rows.agg(F.max(day).alias(day))
-    return rows.join(newest, day, "left_semi")
+    """Rows of the newest day; the maximum is a scalar subquery, which prunes partitions."""
+    return rows.where(F.col(day) == rows.select(F.max(day)).scalar())
 
 
 def query_day(spark: SparkSession, text: str, ds: dt.date | str, **tables: DataFrame) -> DataFrame:

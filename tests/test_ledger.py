@@ -30,7 +30,7 @@ def fold(amounts):
     return accepted
 
 
-def flags(rows, amounts, key="k", chunk_rows=ledger_fold.CHUNK_ROWS):
+def flags(rows, amounts, key="k", chunk_rows=10**6):
     frame = rows(
         "k string, t timestamp_ntz, n bigint, amount double",
         *[(key, at(i), i, float(a)) for i, a in enumerate(amounts)],
@@ -86,13 +86,14 @@ def test_opening_balance_comes_first_and_is_not_emitted(rows):
     assert sorted(every_day) == sorted(got)
 
 
-def test_running_sums_share_ties_and_cross_buckets(rows):
+@pytest.mark.parametrize("split_rows", [1, 4, 100])
+def test_running_sums_share_ties_and_cross_buckets(rows, split_rows):
     frame = rows(
         "k string, t timestamp_ntz, v double",
         ("a", at(1), 5.0), ("a", at(2), -9.0), ("a", at(3), -2.0), ("a", at(3), 4.0), ("a", at(200), 1.0),
         ("a", at(900), None), ("b", at(5), None), ("b", at(70), 2.0),
     )
-    got = running_sums(frame, ["k"], "t", {"s": F.col("v")}).collect()
+    got = running_sums(frame, ["k"], "t", {"s": F.col("v")}, split_rows=split_rows).collect()
     assert sorted(((r.k, r.t, r.s) for r in got), key=repr) == sorted(
         [
             ("a", at(1), 5.0), ("a", at(2), -4.0), ("a", at(3), -2.0), ("a", at(3), -2.0), ("a", at(200), -1.0),
@@ -173,7 +174,7 @@ def test_history_equals_the_daily_runs(spark, rows, tmp_path, seed):
     replayed = backfill.run_days(raw, prices, str(tmp_path / "w"), DAY, last)
     once = _figures(replayed)
     assert once and once == _figures(portfolio.portfolio_history(raw, prices, last))
-    assert once == _figures(portfolio.portfolio_history(raw, prices, last, chunk_rows=3))
+    assert once == _figures(portfolio.portfolio_history(raw, prices, last, split_rows=3))
     backfill.run_day(raw, prices, str(tmp_path / "w"), last)  # rerunning a day changes nothing
     again = spark.read.parquet(str(tmp_path / "w/portfolio_snapshot"))
     assert _figures(again) == once

@@ -13,12 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daymart.plans.sentiment import TICKER_OF_KEYWORD
 from daymart.schemas import FINANCIALS
+from daymart.sources.day_tables import spread
 
 BASE_TABLES = {
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 }
 
+# Tables of long texts and what to spread them by.
+TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
 # A small fixed lexicon of words that occur in the test texts: token, valence.
 LEXICON = {
     "the": 0.1, "of": -0.3, "and": 0.2, "to": -0.2, "in": 0.3, "is": 0.9, "that": -0.7, "for": 1.1,
@@ -185,7 +189,8 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._known:
             if name in BASE_TABLES:
-                self._known[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                rows = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._known[name] = spread(rows, TEXT_TABLES[name]) if name in TEXT_TABLES else rows
             else:
                 text = VIEWS[name].replace("isodow(", "1 + weekday(")
                 self._known[name] = self.spark.sql(text, **{n: self[n] for n in needs(name)})

@@ -138,7 +138,7 @@ def score_posts(
     if isinstance(lexicon, DataFrame):
         lexicon = prepared_lexicon(lexicon)
     if not isinstance(lexicon, DataFrame):
-        scored = posts.withColumn(score, compound(valence_sum(F.col(text), lexicon)))
+        scored = posts.withColumn(score, compound(valence_sum(text, lexicon)))
     else:
         scored = _score_by_join(posts, text, lexicon, score)
     return scored.withColumn(label, post_label(F.col(score)))

@@ -18,6 +18,15 @@ def read_table(spark: SparkSession, table: str, schema: T.StructType | None = No
     return reader.parquet(table)
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a plain file scan, spread over the cluster if the scan has fewer tasks than cores.
+
+    For work that is heavy per row.  Any larger input has enough tasks and is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def on_day(rows: DataFrame, ds: dt.date | str | None, day: str = "p_date") -> DataFrame:
     """Rows of one day, or all rows for ``None``; prunes partitions of a day table."""
     return rows if ds is None else rows.where(F.col(day) == F.lit(as_date(ds)))

@@ -30,7 +30,9 @@ def values(frame):
         (text.clean_text, [
             ("@user123 hi http://x.co/ab @foo–bar, é!\n$5", "123 hi   \n5"),
             ("plain", "plain"),
-            ("tab\tand\x1cfile", "tab\tand\x1cfile"),
+            ("tab\tand\x1cfile\x1f", "tab\tand\x1cfile\x1f"),
+            ("a\x85b\xa0c\u2028d\U0001f600e\x00f\x0bg", "abcdef\x0bg"),
+            ("@@user @é @ https http:// (http://a b)", "      b"),
         ]),
         (text.one_line, [("a\nb\n", "a b ")]),
     ],
@@ -65,12 +67,18 @@ def test_rounding_a_tie(rows):
 def test_score_is_symmetric_and_bounded(rows):
     lexicon = {"good": 1.9, "great": 3.1, "bad": -2.5}
     texts = rows("t string", ("Good good GREAT",), ("bad",), ("nothing here",), ("good bad",), ("",), (None,))
-    got = values(texts.select(text.compound(text.valence_sum(F.col("t"), lexicon))))
+    got = values(texts.select(text.compound(text.valence_sum("t", lexicon))))
     assert got == [0.872, -0.5423, 0.0, -0.1531, 0.0, None]
 
 
+def test_words_with_quotes_and_backslashes(rows):
+    lexicon = {"can't": -1.0, "a\\b": 2.0, "x": 0.5, "`": 0.1}
+    got = values(rows("t string", ("can't a\\b x",)).select(text.valence_sum("t", lexicon)))
+    assert got == [1.5]
+
+
 def test_score_with_an_empty_lexicon(rows):
-    assert values(rows("t string", ("good",)).select(text.compound(text.valence_sum(F.col("t"), {})))) == [0.0]
+    assert values(rows("t string", ("good",)).select(text.compound(text.valence_sum("t", {})))) == [0.0]
 
 
 def test_opening_stamp_sorts_first(rows):

@@ -421,6 +421,23 @@ _add(
     f"""SELECT event_id, {_K} AS k, 'page' AS kind FROM events UNION ALL SELECT event_id, {_K}, 'page' FROM events
     UNION ALL SELECT event_id, {_K}, 'chart' FROM events""",
 )
+_add(
+    "exchange_rate_table",
+    f"""SELECT Currency, CAST('1.' || replace(Currency, 'Brand#', '') AS DOUBLE) AS Rate, {DS} AS p_date
+    FROM (SELECT DISTINCT Currency FROM primary_prices) AS c""",
+    "primary_prices",
+)
+_add(
+    "stock_list_table",
+    f"""SELECT c_mktsegment AS issue, CAST(2024 AS BIGINT) AS "year", c_name AS company_name, c_custkey AS "rank",
+    CAST(0 AS BIGINT) AS adjustment, c_acctbal AS base_score, c_acctbal * 2 AS total_score,
+    'C' || c_custkey AS stock_code, CAST(NULL AS VARCHAR) AS isin_code, {DS} AS p_date FROM customer""",
+)
+_add(
+    "intraday_chart",
+    f"""SELECT value AS lt, event_type AS nc, CAST(event_id AS DOUBLE) AS vl, CAST(NULL AS VARCHAR) AS cur,
+    {DS} AS p_date FROM events""",
+)
 _add(
     "strip_suffix",
     "SELECT p_partkey, 'S' || p_partkey || '.SI' AS ticker, split_part('S' || p_partkey || '.SI', '.', 1) AS code FROM part",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bindings.views import PAGE_LABELS, Tables
 from daymart.functions import dates, numbers, text
 from daymart.operators import calendar, checks, lookback, pick
-from daymart.plans import financials, ledger, marts, portfolio, prices, sentiment
+from daymart.plans import feeds, financials, ledger, marts, portfolio, prices, sentiment
 from daymart.schemas import schema_of
 from daymart.session import materialise, shared_dir
 from daymart.sinks import day_partitions, load
@@ -328,6 +328,35 @@ def json_records(t: Tables) -> DataFrame:
     return listed.unionByName(charted)
 
 
+@query
+def exchange_rate_table(t: Tables) -> DataFrame:
+    used = prices.currencies_in_use(t["primary_prices"]).select("Currency").distinct()
+    rate = F.concat(F.lit("1."), F.replace(F.col("Currency"), F.lit("Brand#"), F.lit("")))
+    body = F.format_string('{"rates": {"2024-01-15": {"SGD": %s}}}', rate)
+    return feeds.exchange_rates(used.withColumn("body", body), "Currency", "body", DS)
+
+
+@query
+def stock_list_table(t: Tables) -> DataFrame:
+    fields = ["issuer", "yr", "nm", "rk", "adj", "base", "total", "code", "isin"]
+    values = [
+        F.col("c_mktsegment"), F.lit(2024), F.col("c_name"), F.col("c_custkey"), F.lit(0), F.col("c_acctbal"),
+        F.col("c_acctbal") * 2, F.concat(F.lit("C"), F.col("c_custkey").cast("string")), F.lit(None).cast("string"),
+    ]
+    entry = F.struct(*[v.alias(n) for n, v in zip(fields, values)])
+    pages = t["customer"].select(F.to_json(F.struct(F.array(entry).alias("data"))).alias("body"))
+    return feeds.stock_list(pages, "body", fields, DS)
+
+
+@query
+def intraday_chart(t: Tables) -> DataFrame:
+    point = F.struct(F.col("value").alias("lt"), F.col("event_type").alias("nc"), F.col("event_id").alias("vl"))
+    body = F.to_json(F.struct(F.struct(F.array(point).alias("intraday")).alias("data")))
+    return feeds.intraday_chart(t["events"].select(body.alias("body")), "body", DS).select(
+        "lt", "nc", "vl", "cur", "p_date"
+    )
+
+
 @query
 def strip_suffix(t: Tables) -> DataFrame:
     code = text.with_suffix(F.concat(F.lit("S"), F.col("p_partkey").cast("string")))

@@ -24,11 +24,12 @@ def partition_label(day: Column) -> Column:
 
 
 def epoch_date(seconds: Column) -> Column:
-    return F.to_date(F.timestamp_seconds(seconds))
+    """The UTC day of an epoch stamp, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int"))
 
 
 def epoch_millis_date(millis: Column) -> Column:
-    return F.to_date(F.timestamp_millis(millis))
+    return epoch_date(F.floor(millis / F.lit(1000)))
 
 
 def start_of_time() -> Column:

@@ -37,10 +37,10 @@ _TABLES = {
         issue STRING, year BIGINT, company_name STRING, rank BIGINT, adjustment BIGINT, base_score DOUBLE,
         total_score DOUBLE, stock_code STRING NOT NULL, isin_code STRING, p_date DATE NOT NULL""",
     "intraday_chart": """
-        cur STRING, pv DOUBLE, bond_dirty_price STRING, trading_time STRING, type STRING, lt DOUBLE,
+        cur STRING, pv DOUBLE, bond_dirty_price STRING, lt DOUBLE, trading_time STRING, type STRING,
         dp STRING, du STRING, dpc STRING, ig STRING, bond_clean_price STRING, ed STRING,
-        change_vs_pc_percentage STRING, h DOUBLE, ptd STRING, l DOUBLE, n STRING, o DOUBLE,
-        change_vs_pc STRING, bond_accrued_interest STRING, v DOUBLE, nc STRING, vl DOUBLE, lf STRING,
+        change_vs_pc_percentage STRING, ptd STRING, h DOUBLE, l DOUBLE, n STRING, o DOUBLE,
+        change_vs_pc STRING, bond_accrued_interest STRING, nc STRING, v DOUBLE, vl DOUBLE, lf STRING,
         bond_date STRING, p_date DATE""",
     "social_posts": "p_date DATE NOT NULL, ticker STRING NOT NULL, source STRING NOT NULL, content STRING NOT NULL",
     "social_scored": """

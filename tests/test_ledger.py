@@ -111,10 +111,11 @@ def _validated(rows):
     )
 
 
-def test_published_figures_keep_their_oddities(rows, spark):
+@pytest.mark.parametrize("split_rows", [1, 10**6])
+def test_published_figures_keep_their_oddities(rows, spark, split_rows):
     prices = rows(PRICES, *[("T", DAY - dt.timedelta(days=n), c) for n, c in ((8, 9.0), (7, 1.0), (1, 2.0), (0, 4.0))])
     empty = spark.createDataFrame([], SNAPSHOT)
-    got = portfolio.portfolio_snapshot(_validated(rows), empty, prices, DAY).collect()
+    got = portfolio.portfolio_snapshot(_validated(rows), empty, prices, DAY, split_rows).collect()
     assert len(got) == 3  # one per close of the last eight days
     assert {r.Amount for r in got} == {14.0}  # the sell was added
     assert {r.Daily_Amount_Change for r in got} == {0.0}

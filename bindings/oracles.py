@@ -22,7 +22,7 @@ def _add(name: str, select: str, *views: str) -> None:
 
 
 def _r4(value: str, name: str | None = None) -> str:
-    return f"CAST(ROUND(CAST({value} AS DECIMAL(28,7)), 4) AS DOUBLE) AS {name or value.split('.')[-1]}"
+    return f"CAST(ROUND(CAST({value} AS DECIMAL(28,6)), 4) AS DOUBLE) AS {name or value.split('.')[-1]}"
 
 
 # ---- prices ---------------------------------------------------------------------------

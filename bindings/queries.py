@@ -36,7 +36,7 @@ def query(function: Query) -> Query:
 
 
 def _r4(name: str) -> Column:
-    return F.round(F.col(name).cast("decimal(28,7)"), 4).cast("double").alias(name)
+    return F.round(F.col(name).cast("decimal(28,6)"), 4).cast("double").alias(name)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -324,6 +324,12 @@ _add(
     WHERE num <= 6""",
     "ledger_raw",
 )
+_add(
+    "newest_per_forum",
+    """SELECT event_type, event_id, ts FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS num FROM events) AS r
+    WHERE num <= 1500""",
+)
 _add(
     "lexicon_sentiment",
     f"""WITH {SCORED}

@@ -217,6 +217,12 @@ def top_n_per_key(t: Tables) -> DataFrame:
     return newest.select("Ticker", "p_date", "Txn_Id", "Txn_Time")
 
 
+@query
+def newest_per_forum(t: Tables) -> DataFrame:
+    newest = sentiment.newest_per_forum(t["events"], "event_type", "ts", "event_id", 1500)
+    return newest.select("event_type", "event_id", "ts")
+
+
 def _lexicon(t: Tables) -> DataFrame:
     return t["lexicon"].select("token", (F.col("weight") / 1000.0).alias("valence"))
 

@@ -102,9 +102,8 @@ def _fold(rows: DataFrame, keys, order, amount: str, flag: str) -> DataFrame:
         total = 0.0
         for batch in batches:
             accepted = []
-            for value, first, start in zip(
-                batch.column(amount).to_pylist(), batch.column("_first").to_pylist(), batch.column("_start").to_pylist()
-            ):
+            figures = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in (amount, "_first", "_start"))
+            for value, first, start in zip(*figures):
                 if first:
                     total = start
                 moved = total + value

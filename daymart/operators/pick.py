@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daymart.functions.dates import time_slot
+
 
 def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row per key in the given order (a total order makes it repeatable).
@@ -22,6 +24,28 @@ def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int, unit: str = "hour") -> DataFrame:
+    """The newest ``n`` rows per key, for an ``n`` in the millions.
+
+    Ranking a key would need all of its rows in one task.  Here rows are counted per time
+    slot; slots that fit into ``n`` as a whole are kept whole, and only the one slot per key
+    in which the limit falls is ranked.
+    """
+    slotted = rows.withColumn("_slot", time_slot(F.col(stamp), unit))
+    newer = Window.partitionBy(*keys).orderBy(F.col("_slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    room = (
+        slotted.groupBy(*keys, "_slot")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_room", F.lit(n) - F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+        .where("_room > 0")
+    )
+    kept = slotted.join(room, [*keys, "_slot"])
+    whole = kept.where(F.col("_n") <= F.col("_room"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(stamp).desc(), F.col(tie)))
+    edge = kept.where(F.col("_n") > F.col("_room")).withColumn("_rank", rank).where("_rank <= _room")
+    return whole.select(*rows.columns).unionByName(edge.select(*rows.columns))
+
+
 def last_values(rows: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
     """The values of each key's latest row, by a hash aggregation instead of a sort."""
     return rows.groupBy(*keys).agg(F.max(time).alias(time), *[F.max_by(v, time).alias(v) for v in values])

@@ -173,7 +173,7 @@ def portfolio_history(
 
     by_day = Window.partitionBy(*holding).orderBy("p_date")
     since_reset = Window.partitionBy(*holding, "_era").orderBy("p_date")
-    day_rows = (
+    day_rows = materialise(
         accepted.groupBy(*holding, "p_date")
         .agg(F.sum(moved).alias("day_amount"), F.sum(value).alias("day_value"))
         .withColumn("close_amount", F.sum("day_amount").over(by_day))

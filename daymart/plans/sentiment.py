@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daymart.functions.numbers import combined_mean, mean_of_micros, micros, round_half_up
 from daymart.functions.text import clean_text, compound, one_line, post_label, ticker_label, tokens, valence_sum
-from daymart.operators.pick import first_n, keep_first
+from daymart.operators.pick import first_n, keep_first, newest_n
 from daymart.sources.day_tables import on_day
 
 # Search word of a post -> ticker it is filed under.
@@ -47,12 +47,13 @@ TICKER_OF_KEYWORD = {
 }
 
 # How stored posts name where they came from, and the posts kept per search
-# word and day (the cap of five lets a sixth through).
+# word and day (the cap of five lets a sixth through) and per forum.
 KEYWORD_SOURCE = "Twitter seachword: "
 FORUM_SOURCE = "Reddit: "
 HASHTAG_SOURCE = "Twitter: #SGX"
 SEARCH_SOURCE = "Twitter seachword: SGX"
 POSTS_PER_KEYWORD = 6
+POSTS_PER_FORUM = 3_000_000
 
 # A lexicon of at most this many words travels inside the plan; a larger one is joined.
 INLINE_LEXICON_WORDS = 20_000
@@ -73,6 +74,11 @@ def newest_per_keyword(
     return first_n(posts, keys, [F.col(stamp).desc(), F.col(tie)], n)
 
 
+def newest_per_forum(posts: DataFrame, forum: str, stamp: str, tie: str, n: int = POSTS_PER_FORUM) -> DataFrame:
+    """At most ``n`` posts per forum, the newest first."""
+    return newest_n(posts, [forum], stamp, tie, n)
+
+
 def union_sources(*parts: DataFrame) -> DataFrame:
     """Posts of several sources; an absent column or an empty source is no obstacle."""
     whole = parts[0]

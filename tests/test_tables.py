@@ -112,6 +112,15 @@ def test_first_copy_stays(rows):
     assert sorted(r.v for r in pick.keep_first(frame, ["k"], ["n"]).collect()) == ["early", "only"]
 
 
+@pytest.mark.parametrize("n", [1, 3, 5, 7, 100])
+def test_newest_rows_across_time_slots(rows, n):
+    stamps = [dt.datetime(2022, 4, 4, h, m) for h, m in ((9, 0), (9, 5), (9, 5), (10, 0), (10, 1), (10, 2), (12, 0))]
+    frame = rows("k string, t timestamp_ntz, i int", *[(k, t, i) for k in "ab" for i, t in enumerate(stamps)])
+    got = pick.newest_n(frame, ["k"], "t", "i", n).collect()
+    order = sorted(range(len(stamps)), key=lambda i: (-stamps[i].timestamp(), i))[:n]
+    assert sorted((r.k, r.i) for r in got) == sorted((k, i) for k in "ab" for i in order)
+
+
 def test_group_limits_run_before_the_shuffle(rows, capsys):
     pick.keep_first(rows("k string, n int", ("a", 1)), ["k"], ["n"]).explain()
     plan = capsys.readouterr().out

@@ -27,24 +27,18 @@ def _r4(value: str, name: str | None = None) -> str:
 
 # ---- prices ---------------------------------------------------------------------------
 
+# All keys first, then both sources next to each other; a row has one rate, so it is applied last.
 DAILY_PRICES = """
-y AS (
-  SELECT b.p_date, b.Ticker, Open * Rate AS Open, High * Rate AS High, Low * Rate AS Low, Close * Rate AS Close, Volume
-  FROM backup_prices b
-  LEFT JOIN (SELECT Currency, Stock_Code, p_date FROM primary_prices) x ON b.Ticker = x.Stock_Code AND b.p_date = x.p_date
-  LEFT JOIN exchange_rates f ON b.p_date = f.p_date AND x.Currency = f.Currency),
-s AS (
-  SELECT p.p_date, Stock_Code, Stock_Name,
-         CASE WHEN Volume = 0 THEN Last * Rate ELSE Open * Rate END AS Open,
-         CASE WHEN Volume = 0 THEN Last * Rate ELSE High * Rate END AS High,
-         CASE WHEN Volume = 0 THEN Last * Rate ELSE Low * Rate END AS Low, Last * Rate AS Last, Volume
-  FROM primary_prices p LEFT JOIN exchange_rates f ON p.p_date = f.p_date AND p.Currency = f.Currency),
+known AS (SELECT p_date, Stock_Code FROM primary_prices UNION SELECT p_date, Ticker FROM backup_prices),
+vendor AS (
+  SELECT p_date, Ticker AS Stock_Code, Open AS o, High AS h, Low AS l, Close AS c, Volume AS v FROM backup_prices),
+rated AS (SELECT * FROM primary_prices LEFT JOIN exchange_rates USING (p_date, Currency)),
 daily AS (
-  SELECT COALESCE(s.p_date, y.p_date) AS p_date, COALESCE(s.Stock_Code, y.Ticker) AS Stock_Code,
-         COALESCE(s.Stock_Name, y.Ticker) AS Stock_Name, COALESCE(s.Open, y.Open) AS Open,
-         COALESCE(s.Last, y.Close) AS Close, COALESCE(s.High, y.High) AS High, COALESCE(s.Low, y.Low) AS Low,
-         COALESCE(s.Volume, y.Volume) AS Volume
-  FROM s FULL OUTER JOIN y ON s.Stock_Code = y.Ticker AND s.p_date = y.p_date)"""
+  SELECT p_date, Stock_Code, ifnull(Stock_Name, Stock_Code) AS Stock_Name,
+         Rate * ifnull(CASE Volume WHEN 0 THEN Last ELSE Open END, o) AS Open, Rate * ifnull(Last, c) AS Close,
+         Rate * ifnull(CASE Volume WHEN 0 THEN Last ELSE High END, h) AS High,
+         Rate * ifnull(CASE Volume WHEN 0 THEN Last ELSE Low END, l) AS Low, ifnull(Volume, v) AS Volume
+  FROM known LEFT JOIN rated USING (p_date, Stock_Code) LEFT JOIN vendor USING (p_date, Stock_Code))"""
 _PRICE_VIEWS = ("primary_prices", "backup_prices", "exchange_rates")
 
 _add("daily_prices", f"WITH {DAILY_PRICES} SELECT * FROM daily", *_PRICE_VIEWS)
@@ -56,12 +50,12 @@ _add(
 )
 _add(
     "priority_merge",
-    """SELECT COALESCE(a.p_date, b.p_date) AS p_date, COALESCE(Stock_Code, Ticker) AS Stock_Code,
-    COALESCE(a.Open, b.Open) AS Open, COALESCE(Last, Close) AS Close, COALESCE(a.High, b.High) AS High,
-    COALESCE(a.Low, b.Low) AS Low, COALESCE(a.Volume, b.Volume) AS Volume
-    FROM primary_prices a FULL OUTER JOIN backup_prices b ON Stock_Code = Ticker AND a.p_date = b.p_date""",
-    "primary_prices", "backup_prices",
-)
+    f"""WITH {DAILY_PRICES}
+    SELECT p_date, Stock_Code, ifnull(Open, o) AS Open, ifnull(Last, c) AS Close, ifnull(High, h) AS High,
+           ifnull(Low, l) AS Low, ifnull(Volume, v) AS Volume
+    FROM known LEFT JOIN primary_prices USING (p_date, Stock_Code) LEFT JOIN vendor USING (p_date, Stock_Code)""",
+    *_PRICE_VIEWS,
+)
 _add("distinct_values", "SELECT p_date, Currency FROM primary_prices GROUP BY ALL", "primary_prices")
 _add(
     "wide_to_long",
@@ -150,29 +144,20 @@ _add(
 
 def _snapshot(moved: str, sold: str, change: str, average: str, diff: str, quotes: str) -> str:
     return f"""{VALID}, {_events("valid")},
-balance AS (
-  SELECT run_date, Analyst, Ticker, SUM({moved}) AS Amount,
-         SUM(CASE WHEN {change} THEN {moved} ELSE 0 END) AS Daily_Amount_Change
-  FROM total GROUP BY ALL),
 run AS (
-  SELECT *, SUM({moved}) OVER w AS ra, SUM(({moved}) * Price) OVER w AS rv FROM total
+  SELECT *, SUM(m) OVER w AS ra, SUM(m * Price) OVER w AS rv
+  FROM (SELECT *, {moved} AS m, {sold} AS s, CAST({change} AS INT) AS counted FROM total) AS t
   WINDOW w AS (PARTITION BY run_date, Analyst, Ticker ORDER BY Txn_Time)),
-realised AS (
-  SELECT run_date, Analyst, Ticker,
-         SUM(CASE WHEN Txn_Type = 'SELL' THEN ({sold}) * (Price - rv / NULLIF(ra, 0)) ELSE 0 END) AS Realised_Gain
+held AS (
+  SELECT run_date, Analyst, Ticker, SUM(m) AS Amount, SUM(m * counted) AS Daily_Amount_Change,
+         SUM(CASE Txn_Type WHEN 'SELL' THEN s * (Price - rv / NULLIF(ra, 0)) ELSE 0 END) AS Realised_Gain,
+         last({average} ORDER BY Txn_Time) AS Avg_Price
   FROM run GROUP BY ALL),
-average AS (
-  SELECT run_date, Analyst, Ticker, {average} AS Avg_Price FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY run_date, Analyst, Ticker ORDER BY Txn_Time DESC) AS num FROM run) AS r
-  WHERE num = 1),
 {quotes},
 snapshot AS (
-  SELECT b.Analyst, b.Ticker, Amount, Daily_Amount_Change, Realised_Gain, ({diff}) * Amount AS Unrealised_Gain,
-         b.run_date AS p_date, Avg_Price
-  FROM balance b
-  LEFT JOIN realised r ON b.run_date = r.run_date AND b.Analyst = r.Analyst AND b.Ticker = r.Ticker
-  LEFT JOIN average a ON b.run_date = a.run_date AND b.Analyst = a.Analyst AND b.Ticker = a.Ticker
-  LEFT JOIN quotes q ON b.run_date = q.run_date AND b.Ticker = q.Stock_Code)"""
+  SELECT Analyst, Ticker, Amount, Daily_Amount_Change, Realised_Gain, ({diff}) * Amount AS Unrealised_Gain,
+         h.run_date AS p_date, Avg_Price
+  FROM held h LEFT JOIN quotes q ON h.run_date = q.run_date AND h.Ticker = q.Stock_Code)"""
 
 
 SNAPSHOT = _snapshot(
@@ -341,7 +326,7 @@ _add(
 _add("sentiment_label", f"SELECT event_id, score, {LABEL} AS post, {OVERALL.format('score')} AS overall FROM scores", "scores")
 _add(
     "combined_mean",
-    """SELECT user_id, p_date, CAST(ROUND(CAST(CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END
+    """SELECT user_id, p_date, CAST(ROUND(CAST(COALESCE((a + b) / 2, a, b)
     AS DECIMAL(28,12)), 5) AS DOUBLE) AS combined FROM (
     SELECT user_id, p_date, CAST(first_sum * 1000 AS DOUBLE) / NULLIF(first_n, 0) / 1000000 AS a,
            CAST(second_sum * 1000 AS DOUBLE) / NULLIF(second_n, 0) / 1000000 AS b FROM two_means) AS m""",
@@ -358,19 +343,21 @@ def _r5(value: str) -> str:
     return f"CAST(ROUND(CAST({value} AS DECIMAL(28,12)), 5) AS DOUBLE)"
 
 
+# Every combination of a day's social, news and forum rows of a listed ticker.
 ROLLUP = f"""{SCORED},
+combos AS (
+  SELECT a.p_date, a.ticker, m.company_name, a.score AS a, b.score AS b, c.score AS c
+  FROM social_scored a JOIN forum_scored c ON c.p_date = a.p_date
+  JOIN master m ON m.stock_code = a.ticker AND m.p_date = a.p_date
+  LEFT JOIN news_scored b ON b.p_date = a.p_date AND b.ticker = a.ticker),
 means AS (
-  SELECT c.p_date, a.ticker, {_mean("a.score")} AS a, {_mean("b.score")} AS b, {_mean("c.score")} AS c
-  FROM social_scored a FULL OUTER JOIN news_scored b ON a.p_date = b.p_date AND a.ticker = b.ticker
-  FULL OUTER JOIN forum_scored c ON a.p_date = c.p_date
-  WHERE c.p_date IS NOT NULL GROUP BY c.p_date, a.ticker),
-temp AS (
-  SELECT p_date, ticker, {_r5("a")} AS avg_twitter_score_ticker, {_r5("b")} AS avg_news_score_ticker,
-         {_r5("CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END")} AS combined_sentiment_score_ticker,
+  SELECT p_date, ticker, company_name, {_mean("a")} AS a, {_mean("b")} AS b, {_mean("c")} AS c FROM combos GROUP BY ALL),
+rounded AS (
+  SELECT p_date, ticker, company_name, {_r5("a")} AS avg_twitter_score_ticker, {_r5("b")} AS avg_news_score_ticker,
+         {_r5("ifnull((a + b) / 2, a)")} AS combined_sentiment_score_ticker,
          {_r5("c")} AS benchmark_score_for_today_market FROM means),
 rollup_rows AS (
-  SELECT t.*, m.company_name, {OVERALL.format("combined_sentiment_score_ticker")} AS overall_sentiment_for_ticker
-  FROM temp t LEFT JOIN master m ON t.ticker = m.stock_code WHERE m.p_date = t.p_date)"""
+  SELECT *, {OVERALL.format("combined_sentiment_score_ticker")} AS overall_sentiment_for_ticker FROM rounded)"""
 _SENTIMENT_VIEWS = (*_POST_VIEWS, "lexicon", "master")
 _add("sentiment_rollup", f"WITH {ROLLUP} SELECT * FROM rollup_rows", *_SENTIMENT_VIEWS)
 _add(
@@ -389,12 +376,12 @@ means AS (
     (SELECT {_mean("n.score")} FROM news_scored n WHERE n.p_date = e.p_date AND n.ticker = e.ticker) AS b,
     (SELECT {_mean("f.score")} FROM forum_scored f WHERE f.p_date = e.p_date) AS c
   FROM either e),
-temp AS (
+rounded AS (
   SELECT p_date, ticker, {_r5("a")} AS avg_twitter_score_ticker, {_r5("b")} AS avg_news_score_ticker,
-         {_r5("CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END")} AS combined_sentiment_score_ticker,
+         {_r5("COALESCE((a + b) / 2, a, b)")} AS combined_sentiment_score_ticker,
          {_r5("c")} AS benchmark_score_for_today_market FROM means)
 SELECT t.*, m.company_name, {OVERALL.format("combined_sentiment_score_ticker")} AS overall_sentiment_for_ticker
-FROM temp t LEFT JOIN master m ON t.ticker = m.stock_code AND m.p_date = t.p_date""",
+FROM rounded t LEFT JOIN master m ON t.ticker = m.stock_code AND m.p_date = t.p_date""",
     *_SENTIMENT_VIEWS,
 )
 
@@ -508,20 +495,22 @@ _add(
     FULL OUTER JOIN financials_raw f ON p.Ticker = f.Ticker""",
     "primary_prices", "financials_raw",
 )
-_MEASURES = ", ".join(
-    "f.Pricebook__mrq_ AS Enterprise_valuerevenue" if n == "Pricebook__mrq_" else f"f.{n}"
+_MEASURES = [
+    ("Pricebook__mrq_ AS Enterprise_valuerevenue" if n == "Pricebook__mrq_" else n)
     for n, k in FINANCIALS
     if k != "dropped" and n != "Enterprise_valuerevenue"
-)
+]
+# Statistics with their prices if any, then the prices that have no statistics.
 _add(
     "mart_prices_financials",
     f"""WITH {DAILY_PRICES}, {CLEAN_FINANCIALS},
-today AS (
-  SELECT f.* FROM financials f
-  LEFT JOIN (SELECT Stock_Code, p_date FROM daily) d ON f.Ticker = d.Stock_Code || '.SI' AND f.p_date = d.p_date)
-SELECT COALESCE(f.p_date, d.p_date) AS p_date, COALESCE(d.Stock_Code, f.Ticker) AS Stock_Code,
-       COALESCE(d.Stock_Name, f.Ticker) AS Stock_Name, d.Open, d.Close, d.High, d.Low, d.Volume, {_MEASURES}
-FROM today f FULL OUTER JOIN daily d ON f.Ticker = d.Stock_Code || '.SI' AND f.p_date = d.p_date""",
+listed AS (SELECT *, Stock_Code || '.SI' AS Ticker FROM daily)
+SELECT p_date, ifnull(Stock_Code, Ticker) AS Stock_Code, ifnull(Stock_Name, Ticker) AS Stock_Name,
+       Open, Close, High, Low, Volume, {", ".join(_MEASURES)}
+FROM financials LEFT JOIN listed USING (p_date, Ticker)
+UNION ALL
+SELECT p_date, Stock_Code, Stock_Name, Open, Close, High, Low, Volume, {", ".join("NULL" for _ in _MEASURES)}
+FROM listed ANTI JOIN financials USING (p_date, Ticker)""",
     *_PRICE_VIEWS, "financials_raw",
 )
 

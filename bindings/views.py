@@ -141,7 +141,7 @@ VIEWS: dict[str, str] = {
         FROM {{documents}} WHERE lang = 'en'""",
     "news": f"""
         SELECT doc_id AS seq, {_DAY.format("n_chars % 30")} AS p_date, source AS ticker,
-               split_part(text, '.', 1) AS title, lang AS source, text AS description
+               text AS title, lang AS source, text AS description
         FROM {{documents}} WHERE lang <> 'en'""",
     "forum": f"""
         SELECT conv_id * 1000 + turn AS seq, role AS source, text AS title,

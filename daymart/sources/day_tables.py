@@ -19,12 +19,14 @@ def read_table(spark: SparkSession, table: str, schema: T.StructType | None = No
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of a plain file scan, spread over the cluster if the scan has fewer tasks than cores.
+    """Rows of a plain file scan, spread over the cluster if the scan keeps less than a quarter
+    of its cores busy.
 
-    For work that is heavy per row.  Any larger input has enough tasks and is left alone.
+    For work that is heavy per row on a few files that cannot be split.  An input with enough
+    tasks is left alone and is not shuffled.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() * 4 <= cores else rows
 
 
 def on_day(rows: DataFrame, ds: dt.date | str | None, day: str = "p_date") -> DataFrame:

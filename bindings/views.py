@@ -20,8 +20,8 @@ BASE_TABLES = {
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 }
 
-# Tables of long texts and what to spread them by.
-TEXT_TABLES = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+# Scans that feed work which is heavy per row, and what to spread them by.
+SPREAD = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id", "wide_part": "p_partkey"}
 
 # A small fixed lexicon of words that occur in the test texts: token, valence.
 LEXICON = {
@@ -108,13 +108,14 @@ VIEWS: dict[str, str] = {
         WHERE (month(o_orderdate) = 1 AND day(o_orderdate) = 1) OR (month(o_orderdate) = 8 AND day(o_orderdate) = 9)
            OR (month(o_orderdate) = 12 AND day(o_orderdate) = 25)""",
     # financial statistics
+    "wide_part": "SELECT p_partkey, p_size FROM {part}",
     "financials_raw": f"""
         SELECT {_DAY.format("(2 * p_partkey) % 30")} AS p_date,
                'S' || CAST(2 * p_partkey AS STRING) || '.SI' AS Ticker,
                {", ".join(_raw_statistic(i, n, k) for i, (n, k) in enumerate(FINANCIALS))}
         FROM (SELECT p_partkey, {", ".join(
             f"(p_partkey * {17 + i} + p_size * 13 + {i * 101}) % 9973 AS n{i}" for i in range(len(FINANCIALS))
-        )} FROM {{part}}) AS numbered""",
+        )} FROM {{wide_part}}) AS numbered""",
     "statistics_pages": """
         SELECT Ticker, '<html><body><table>' || {} || '</table><p>end</p></body></html>' AS html
         FROM {{financials_raw}}""".format(
@@ -190,10 +191,10 @@ class Tables:
         if name not in self._known:
             if name in BASE_TABLES:
                 rows = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-                self._known[name] = spread(rows, TEXT_TABLES[name]) if name in TEXT_TABLES else rows
             else:
                 text = VIEWS[name].replace("isodow(", "1 + weekday(")
-                self._known[name] = self.spark.sql(text, **{n: self[n] for n in needs(name)})
+                rows = self.spark.sql(text, **{n: self[n] for n in needs(name)})
+            self._known[name] = spread(rows, SPREAD[name]) if name in SPREAD else rows
         return self._known[name]
 
 

@@ -18,11 +18,10 @@ from daymart.sources.day_tables import on_day
 def financials_raw(pages: DataFrame, ticker: str, page: str, ds: dt.date | str) -> DataFrame:
     """One row per ticker from all key/value tables of its statistics page.
 
-    Pages that do not parse give NULLs; the caller finds absent tickers with
-    ``checks.missing_keys``.
+    A page without such tables gives no row; ``unreadable_pages`` names its ticker.
     """
     names = [name for name, _ in FINANCIALS]
-    parsed = pages.select(F.col(ticker).alias("Ticker"), html.key_values(F.col(page)).alias("_pairs"))
+    parsed = _parsed(pages, ticker, page).where(F.size("_pairs") > 0)
     wide = parsed.select(F.lit(as_date(ds)).alias("p_date"), "Ticker", *html.wide(F.col("_pairs"), names))
     numbers = [f.name for f in table_schema("financials_raw").fields if f.dataType.simpleString() == "double"]
     return enforce(
@@ -30,6 +29,16 @@ def financials_raw(pages: DataFrame, ticker: str, page: str, ds: dt.date | str)
     )
 
 
+def unreadable_pages(pages: DataFrame, ticker: str, page: str) -> DataFrame:
+    """Tickers whose page holds no statistics."""
+    return _parsed(pages, ticker, page).where(F.size("_pairs") <= 0).select("Ticker")
+
+
+def _parsed(pages: DataFrame, ticker: str, page: str) -> DataFrame:
+    pairs = F.coalesce(html.key_values(F.col(page)), F.array().cast("array<struct<name: string, value: string>>"))
+    return pages.select(F.col(ticker).alias("Ticker"), pairs.alias("_pairs"))
+
+
 _PARSERS = {
     "magnitude": parse_magnitude,
     "percent": parse_percent,

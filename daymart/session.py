@@ -51,8 +51,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage so that losing an executor loses nothing, and unlike a checkpoint the result
-    is planned with its real size, which loops of joins depend on.
+    is planned with its real size, which loops of joins depend on.  The stages of an
+    application share one folder, to be dropped when the application has ended.
     """
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -145,6 +145,26 @@ def test_an_emptied_holding_does_not_fail_the_day(rows, spark):
     assert (got.Amount, got.Realised_Gain, got.Avg_Price, got.Unrealised_Gain) == (0.0, 0.0, None, None)
 
 
+def test_published_figures_replayed_over_days(rows, tmp_path):
+    """Two days by hand: the second opens with one row per close of the first."""
+    next_day = DAY + dt.timedelta(days=1)
+    raw = rows(
+        RAW,
+        (DAY, 1, "BUY", "T", 2.0, 10.0, at(1), 1),
+        (next_day, 1, "SELL", "T", 3.0, 4.0, at(1, next_day), 2),
+        (next_day, 1, "SELL", "T", 3.0, 99.0, at(2, next_day), 3),
+    )
+    prices = rows(PRICES, ("T", DAY - dt.timedelta(days=1), 1.0), ("T", DAY, 2.0))
+    table = backfill.run_days(raw, prices, str(tmp_path / "w"), DAY, next_day, intent=False)
+    first = table.where(F.col("p_date") == F.lit(DAY)).collect()
+    assert len(first) == 2 and {(r.Amount, r.Avg_Price) for r in first} == {(10.0, 0.5)}
+    second = table.where(F.col("p_date") == F.lit(next_day)).collect()
+    # Opening rows of 10 each, and the accepted sell of 4 added once more.
+    assert len(second) == 2 and {(r.Amount, r.Daily_Amount_Change) for r in second} == {(24.0, 20.0)}
+    assert {r.Avg_Price for r in second} == {24.0 / (2 * 10.0 * 0.5 + 4.0 * 3.0)}
+    assert {r.Realised_Gain for r in second} == {-4.0 * (3.0 - 22.0 / 24.0)}
+
+
 def _random_ledger(rows, days, seed):
     generator = random.Random(seed)
     entries = []

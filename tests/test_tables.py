@@ -182,7 +182,11 @@ def test_news_page(rows):
 def test_statistics_page(rows):
     page = "<table><tr><td>Market cap (intra-day)</td><td>1.5B</td></tr><tr><th>Trailing P/E</th><td> 7.5 </td></tr></table>" \
         "<p>x</p><table><tr><td>Short ratio 4</td><td>1.25</td></tr><tr><td>a</td><td>b</td><td>c</td></tr></table>"
-    raw = financials.financials_raw(rows("t string, h string", ("D05.SI", page), ("X", "")), "t", "h", DAY)
+    other = "<table><tr><td>Beta (5Y monthly)</td><td>0.9</td></tr></table>"
+    pages = rows("t string, h string", ("D05.SI", page), ("X", other), ("Y", "<p>none</p>"), ("Z", None))
+    raw = financials.financials_raw(pages, "t", "h", DAY)
+    assert sorted(r.Ticker for r in financials.unreadable_pages(pages, "t", "h").collect()) == ["Y", "Z"]
+    assert raw.count() == 2
     assert raw.schema.names == table_schema("financials_raw").names
     got = {r.Ticker: r for r in raw.collect()}
     assert got["D05.SI"].Market_cap__intra_day_ == "1.5B" and got["D05.SI"].Trailing_PE == 7.5

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,17 +19,21 @@ PRICE_FILE_FIELDS = [
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
-    """Headerless delimited text with a given schema; strings come back trimmed."""
-    rows = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", "false")
-        .option("ignoreLeadingWhiteSpace", "true")
-        .option("ignoreTrailingWhiteSpace", "true")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return trimmed(rows, [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)])
+    """Headerless delimited text with a given schema.
+
+    Padding is stripped, a delimiter at the end of a line is tolerated, and a number or date
+    that cannot be read fails the job.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = trimmed(spark.read.schema(as_text).option("sep", sep).csv(path), as_text.names)
+
+    def typed(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        if not isinstance(field.dataType, T.StringType):
+            value = F.nullif(value, F.lit("")).cast(field.dataType)
+        return value.alias(field.name)
+
+    return rows.select(*[typed(f) for f in schema.fields])
 
 
 def read_price_file(spark: SparkSession, path: str, ds: dt.date | str, table: T.StructType) -> DataFrame:

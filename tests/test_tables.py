@@ -211,13 +211,21 @@ def test_payloads(spark, rows, tmp_path):
 
 
 def test_price_file(spark, tmp_path):
-    line = "2022-04-04;DBS GROUP   ; ;SGD ;36.1;35.5;36;0.2;1200;35.9;36;MAINBOARD ;35.6;43200;D05 ;35.8"
-    (tmp_path / "prices.dat").write_text(line + "\n")
+    line = "2022-04-04;DBS GROUP   ; ;SGD ; 36.1;35.5;36;0.2; 1200;35.9;36;MAINBOARD ;35.6;43200;D05 ;35.8"
+    (tmp_path / "prices.dat").write_text(line + "\n" + line.replace("D05", "U11") + ";\n")
     table = table_schema("primary_prices")
     frame = landed_files.read_price_file(spark, str(tmp_path / "prices.dat"), DAY, table)
-    (got,) = load.enforce(frame, table).collect()
+    got, trailing = sorted(load.enforce(frame, table).collect(), key=lambda r: r.Stock_Code)
+    assert (trailing.Stock_Code, trailing.DClose, trailing.Remarks) == ("U11", 35.8, "")
     assert (got.Stock_Name, got.Stock_Code, got.Currency, got.Volume) == ("DBS GROUP", "D05", "SGD", 1200)
-    assert (got.p_date, got.Trade_Date, got.Last) == (DAY, DAY, 36.0)
+    assert (got.p_date, got.Trade_Date, got.Last, got.High) == (DAY, DAY, 36.0, 36.1)
+
+
+def test_a_bad_number_fails_the_load(spark, tmp_path):
+    (tmp_path / "bad.dat").write_text("1;x\n2;1.5\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        landed_files.read_delimited(spark, str(tmp_path / "bad.dat"), schema).collect()
 
 
 # ---- loads ----------------------------------------------------------------------------

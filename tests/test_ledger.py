@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from daymart.operators import ledger_fold
 from daymart.operators.running import running_sums
-from daymart.plans import backfill, ledger, portfolio
+from daymart.plans import daily, ledger, portfolio
+from daymart.schemas import table_schema
+from daymart.sinks import day_partitions, load
+from daymart.warehouse import Warehouse
 
 RAW = "p_date date, Analyst bigint, Txn_Type string, Ticker string, Price double, Amount double, Txn_Time timestamp_ntz, Txn_Id bigint"
 SNAPSHOT = (
@@ -145,6 +148,25 @@ def test_an_emptied_holding_does_not_fail_the_day(rows, spark):
     assert (got.Amount, got.Realised_Gain, got.Avg_Price, got.Unrealised_Gain) == (0.0, 0.0, None, None)
 
 
+def _replay(raw, prices, folder, first, last, intent):
+    warehouse = Warehouse(raw.sparkSession, str(folder / "w"))
+    names = {f.name for f in table_schema("stock_prices")}
+    quotes = prices.withColumns({n: F.lit(None) for n in names - set(prices.columns)})
+    day_partitions.overwrite_days(
+        load.enforce(quotes, table_schema("stock_prices")),
+        warehouse.path("stock_prices"),
+        [r.p_date for r in prices.select("p_date").distinct().collect()],
+    )
+    daily.run_range(
+        first,
+        last,
+        lambda ds: warehouse.write("ledger_raw", raw.where(F.col("p_date") == F.lit(ds)), ds),
+        lambda ds: daily.run_ledger(warehouse, ds),
+        lambda ds: daily.run_portfolio(warehouse, ds, intent=intent),
+    )
+    return warehouse
+
+
 def test_published_figures_replayed_over_days(rows, tmp_path):
     """Two days by hand: the second opens with one row per close of the first."""
     next_day = DAY + dt.timedelta(days=1)
@@ -155,7 +177,7 @@ def test_published_figures_replayed_over_days(rows, tmp_path):
         (next_day, 1, "SELL", "T", 3.0, 99.0, at(2, next_day), 3),
     )
     prices = rows(PRICES, ("T", DAY - dt.timedelta(days=1), 1.0), ("T", DAY, 2.0))
-    table = backfill.run_days(raw, prices, str(tmp_path / "w"), DAY, next_day, intent=False)
+    table = _replay(raw, prices, tmp_path, DAY, next_day, intent=False).read("portfolio_snapshot")
     first = table.where(F.col("p_date") == F.lit(DAY)).collect()
     assert len(first) == 2 and {(r.Amount, r.Avg_Price) for r in first} == {(10.0, 0.5)}
     second = table.where(F.col("p_date") == F.lit(next_day)).collect()
@@ -192,10 +214,10 @@ def test_history_equals_the_daily_runs(spark, rows, tmp_path, seed):
     raw = _random_ledger(rows, days, seed)
     prices = rows(PRICES, *[(c, DAY + dt.timedelta(days=n), 2.0 + n) for c in ("T", "U") for n in (-3, 0, 2)])
     last = DAY + dt.timedelta(days=days - 1)
-    replayed = backfill.run_days(raw, prices, str(tmp_path / "w"), DAY, last)
-    once = _figures(replayed)
+    warehouse = _replay(raw, prices, tmp_path, DAY, last, intent=True)
+    once = _figures(warehouse.read("portfolio_snapshot"))
     assert once and once == _figures(portfolio.portfolio_history(raw, prices, last))
     assert once == _figures(portfolio.portfolio_history(raw, prices, last, split_rows=3))
-    backfill.run_day(raw, prices, str(tmp_path / "w"), last)  # rerunning a day changes nothing
-    again = spark.read.parquet(str(tmp_path / "w/portfolio_snapshot"))
-    assert _figures(again) == once
+    daily.run_ledger(warehouse, last)  # rerunning a day changes nothing
+    daily.run_portfolio(warehouse, last, intent=True)
+    assert _figures(warehouse.read("portfolio_snapshot")) == once

@@ -41,6 +41,9 @@ def midnight(day: Column) -> Column:
 
 
 def time_slot(stamp: Column, unit: str = "hour") -> Column:
-    """Number of the hour or minute a stamp falls into, the same in every session zone."""
+    """Number of the hour, minute or second a stamp falls into, the same in every session zone."""
     hours = F.unix_date(F.to_date(stamp)).cast("bigint") * 24 + F.hour(stamp)
-    return hours if unit == "hour" else hours * 60 + F.minute(stamp)
+    if unit == "hour":
+        return hours
+    minutes = hours * 60 + F.minute(stamp)
+    return minutes if unit == "minute" else minutes * 60 + F.second(stamp)

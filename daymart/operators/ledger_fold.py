@@ -40,13 +40,13 @@ def accept_flags(
     time: str,
     flag: str = "Is_Valid",
     chunk_rows: int = SPLIT_ROWS,
-    slot: str = "minute",
+    slot: str = "second",
 ) -> DataFrame:
     """Append ``flag``: was the entry accepted?
 
     ``order`` must start with ``time``-compatible columns: entries of a later time slot come
-    later.  Cutting happens between slots only.  The sizes are looked up by one aggregation
-    when the function is called.
+    later.  Cutting happens between slots only, so entries of one second stay together.  The
+    sizes are looked up by one aggregation when the function is called.
     """
     oversized = oversized_keys(rows, keys, chunk_rows)
     if oversized is None:

@@ -20,11 +20,12 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 
 def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+    """The first ``n`` rows per key, for an ``n`` of up to some hundreds (see ``newest_n``)."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int, unit: str = "hour") -> DataFrame:
+def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int, unit: str = "minute") -> DataFrame:
     """The newest ``n`` rows per key, for an ``n`` in the millions.
 
     Ranking a key would need all of its rows in one task.  Here rows are counted per time

@@ -23,7 +23,7 @@ def running_sums(
     keys: Sequence[str],
     time: str,
     sums: Mapping[str, Column],
-    bucket: str = "minute",
+    bucket: str = "second",
     split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Append one running sum per entry of ``sums`` (output name -> summed column).

@@ -92,3 +92,4 @@ def test_time_slots_are_monotone(rows):
     slots = values(frame.select(dates.time_slot(F.col("t"), "minute")))
     assert slots == sorted(slots) and len(set(slots)) == len(stamps)
     assert len(set(values(frame.select(dates.time_slot(F.col("t")))))) == 4
+    assert values(frame.select(dates.time_slot(F.col("t"), "second"))) == [s * 60 for s in slots]

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.functions.dates import time_slot
+from daymart.operators.running import earlier_sums
 from daymart.operators.skew import SPLIT_ROWS, oversized_keys
 from daymart.session import materialise
 
@@ -53,10 +54,8 @@ def accept_flags(
         return _fold(rows.withColumn(_START, F.lit(0.0)), keys, order, amount, flag)
 
     rows = rows.withColumn(_SLOT, time_slot(F.col(time), slot))
-    large = rows.join(oversized, list(keys), "left_semi")
-    chunks = materialise(_chunk_map(large, keys, chunk_rows))
-    hot_keys = chunks.select(*keys).distinct()
-    cold = rows.join(hot_keys, list(keys), "left_anti").drop(_SLOT).withColumn(_START, F.lit(0.0))
+    chunks = _chunk_map(rows.join(oversized, list(keys), "left_semi"), keys, chunk_rows)
+    cold = rows.join(oversized, list(keys), "left_anti").drop(_SLOT).withColumn(_START, F.lit(0.0))
     hot = materialise(rows.join(chunks, [*keys, _SLOT], "inner").drop(_SLOT))
     openings = _settle(hot, keys, order, amount)
     parts = [*keys, _CHUNK]
@@ -65,18 +64,11 @@ def accept_flags(
 
 
 def _chunk_map(rows: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
-    """Chunk number per time slot, for the keys that fall into more than one chunk."""
-    before = Window.partitionBy(*keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    """Chunk number per key and time slot, by the number of earlier rows of the key."""
     sizes = rows.groupBy(*keys, _SLOT).agg(F.count("*").alias("_n"))
-    return (
-        sizes.withColumn(
-            _CHUNK, F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(chunk_rows)).cast("long")
-        )
-        .withColumn("_last", F.max(_CHUNK).over(whole))
-        .where("_last > 0")
-        .select(*keys, _SLOT, _CHUNK)
-    )
+    earlier = earlier_sums(sizes, keys, _SLOT, {"_earlier": "_n"})
+    number = F.floor(F.coalesce(F.col("_earlier"), F.lit(0)) / F.lit(chunk_rows)).cast("long")
+    return earlier.select(*keys, _SLOT, number.alias(_CHUNK))
 
 
 def _ordered(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A plain ``SUM() OVER (PARTITION BY key ORDER BY time)`` puts all rows of a key into one
 task, which is the cheapest plan as long as every key is small.  Keys above ``split_rows``
-are cut into time buckets: sums per bucket (pre-aggregated before the shuffle), a running
-sum over the few bucket rows, and a window within each bucket on top of its opening value.
+are cut into time buckets: sums per bucket (pre-aggregated before the shuffle), running
+sums over the bucket rows, and a window within each bucket on top of its opening value.
 Rows with equal time share their result either way, like the default RANGE frame.
 """
 
@@ -42,25 +42,43 @@ def running_sums(
 
 
 def _add(opening: Column, inner: Column) -> Column:
-    zero = F.lit(0.0)
+    zero = F.lit(0)
     return F.when(opening.isNotNull() | inner.isNotNull(), F.coalesce(opening, zero) + F.coalesce(inner, zero))
 
 
+def earlier_sums(slots: DataFrame, keys: Sequence[str], slot: str, sums: Mapping[str, str]) -> DataFrame:
+    """Per key and slot number, the sum of a column over all earlier slots of the key.
+
+    ``slots`` has one row per key and slot; ``sums`` maps output names to its columns.  The sum
+    is taken within blocks of slots and over the blocks, so that a key's whole history of
+    slots never meets in one task.
+    """
+    blocks = slots.withColumn("_block", F.floor(F.col(slot) / F.lit(3600)))
+    earlier = (Window.unboundedPreceding, -1)
+    of_block = Window.partitionBy(*keys, "_block").orderBy(slot).rowsBetween(*earlier)
+    of_key = Window.partitionBy(*keys).orderBy("_block").rowsBetween(*earlier)
+    openings = (
+        blocks.groupBy(*keys, "_block")
+        .agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()])
+        .select(*keys, "_block", *[F.sum(f"_sum_{n}").over(of_key).alias(f"_open_{n}") for n in sums])
+    )
+    within = blocks.withColumns({f"_in_{n}": F.sum(c).over(of_block) for n, c in sums.items()})
+    return within.join(openings, [*keys, "_block"]).select(
+        *keys, slot, *[_add(F.col(f"_open_{n}"), F.col(f"_in_{n}")).alias(n) for n in sums]
+    )
+
+
 def _bucketed(
     rows: DataFrame, keys: Sequence[str], time: str, sums: Mapping[str, Column], bucket: str
 ) -> DataFrame:
-    slot, inner, opening = "_bucket", "_in_{}", "_open_{}"
+    slot = "_slot"
     rows = rows.withColumn(slot, time_slot(F.col(time), bucket))
-    before = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    openings = (
-        rows.groupBy(*keys, slot)
-        .agg(*[F.sum(c).alias(inner.format(n)) for n, c in sums.items()])
-        .select(*keys, slot, *[F.sum(inner.format(n)).over(before).alias(opening.format(n)) for n in sums])
-    )
+    per_slot = rows.groupBy(*keys, slot).agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
+    openings = earlier_sums(per_slot, keys, slot, {f"_open_{n}": f"_in_{n}" for n in sums})
     within = Window.partitionBy(*keys, slot).orderBy(time)
     return (
         rows.join(openings, [*keys, slot], "left")
-        .withColumns({inner.format(n): F.sum(c).over(within) for n, c in sums.items()})
-        .withColumns({n: _add(F.col(opening.format(n)), F.col(inner.format(n))) for n in sums})
-        .drop(slot, *[inner.format(n) for n in sums], *[opening.format(n) for n in sums])
+        .withColumns({f"_in_{n}": F.sum(c).over(within) for n, c in sums.items()})
+        .withColumns({n: _add(F.col(f"_open_{n}"), F.col(f"_in_{n}")) for n in sums})
+        .drop(slot, *[f"_in_{n}" for n in sums], *[f"_open_{n}" for n in sums])
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import time_slot
+from daymart.operators.running import earlier_sums
 
 
 def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -32,13 +33,13 @@ def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int,
     slot; slots that fit into ``n`` as a whole are kept whole, and only the one slot per key
     in which the limit falls is ranked.
     """
-    slotted = rows.withColumn("_slot", time_slot(F.col(stamp), unit))
-    newer = Window.partitionBy(*keys).orderBy(F.col("_slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    slotted = rows.withColumn("_slot", -time_slot(F.col(stamp), unit))  # newest slot first
+    sizes = slotted.groupBy(*keys, "_slot").agg(F.count("*").alias("_n"))
     room = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_room", F.lit(n) - F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+        earlier_sums(sizes, keys, "_slot", {"_newer": "_n"})
+        .withColumn("_room", F.lit(n) - F.coalesce(F.col("_newer"), F.lit(0)))
         .where("_room > 0")
+        .drop("_newer")
     )
     kept = slotted.join(room, [*keys, "_slot"])
     whole = kept.where(F.col("_n") <= F.col("_room"))

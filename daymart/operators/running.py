@@ -47,7 +47,7 @@ def _add(opening: Column, inner: Column) -> Column:
 
 
 def earlier_sums(slots: DataFrame, keys: Sequence[str], slot: str, sums: Mapping[str, str]) -> DataFrame:
-    """Per key and slot number, the sum of a column over all earlier slots of the key.
+    """Append, per key and slot number, the sum of a column over all earlier slots of the key.
 
     ``slots`` has one row per key and slot; ``sums`` maps output names to its columns.  The sum
     is taken within blocks of slots and over the blocks, so that a key's whole history of
@@ -64,7 +64,7 @@ def earlier_sums(slots: DataFrame, keys: Sequence[str], slot: str, sums: Mapping
     )
     within = blocks.withColumns({f"_in_{n}": F.sum(c).over(of_block) for n, c in sums.items()})
     return within.join(openings, [*keys, "_block"]).select(
-        *keys, slot, *[_add(F.col(f"_open_{n}"), F.col(f"_in_{n}")).alias(n) for n in sums]
+        *slots.columns, *[_add(F.col(f"_open_{n}"), F.col(f"_in_{n}")).alias(n) for n in sums]
     )
 
 
@@ -75,6 +75,7 @@ def _bucketed(
     rows = rows.withColumn(slot, time_slot(F.col(time), bucket))
     per_slot = rows.groupBy(*keys, slot).agg(*[F.sum(c).alias(f"_in_{n}") for n, c in sums.items()])
     openings = earlier_sums(per_slot, keys, slot, {f"_open_{n}": f"_in_{n}" for n in sums})
+    openings = openings.drop(*[f"_in_{n}" for n in sums])
     within = Window.partitionBy(*keys, slot).orderBy(time)
     return (
         rows.join(openings, [*keys, slot], "left")

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.llm import quality_rules
+from daymart.llm import byte_bpe, language, notices, pairwise_quality, quality_rules
 from daymart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _fold(parts: int):
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+def op1_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    taught = table(spark, folder, "labels").filter(_fold(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    model = pairwise_quality.fit(docs, taught)
+    return pairwise_quality.scored(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     m = F.col("m")
     return quality_rules.judged(table(spark, folder, "documents"), "text", "m", keep=["doc_id"]).select(
@@ -21,5 +33,20 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_notices(spark: SparkSession, folder: str) -> DataFrame:
+    return notices.scanned(table(spark, folder, "documents"))
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(_fold(4) != 2))
+    return language.identified(docs, model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.encoded(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+
+
 def bound() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,3 +24,8 @@ def written(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def extended(schema: StructType, ddl: str) -> StructType:
+    """``schema`` and the columns of ``ddl`` behind it."""
+    return StructType(schema.fields + StructType.fromDDL(ddl).fields)

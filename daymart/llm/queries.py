@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.llm import byte_bpe, language, notices, pairwise_quality, quality_rules
+from daymart.llm import byte_bpe, language, notices, pairwise_quality, quality_rules, slack_packing
 from daymart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,5 +48,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encoded(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return slack_packing.packed(table(spark, folder, "documents"), path, with_ids=False)
+
+
 def bound() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.llm import byte_bpe, language, notices, pairwise_quality, quality_rules, slack_packing
+from daymart.llm import byte_bpe, chunk_dedup, language, line_spread, notices, pairwise_quality, quality_rules, slack_packing, spotsigs
 from daymart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,16 @@ def op1_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
     return pairwise_quality.scored(docs, model).select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op2_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return line_spread.cleaned(docs, report=True).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op3_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return chunk_dedup.deduplicated(docs, report=True)
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     m = F.col("m")
     return quality_rules.judged(table(spark, folder, "documents"), "text", "m", keep=["doc_id"]).select(
@@ -53,5 +63,30 @@ def op8_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     return slack_packing.packed(table(spark, folder, "documents"), path, with_ids=False)
 
 
+def op9_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spotsigs.with_next(table(spark, folder, "documents"))
+    changed = rows.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "next_text", F.explode(F.array(spotsigs.edited(F.col("text"), F.col("next_text")))).alias("edited")
+    )
+    marked = changed.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        F.explode(
+            F.array(F.struct(*[spotsigs.signatures(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("next_text", "next"))]))
+        ).alias("s"),
+    )
+    s = F.col("s")
+    return marked.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        spotsigs.fingerprint(s["own"]).alias("fingerprint"),
+        spotsigs.fingerprint(s["new"]).alias("edited_fingerprint"),
+        spotsigs.likeness(s["own"], s["new"]).alias("near_edited"),
+        spotsigs.likeness(s["own"], s["next"]).alias("near_next"),
+    )
+
+
 def bound() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.llm import byte_bpe, chunk_dedup, language, line_spread, notices, pairwise_quality, quality_rules, slack_packing, spotsigs
+from daymart.llm import byte_bpe, chunk_dedup, language, line_spread, minhash_join, notices, pairwise_quality, quality_rules, slack_packing, spotsigs
 from daymart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,5 +88,9 @@ def op9_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_join.grouped(table(spark, folder, "documents"), size=3, percent=85)
+
+
 def bound() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.tables import extended
+from daymart.llm.tables import extended, fresh
 
 RADIUS, MAX = 3, 512
 _RULE = np.arange(1, 257, dtype=np.uint64)
@@ -142,9 +142,10 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", min_wo
     With ``report`` three columns follow: ``n_removed`` (characters), ``spans`` (code points of the original text that went) and
     ``kept_in`` (ids of the documents that keep them, sorted).
     """
-    repeats = repeated_places(docs, id, text).select(F.col("id").alias("_id"), "repeats")
+    key, places = fresh(docs, "_key"), fresh(docs, "_places")
+    repeats = repeated_places(docs, id, text).select(F.col("id").alias(key), F.col("repeats").alias(places))
     position = docs.columns.index(text)
-    joined = docs.join(repeats, docs[f"`{id}`"] == repeats["_id"], "left").drop("_id")
+    joined = docs.join(repeats, docs[f"`{id}`"] == repeats[key], "left").drop(key)
     schema = docs.schema
     if report:
         schema = extended(schema, "n_removed long, spans array<struct<start:long,end:long>>, kept_in array<long>")

@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymart.llm.tables import fresh
+
 EDGE = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
 GAP = "[\\x20\\x09-\\x0D]+"
 
@@ -75,23 +77,24 @@ def cleaned(
     report: bool = False,
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; with ``report`` also ``n_lines`` and ``n_removed``."""
+    key, gone_lines, outcome = (fresh(docs, name) for name in ("_key", "_gone_lines", "_outcome"))
     spread = spread_lines(docs, id, text, site, min_sites, min_words)
     lines = lines_of(docs, id, text, None, 1)
     drop = (
         lines.filter(F.col("words") >= min_words)
         .join(spread.select("line"), "line")
         .groupBy("id")
-        .agg(F.collect_set("line").alias("_drop"))
-        .select(F.col("id").alias("_id"), "_drop")
+        .agg(F.collect_set("line").alias("line"))
+        .select(F.col("id").alias(key), F.col("line").alias(gone_lines))
     )
-    joined = docs.join(drop, docs[f"`{id}`"].eqNullSafe(drop["_id"]), "left").drop("_id")
+    joined = docs.join(drop, docs[f"`{id}`"].eqNullSafe(drop[key]), "left").drop(key)
     raw = F.split(F.col(f"`{text}`"), "\n")
 
     def marked(lines: Column) -> Column:
         return F.transform(
             lines,
             lambda line: F.struct(
-                line.alias("line"), _n_words(line).alias("words"), F.array_contains("_drop", _digest(line)).alias("known")
+                line.alias("line"), _n_words(line).alias("words"), F.array_contains(gone_lines, _digest(line)).alias("known")
             ),
         )
 
@@ -107,14 +110,14 @@ def cleaned(
         )
 
     result = F.when(
-        F.col("_drop").isNotNull(), F.element_at(F.transform(F.array(marked(raw)), judged), 1)
+        F.col(gone_lines).isNotNull(), F.element_at(F.transform(F.array(marked(raw)), judged), 1)
     )
-    frame = joined.withColumn("_result", F.explode(F.array(result)))
-    clean = F.coalesce(F.col("_result")["text"], F.col(f"`{text}`"))
+    frame = joined.withColumn(outcome, F.explode(F.array(result)))
+    clean = F.coalesce(F.col(outcome)["text"], F.col(f"`{text}`"))
     columns = [clean.alias(text) if name == text else F.col(f"`{name}`") for name in docs.columns]
     if report:
         columns += [
             F.coalesce(F.size(raw), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.col("_result")["removed"], F.lit(0)).cast("long").alias("n_removed"),
+            F.coalesce(F.col(outcome)["removed"], F.lit(0)).cast("long").alias("n_removed"),
         ]
     return frame.select(*columns)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.tables import extended, written
+from daymart.llm.tables import extended, fresh, written
 
 COORDINATES = 64
 TABLE = 1 << 20
@@ -332,5 +332,6 @@ def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
 
 def unique_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that a document with a smaller id stands for."""
-    gone = grouped(docs, id, text, size, percent).filter("not kept").select(F.col(id).alias("_gone")).distinct()
-    return docs.join(gone, docs[f"`{id}`"] == gone["_gone"], "left_anti")
+    key = fresh(docs, "_gone")
+    gone = grouped(docs, id, text, size, percent).filter("not kept").select(F.col(f"`{id}`").alias(key)).distinct()
+    return docs.join(gone, docs[f"`{id}`"] == gone[key], "left_anti")

@@ -1,3 +1,52 @@
-"""SQL texts for the operators that SQL can express."""
+"""SQL texts for the operators that SQL can express; the others are tested against brute force."""
 
-ORACLES: dict[str, str] = {}
+_GAP = r"[\x20\x09-\x0D]+"
+
+#: Lines on at least 8 sites go, unless they hold over half of the document's words.
+_LINES = rf"""
+WITH lines AS (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM documents WHERE text IS NOT NULL),
+trimmed AS (
+    SELECT *, regexp_replace(line, '^{_GAP}|{_GAP}$', '', 'g') AS bare,
+           len(list_filter(string_split_regex(line, '{_GAP}'), lambda x: x <> '')) AS words
+    FROM lines),
+spread AS (
+    SELECT bare FROM trimmed WHERE words >= 3 AND source IS NOT NULL
+    GROUP BY bare HAVING count(DISTINCT source) >= 8),
+marked AS (SELECT *, words >= 3 AND bare IN (SELECT bare FROM spread) AS gone FROM trimmed),
+pages AS (
+    SELECT doc_id, sum(words) AS total, coalesce(sum(words) FILTER (gone), 0) AS spread_words, count(*) AS n_lines,
+           count(*) FILTER (gone) AS n_gone, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS rest
+    FROM marked GROUP BY doc_id)
+SELECT d.doc_id,
+       CASE WHEN n_gone > 0 AND spread_words <= 0.5 * total THEN coalesce(rest, '') ELSE d.text END AS text,
+       coalesce(n_lines, 0) AS n_lines,
+       CASE WHEN n_gone > 0 AND spread_words <= 0.5 * total THEN n_gone ELSE 0 END AS n_removed
+FROM documents d LEFT JOIN pages USING (doc_id)
+"""
+
+#: All pairs that share a shingle, counted; then everything reachable.
+_NEAR = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_GAP}'), lambda x: x <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT doc_id, doc_id AS r FROM documents
+    UNION
+    SELECT l.b AS doc_id, reach.r FROM reach JOIN links l ON l.a = reach.doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_line_spread": _LINES, "op10_minhash_join": _NEAR}

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.tables import written
+from daymart.llm.tables import fresh, written
 
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -192,9 +192,7 @@ def judged(
 
 def accepted(docs: DataFrame, text: str = "text", min_posterior: float = 0.9) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns unchanged."""
-    into = "_measures"
-    while into in docs.columns:
-        into = f"_{into}"
+    into = fresh(docs, "_measures")
     frame = measured(docs, text, into)
     model = fit(frame, into)
     return frame.filter(~base_failed(into) & (posterior(model, into) >= min_posterior)).drop(into)

@@ -29,3 +29,11 @@ def written(frame: DataFrame) -> DataFrame:
 def extended(schema: StructType, ddl: str) -> StructType:
     """``schema`` and the columns of ``ddl`` behind it."""
     return StructType(schema.fields + StructType.fromDDL(ddl).fields)
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``docs`` is called so."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -33,7 +33,7 @@ RULES: dict[str, tuple[str, str, str]] = {
     "repeated_lines": ("n_dup_lines / n_lines", "x <= 0.34 and n_lines > 1", "x >= 0.5"),
     "repeated_words": ("n_repeat_words / n_words", "x <= 0.1", "x >= 0.3"),
     "capitals": ("n_capitals / n_letters", "x <= 0.15", "x >= 0.5"),
-    "letters": ("n_letters / word_chars", "x >= 0.88", "x <= 0.75"),
+    "letters": ("n_letters / word_chars", "x >= 0.88", "x <= 0.68"),
     "word_length": ("word_chars / n_words", "x between 3.5 and 7.0", "x < 2.0 or x > 15.0"),
     "variety": ("n_distinct_words / n_words", "x >= 0.55", "x <= 0.25"),
 }
@@ -132,35 +132,40 @@ def base_failed(into: str = "_measures") -> Column:
     return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.8, accuracy: float = 0.8) -> Reliability:
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50, prior: float = 0.5, start: tuple[float, float] = (0.02, 0.4), weight: float = 20.0) -> Reliability:
     """Expectation-maximisation over (votes, count) rows.
 
-    Classes are told apart by the start: a rule is first taken to be right with probability ``accuracy``.
-    A vote that hardly occurs keeps that start, through ``1`` imagined observation.
+    ``start`` is how often a rule that votes is taken to vote bad, on good and on bad texts: a defect is rare among good texts, and
+    a bad text has some of the defects only, so that a good vote says little.  ``weight`` imagined votes keep each rule near it until
+    enough real ones are seen.  Abstentions say nothing.
     """
     rules = list(RULES)
-    rate = {y: [{v: (accuracy if v == y else 1 - accuracy) / 1.0 if v else 1.0 for v in (-1, 0, 1)} for _ in rules] for y in (-1, 1)}
+    classes = dict(zip((1, -1), start))
+    bad = {y: [rate] * len(rules) for y, rate in classes.items()}
     total = sum(count for _, count in patterns)
     for _ in range(rounds if total else 0):
-        weight = {y: 1.0 for y in (-1, 1)}
-        seen = {y: [{v: (accuracy if v == y else 1 - accuracy) if v else 0.5 for v in (-1, 0, 1)} for _ in rules] for y in (-1, 1)}
+        size = {y: 0.0 for y in classes}
+        seen = {y: [[weight * rate, weight] for _ in rules] for y, rate in classes.items()}
         for votes, count in patterns:
             log = {
-                y: math.log(prior if y == 1 else 1 - prior) + sum(math.log(rate[y][j][v]) for j, v in enumerate(votes) if v)
-                for y in (-1, 1)
+                y: math.log(prior if y == 1 else 1 - prior)
+                + sum(math.log(bad[y][j] if v < 0 else 1 - bad[y][j]) for j, v in enumerate(votes) if v)
+                for y in classes
             }
             good = 1 / (1 + math.exp(min(700, log[-1] - log[1])))
             for y, share in ((1, good), (-1, 1 - good)):
-                weight[y] += count * share
+                size[y] += count * share
                 for j, v in enumerate(votes):
-                    seen[y][j][v] += count * share
-        # Among the texts of a class on which the rule votes at all: an abstention says nothing.
-        rate = {
-            y: [{v: r[v] / (r[-1] + r[1]) if v else 1.0 for v in (-1, 0, 1)} for r in seen[y]] for y in (-1, 1)
-        }
-        prior = min(0.999, max(0.001, weight[1] / (weight[1] + weight[-1])))
-    odds = {v: [math.log(rate[1][j][v] / rate[-1][j][v]) for j in range(len(rules))] for v in (-1, 1)}
-    return Reliability(prior, dict(zip(rules, odds[1])), dict(zip(rules, odds[-1])))
+                    if v:
+                        seen[y][j][0] += count * share * (v < 0)
+                        seen[y][j][1] += count * share
+        bad = {y: [n / of for n, of in seen[y]] for y in classes}
+        prior = (size[1] + 1) / (total + 2)
+    return Reliability(
+        prior,
+        {rule: math.log((1 - g) / (1 - b)) for rule, g, b in zip(rules, bad[1], bad[-1])},
+        {rule: math.log(g / b) for rule, g, b in zip(rules, bad[1], bad[-1])},
+    )
 
 
 def fit(frame: DataFrame, into: str = "_measures") -> Reliability:

@@ -24,14 +24,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.tables import fresh
+from daymart.llm.tables import fresh, written
 
-EDGE = "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$"
+SPACE = " \t\n\x0b\x0c\r"
 GAP = "[\\x20\\x09-\\x0D]+"
+WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def _trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, EDGE, "")
+    return F.btrim(line, F.lit(SPACE))
 
 
 def _digest(line: Column) -> Column:
@@ -43,26 +44,28 @@ def _n_words(line: Column) -> Column:
     return F.when(F.element_at(words, 1) == "", F.lit(0)).otherwise(F.size(words))
 
 
-def lines_of(docs: DataFrame, id: str, text: str, site: str | None, min_words: int) -> DataFrame:
-    """``id``, ``line`` (digest), ``words`` and ``site`` of every line with enough words."""
-    keep = [F.col(f"`{id}`").alias("id")] + ([F.col(f"`{site}`").alias("site")] if site else [])
-    lines = docs.select(*keep, F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("_line"))
-    counted = lines.select(*[c for c in lines.columns if c != "_line"], _n_words(F.col("_line")).alias("words"), F.col("_line"))
-    return counted.filter(F.col("words") >= min_words).withColumn("line", _digest(F.col("_line"))).drop("_line")
+def lines_of(docs: DataFrame, id: str, text: str, site: str, min_words: int) -> DataFrame:
+    """``id``, ``site`` and ``line`` (digest) of every line with enough words, written out: three steps read it."""
+    lines = docs.select(
+        F.col(f"`{id}`").alias("id"), F.col(f"`{site}`").cast("string").alias("site"), F.explode(F.split(F.col(f"`{text}`"), "\n")).alias("line")
+    )
+    enough = GAP.join([WORD] * max(min_words, 1))  # looks no further than these words
+    return written(lines.filter(F.col("line").rlike(enough)).withColumn("line", _digest(F.col("line"))))
 
 
-def spread_lines(docs: DataFrame, id: str, text: str, site: str, min_sites: int, min_words: int, precision: int = 12, margin: float = 0.1) -> DataFrame:
+def spread_lines(lines: DataFrame, min_sites: int, precision: int = 12, margin: float = 0.1) -> DataFrame:
     """Digests of the lines on at least ``min_sites`` sites, with the exact number of ``sites``.
 
     The standard error of a sketch is about ``1.04 / sqrt(2 ** precision)``; ``margin`` is over six times that, so that no line
     at the threshold is lost to its estimate.
     """
-    assert margin > 6 * 1.04 / math.sqrt(2**precision) or min_sites < 64
-    lines = lines_of(docs, id, text, site, min_words).filter(F.col("site").isNotNull())
-    # Sites per line and task first: a line that repeats on a site enters its sketch once.
-    sketched = lines.groupBy("line").agg(F.hll_sketch_agg(F.col("site").cast("string"), F.lit(precision)).alias("sketch"))
+    assert margin > 6 * 1.04 / math.sqrt(2**precision)
+    placed = lines.filter(F.col("site").isNotNull())
+    sketched = placed.groupBy("line").agg(F.hll_sketch_agg("site", F.lit(precision)).alias("sketch"))
     near = sketched.filter(F.hll_sketch_estimate("sketch") >= math.floor(min_sites * (1 - margin))).select("line")
-    exact = lines.select("line", "site").join(near, "line", "left_semi").distinct().groupBy("line").agg(F.count("*").alias("sites"))
+    # One row for each line and site before the join, however often the line stands there.
+    pairs = placed.select("line", "site").distinct()
+    exact = pairs.join(near, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites"))
     return exact.filter(F.col("sites") >= min_sites)
 
 
@@ -78,11 +81,10 @@ def cleaned(
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; with ``report`` also ``n_lines`` and ``n_removed``."""
     key, gone_lines, outcome = (fresh(docs, name) for name in ("_key", "_gone_lines", "_outcome"))
-    spread = spread_lines(docs, id, text, site, min_sites, min_words)
-    lines = lines_of(docs, id, text, None, 1)
+    lines = lines_of(docs, id, text, site, min_words)
     drop = (
-        lines.filter(F.col("words") >= min_words)
-        .join(spread.select("line"), "line")
+        lines.select("id", "line")
+        .join(spread_lines(lines, min_sites).select("line"), "line")
         .groupBy("id")
         .agg(F.collect_set("line").alias("line"))
         .select(F.col("id").alias(key), F.col("line").alias(gone_lines))

@@ -29,7 +29,7 @@ def test_lines_on_many_sites_go(make):
 
 def test_sketch_and_exact_counts_agree_at_the_threshold(make):
     rows = [(k * 100 + i, f"line number {k} of all\n{prose(k * 100 + i)}", "en", f"s{i}") for k in range(4, 13) for i in range(k)]
-    found = line_spread.spread_lines(make(rows), "doc_id", "text", "source", 8, 3)
+    found = line_spread.spread_lines(line_spread.lines_of(make(rows), "doc_id", "text", "source", 3), 8)
     assert sorted(r["sites"] for r in found.collect()) == [8, 9, 10, 11, 12]
 
 

@@ -8,7 +8,7 @@ text here takes the plain one.
 from __future__ import annotations
 
 from bindings.views import PAGE_LABELS, with_views
-from daymart.schemas import FINANCIALS
+from daymart.schemas import FINANCIALS, table_schema
 
 DS = "DATE '2024-01-15'"
 LAST = "DATE '2024-01-30'"
@@ -107,6 +107,7 @@ _LEDGER_VIEWS = ("ledger_raw", "holdings")
 
 _add("carry_forward_union", f"WITH {CARRIED} SELECT * FROM carried", *_LEDGER_VIEWS)
 _add("ledger_validate", f"WITH {VALID} SELECT * FROM valid", *_LEDGER_VIEWS)
+_add("ledger_validate_split", f"WITH {VALID} SELECT * FROM valid", *_LEDGER_VIEWS)
 _add(
     "running_position",
     f"""SELECT Txn_Id, Analyst, Ticker, {_r4("Running_Amount")}, {_r4("Running_Value")} FROM (
@@ -428,8 +429,12 @@ _add(
 )
 _add(
     "intraday_chart",
-    f"""SELECT value AS lt, event_type AS nc, CAST(event_id AS DOUBLE) AS vl, CAST(NULL AS VARCHAR) AS cur,
-    {DS} AS p_date FROM events""",
+    "SELECT "
+    + ", ".join(
+        f"CAST(event_id * {i + 1} AS DOUBLE) AS {f.name}" if f.dataType.simpleString() == "double" else f"'{f.name} ' || event_type AS {f.name}"
+        for i, f in enumerate(f for f in table_schema("intraday_chart").fields if f.name != "p_date")
+    )
+    + f", {DS} AS p_date FROM events",
 )
 _add(
     "strip_suffix",
@@ -559,7 +564,7 @@ _add("partition_overwrite", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM
 _add(
     "missing_keys",
     """SELECT c_custkey FROM customer c
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
 )
 _add(
     "missing_partitions",
@@ -567,3 +572,24 @@ _add(
     WHERE NOT EXISTS (SELECT 1 FROM stock_prices s WHERE s.p_date = l.p_date)""",
     "ledger_raw", "stock_prices",
 )
+
+# The same result by another route.
+ORACLES["running_position_split"] = ORACLES["running_position"]
+ORACLES["lexicon_sentiment_joined"] = ORACLES["lexicon_sentiment"]
+
+# Pages: every seventh article has a date that cannot be read, every eleventh page has no statistics.
+_NEWS = """'Part ' || CAST(p_partkey AS VARCHAR) AS title, p_brand AS source, p_type || ' & more' AS description,
+    'T' || CAST(p_size AS VARCHAR) AS ticker, 'http://' || p_brand AS url"""
+_add("news_items", f"SELECT 0 AS item_no, DATE '2024-01-01' + CAST(p_partkey % 30 AS INT) AS p_date, {_NEWS} FROM part WHERE p_partkey % 7 <> 0")
+_add("news_rejects", f"SELECT 0 AS item_no, {_NEWS} FROM part WHERE p_partkey % 7 = 0")
+_add(
+    "financials_raw",
+    f"SELECT {DS} AS p_date, Ticker, " + ", ".join(name for name, _ in FINANCIALS) + " FROM financials_raw WHERE length(Ticker) % 5 <> 0",
+    "financials_raw",
+)
+_add(
+    "financials_rejects",
+    """SELECT Ticker, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS value FROM financials_raw WHERE length(Ticker) % 5 = 0
+    UNION ALL SELECT Ticker, 'Colour', 'blue' FROM financials_raw WHERE length(Ticker) % 5 <> 0""",
+    "financials_raw",
+)

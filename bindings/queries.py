@@ -13,12 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindings.views import PAGE_LABELS, Tables
+from bindings.views import LEXICON, PAGE_LABELS, Tables
 from daymart.functions import dates, numbers, text
 from daymart.operators import calendar, checks, lookback, pick
 from daymart.plans import feeds, financials, ledger, marts, portfolio, prices, sentiment
-from daymart.schemas import schema_of
-from daymart.session import materialise, shared_dir
+from daymart.schemas import schema_of, table_schema
+from daymart.session import shared_dir
 from daymart.sinks import day_partitions, load
 from daymart.sources import day_tables, html, landed_files, payloads
 
@@ -123,10 +123,21 @@ def ledger_validate(t: Tables) -> DataFrame:
 @query
 def running_position(t: Tables) -> DataFrame:
     events = t["ledger_raw"]
-    running = portfolio.running_position(events, ["Analyst", "Ticker"], portfolio.buys_positive())
+    running = portfolio.running_position(events, ["Analyst", "Ticker"], portfolio.buys_positive(), None)
     return running.select("Txn_Id", "Analyst", "Ticker", _r4("Running_Amount"), _r4("Running_Value"))
 
 
+@query
+def running_position_split(t: Tables) -> DataFrame:
+    running = portfolio.running_position(t["ledger_raw"], ["Analyst", "Ticker"], portfolio.buys_positive(), "hour")
+    return running.select("Txn_Id", "Analyst", "Ticker", _r4("Running_Amount"), _r4("Running_Value"))
+
+
+@query
+def ledger_validate_split(t: Tables) -> DataFrame:
+    return ledger.validated_ledger(t["ledger_raw"], t["holdings"], chunk_rows=20)
+
+
 @query
 def signed_balance(t: Tables) -> DataFrame:
     events = portfolio.holdings_events(t["ledger_raw"], t["holdings"])
@@ -136,7 +147,7 @@ def signed_balance(t: Tables) -> DataFrame:
 
 @query
 def last_state(t: Tables) -> DataFrame:
-    return pick.last_values(t["ledger_raw"], ["Analyst", "Ticker"], "Txn_Time", ["Txn_Type", "Amount", "Price"])
+    return pick.last_values(t["ledger_raw"], ["Analyst", "Ticker"], "Txn_Time", ["Txn_Type", "Amount", "Price"], ["Txn_Id"])
 
 
 def _snapshot(rows: DataFrame) -> DataFrame:
@@ -145,8 +156,7 @@ def _snapshot(rows: DataFrame) -> DataFrame:
 
 
 def _validated(t: Tables) -> DataFrame:
-    """The validated ledger as a written table, which is what snapshots read."""
-    return materialise(ledger.validated_ledger(t["ledger_raw"], t["holdings"]))
+    return ledger.validated_ledger(t["ledger_raw"], t["holdings"])
 
 
 def _literal_snapshot(t: Tables) -> DataFrame:
@@ -213,7 +223,7 @@ def keyword_tag(t: Tables) -> DataFrame:
 
 @query
 def top_n_per_key(t: Tables) -> DataFrame:
-    newest = sentiment.newest_per_keyword(t["ledger_raw"], ["Ticker", "p_date"], "Txn_Time", "Txn_Id")
+    newest = sentiment.newest_per_keyword(t["ledger_raw"], ["Ticker", "p_date"], "Txn_Time", "Txn_Id", 6)
     return newest.select("Ticker", "p_date", "Txn_Id", "Txn_Time")
 
 
@@ -227,8 +237,8 @@ def _lexicon(t: Tables) -> DataFrame:
     return t["lexicon"].select("token", (F.col("weight") / 1000.0).alias("valence"))
 
 
-def _scored(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    words, scored = sentiment.prepared_lexicon(_lexicon(t)), sentiment.scored_posts
+def _scored(t: Tables, words: sentiment.Lexicon = LEXICON) -> tuple[DataFrame, DataFrame, DataFrame]:
+    scored = sentiment.scored_posts
     social, news, forum = (
         sentiment.clean_social(t["social"]),
         sentiment.clean_news(t["news"]),
@@ -241,9 +251,7 @@ def _scored(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-@query
-def lexicon_sentiment(t: Tables) -> DataFrame:
-    social, news, forum = _scored(t)
+def _all_scores(social: DataFrame, news: DataFrame, forum: DataFrame) -> DataFrame:
     forum = forum.withColumnRenamed("NLTK_SIA_compound_score", "NLTK_score")
     parts = [
         part.select(F.lit(kind).alias("kind"), "seq", "NLTK_score", "NLTK_sentiment")
@@ -252,6 +260,16 @@ def lexicon_sentiment(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def lexicon_sentiment(t: Tables) -> DataFrame:
+    return _all_scores(*_scored(t))
+
+
+@query
+def lexicon_sentiment_joined(t: Tables) -> DataFrame:
+    return _all_scores(*_scored(t, _lexicon(t)))
+
+
 @query
 def sentiment_label(t: Tables) -> DataFrame:
     score = F.col("score")
@@ -304,6 +322,47 @@ def html_kv_pivot(t: Tables) -> DataFrame:
     )
 
 
+def _news_pages(t: Tables) -> DataFrame:
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 30).cast("int"))
+    published = F.when(F.col("p_partkey") % 7 != 0, F.concat(day.cast("string"), F.lit(" 10:00:00"))).otherwise(F.lit("soon"))
+    article = F.format_string(
+        '<article class="big stocknewsitem"><img src="x" alt="%s"><div class="publisheddate">%s</div>'
+        '<div class="title wide">Part %s</div><div class="description">%s &amp; more</div></article>',
+        F.col("p_brand"), published, F.col("p_partkey").cast("string"), F.col("p_type"),
+    )
+    return t["part"].select(
+        F.concat(F.lit("T"), F.col("p_size").cast("string")).alias("ticker"), F.concat(F.lit("http://"), "p_brand").alias("url"), article.alias("page")
+    )
+
+
+@query
+def news_items(t: Tables) -> DataFrame:
+    return html.news_items(_news_pages(t), "page", "ticker", "url").where("p_date is not null")
+
+
+@query
+def news_rejects(t: Tables) -> DataFrame:
+    return html.news_items(_news_pages(t), "page", "ticker", "url").where("p_date is null").drop("p_date")
+
+
+def _landed_statistics(t: Tables) -> DataFrame:
+    readable = F.length("Ticker") % 5 != 0
+    more = F.replace(F.col("html"), F.lit("</table>"), F.lit("<tr><td>Colour</td><td>blue</td></tr></table>"))
+    return t["statistics_pages"].select("Ticker", F.when(readable, more).otherwise(F.lit("<p>try later</p>")).alias("html"))
+
+
+@query
+def financials_raw(t: Tables) -> DataFrame:
+    return financials.financials_raw(_landed_statistics(t), "Ticker", "html", DS)
+
+
+@query
+def financials_rejects(t: Tables) -> DataFrame:
+    pages, none = _landed_statistics(t), F.lit(None).cast("string")
+    unreadable = financials.unreadable_pages(pages, "Ticker", "html").select("Ticker", none.alias("name"), none.alias("value"))
+    return unreadable.unionByName(financials.unknown_labels(pages, "Ticker", "html"))
+
+
 @query
 def pivot_kv(t: Tables) -> DataFrame:
     kinds = ["click", "error", "purchase", "signup", "view"]
@@ -356,11 +415,15 @@ def stock_list_table(t: Tables) -> DataFrame:
 
 @query
 def intraday_chart(t: Tables) -> DataFrame:
-    point = F.struct(F.col("value").alias("lt"), F.col("event_type").alias("nc"), F.col("event_id").alias("vl"))
-    body = F.to_json(F.struct(F.struct(F.array(point).alias("intraday")).alias("data")))
-    return feeds.intraday_chart(t["events"].select(body.alias("body")), "body", DS).select(
-        "lt", "nc", "vl", "cur", "p_date"
+    fields = [f for f in table_schema("intraday_chart").fields if f.name != "p_date"]
+    point = F.struct(
+        *[
+            (F.col("event_id") * (i + 1) if f.dataType.simpleString() == "double" else F.concat_ws(" ", F.lit(f.name), "event_type")).alias(f.name)
+            for i, f in enumerate(fields)
+        ]
     )
+    body = F.to_json(F.struct(F.struct(F.array(point).alias("intraday")).alias("data")))
+    return feeds.intraday_chart(t["events"].select(body.alias("body")), "body", DS)
 
 
 @query
@@ -458,7 +521,10 @@ def param_scan(t: Tables) -> DataFrame:
 
 @query
 def latest_partition_distinct(t: Tables) -> DataFrame:
-    return day_tables.latest_partition(t["ledger_raw"]).select("Ticker", "p_date").distinct()
+    rows = t["ledger_raw"]
+    table = _scratch(t.spark, "ledger")
+    rows.write.partitionBy("p_date").parquet(table)
+    return day_tables.latest_partition(t.spark, table, rows.schema).select("Ticker", "p_date").distinct()
 
 
 @query
@@ -513,20 +579,25 @@ def delimited_read(t: Tables) -> DataFrame:
 
 @query
 def partition_overwrite(t: Tables) -> DataFrame:
-    """All days written at once, one day emptied, then that day written again."""
+    """All days written at once, one day emptied, a load that fails, then that day written again."""
     rows = t["ledger_raw"].select("Txn_Id", "Analyst", "Ticker", "Amount", "p_date")
     table = _scratch(t.spark, "days")
     days = [FIRST_DAY + dt.timedelta(days=i) for i in range((LAST_DAY - FIRST_DAY).days + 1)]
     day_partitions.overwrite_days(rows, table, days)
     day_partitions.overwrite_day(rows.where(F.lit(False)), table, DS)
+    broken = rows.withColumn("Ticker", F.raise_error(F.lit("a broken load")).cast("string"))
+    try:
+        day_partitions.overwrite_day(day_tables.on_day(broken, DS + dt.timedelta(days=1)), table, DS + dt.timedelta(days=1))
+    except Exception as failure:
+        if "a broken load" not in str(failure):
+            raise
     day_partitions.overwrite_day(day_tables.on_day(rows, DS), table, DS)
     return day_tables.read_table(t.spark, table, rows.schema)
 
 
 @query
 def missing_keys(t: Tables) -> DataFrame:
-    urgent = t["orders"].where(F.col("o_orderpriority") == "1-URGENT").withColumnRenamed("o_custkey", "c_custkey")
-    return checks.missing_keys(t["customer"], urgent, "c_custkey")
+    return checks.missing_keys(t["customer"], t["orders"].withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
 
 
 @query

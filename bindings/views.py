@@ -13,16 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daymart.plans.sentiment import TICKER_OF_KEYWORD
 from daymart.schemas import FINANCIALS
-from daymart.sources.day_tables import spread
 
 BASE_TABLES = {
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 }
 
-# Scans that feed work which is heavy per row, and what to spread them by.
-SPREAD = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id", "wide_part": "p_partkey"}
-
 # A small fixed lexicon of words that occur in the test texts: token, valence.
 LEXICON = {
     "the": 0.1, "of": -0.3, "and": 0.2, "to": -0.2, "in": 0.3, "is": 0.9, "that": -0.7, "for": 1.1,
@@ -49,19 +45,24 @@ def _raw_statistic(i: int, name: str, kind: str) -> str:
 
 
 # Labels as a statistics page prints them, and the column each becomes.
-PAGE_LABELS = {
-    "Market cap (intra-day)": "Market_cap__intra_day_",
-    "Pricebook (mrq)": "Pricebook__mrq_",
-    "52-week change 3": "_52_week_change_3",
-    "S&amp;P500 52-week change 3": "SnP_500__52_week_change_3",
-    "50-day moving average 3": "_50_day_moving_average_3",
-    "200-day moving average 3": "_200_day_moving_average_3",
-    "% held by insiders 1": "percent_held_by_insiders_1",
-    "5 year average dividend yield 4": "_5_year_average_dividend_yield_4",
-    "Last split factor 2": "Last_split_factor_2",
-    "Fiscal year ends": "Fiscal_year_ends",
+_PRINTED = {
+    "Market_cap__intra_day_": "Market cap (intra-day)",
+    "Pricebook__mrq_": "Pricebook (mrq)",
+    "SnP_500__52_week_change_3": "S&amp;P500 52-week change 3",
+    "percent_held_by_insiders_1": "% held by insiders 1",
+    "Fiscal_year_ends": "Fiscal year ends",
 }
 
+
+def _printed(name: str) -> str:
+    """The other labels: the column's name without the underscore that it got for a leading number."""
+    for number in ("52", "50", "200", "5_year"):
+        name = name.replace(f"_{number}", number)
+    return name
+
+
+PAGE_LABELS = {_PRINTED.get(name) or _printed(name): name for name, _ in FINANCIALS}
+
 _DAY = "DATE '2024-01-01' + CAST({} AS INT)"
 
 VIEWS: dict[str, str] = {
@@ -93,7 +94,10 @@ VIEWS: dict[str, str] = {
         SELECT {_DAY.format("p_partkey % 30")} AS p_date, 'S' || CAST(p_partkey AS STRING) AS Stock_Code,
                p_name AS Stock_Name, p_brand AS Currency, p_retailprice AS Last, p_retailprice * 0.98 AS Open,
                p_retailprice * 1.05 AS High, p_retailprice * 0.95 AS Low, CAST(p_size % 7 AS BIGINT) AS Volume
-        FROM {{part}}""",
+        FROM {{part}}
+        UNION ALL
+        SELECT DATE '2024-01-03', 'S0', 'Without a rate', 'Brand#99', 1.0, 1.0, 1.0, 1.0, CAST(1 AS BIGINT)
+        FROM {{region}} WHERE r_regionkey = 0""",
     "backup_prices": f"""
         SELECT {_DAY.format("(2 * p_partkey) % 30")} AS p_date, 'S' || CAST(2 * p_partkey AS STRING) AS Ticker,
                p_retailprice * 0.97 AS Open, p_retailprice * 1.01 AS Close, p_retailprice * 1.06 AS High,
@@ -102,7 +106,7 @@ VIEWS: dict[str, str] = {
     "exchange_rates": """
         SELECT DISTINCT p_date, Currency,
                CAST(500 + 50 * CAST(replace(Currency, 'Brand#', '') AS INT) + day(p_date) AS DOUBLE) / 1000 AS Rate
-        FROM {primary_prices} WHERE Currency <> 'Brand#13'""",
+        FROM {primary_prices} WHERE Currency <> 'Brand#99'""",
     "holidays": """
         SELECT DISTINCT CAST(o_orderdate AS DATE) AS holiday FROM {orders}
         WHERE (month(o_orderdate) = 1 AND day(o_orderdate) = 1) OR (month(o_orderdate) = 8 AND day(o_orderdate) = 9)
@@ -139,11 +143,11 @@ VIEWS: dict[str, str] = {
     "social": f"""
         SELECT doc_id AS seq, {_DAY.format("n_chars % 30")} AS p_date, source AS ticker, lang AS source,
                text AS content
-        FROM {{documents}} WHERE lang = 'en'""",
+        FROM {{documents}}""",
     "news": f"""
         SELECT doc_id AS seq, {_DAY.format("n_chars % 30")} AS p_date, source AS ticker,
                text AS title, lang AS source, text AS description
-        FROM {{documents}} WHERE lang <> 'en'""",
+        FROM {{documents}}""",
     "forum": f"""
         SELECT conv_id * 1000 + turn AS seq, role AS source, text AS title,
                {_DAY.format("conv_id % 7")} AS p_date
@@ -165,10 +169,10 @@ VIEWS: dict[str, str] = {
         SELECT event_id, CAST(event_id % 201 - 100 AS DOUBLE) / 100 AS score FROM {events}""",
     "two_means": """
         SELECT user_id, CAST(ts AS DATE) AS p_date,
-               SUM(CASE WHEN event_type = 'view' THEN event_id % 1000 END) AS first_sum,
-               COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS first_n,
-               SUM(CASE WHEN event_type = 'click' THEN -(event_id % 700) END) AS second_sum,
-               COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS second_n
+               SUM(CASE WHEN event_type IN ('view', 'signup', 'error') THEN event_id % 1000 END) AS first_sum,
+               COUNT(CASE WHEN event_type IN ('view', 'signup', 'error') THEN 1 END) AS first_n,
+               SUM(CASE WHEN event_type NOT IN ('view', 'signup', 'error') THEN -(event_id % 700) END) AS second_sum,
+               COUNT(CASE WHEN event_type NOT IN ('view', 'signup', 'error') THEN 1 END) AS second_n
         FROM {events} GROUP BY user_id, CAST(ts AS DATE)""",
 }
 
@@ -194,7 +198,7 @@ class Tables:
             else:
                 text = VIEWS[name].replace("isodow(", "1 + weekday(")
                 rows = self.spark.sql(text, **{n: self[n] for n in needs(name)})
-            self._known[name] = spread(rows, SPREAD[name]) if name in SPREAD else rows
+            self._known[name] = rows
         return self._known[name]
 
 

@@ -16,7 +16,9 @@ def as_date(ds: dt.date | str) -> dt.date:
 
 
 def parse_stamp(text: Column) -> Column:
-    return F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss"))
+    """``'2024-01-15 09:30:00'`` as a time stamp; NULL for anything else."""
+    shaped = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+    return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 
 def partition_label(day: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -68,13 +69,16 @@ def valence_sum(text: str, lexicon: Mapping[str, float]) -> Column:
     """Sum of the valences of all tokens of the column ``text``, row by row, without a shuffle.
 
     Tokens of equal valence share one hashed ``IN`` set, so a token costs one lookup unless
-    it is in the lexicon.  Sums are kept in thousandths and are therefore exact.
+    it is in the lexicon.  Sums are kept in thousandths, halves rounded away from zero, and are
+    therefore exact; a word without a valence counts nothing.
     """
+    lexicon = {word: valence for word, valence in lexicon.items() if valence is not None}
     if not lexicon:
         return F.when(F.col(text).isNotNull(), F.lit(0.0))
     by_valence: dict[int, list[str]] = {}
     for word, valence in lexicon.items():
-        by_valence.setdefault(round(valence * 1000), []).append(word)
+        thousandths = (Decimal(repr(float(valence))) * 1000).quantize(Decimal(1), ROUND_HALF_UP)
+        by_valence.setdefault(int(thousandths), []).append(word)
     weight = " ".join(f"WHEN t IN ({_quoted(words)}) THEN {w}L" for w, words in by_valence.items())
     hits = f"filter(split(lower(`{text}`), r'\\s+'), t -> t IN ({_quoted(list(lexicon))}))"
     return F.expr(f"aggregate({hits}, 0L, (total, t) -> total + CASE {weight} ELSE 0L END)") / F.lit(1000.0)

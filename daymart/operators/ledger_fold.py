@@ -4,17 +4,19 @@ An entry that would take the running total below zero is skipped, and later entr
 judged without it.  Whether an entry counts therefore depends on every earlier decision,
 which no window sum can express.
 
-Rows are sorted by key and time inside Spark and streamed through one small Arrow step
-that carries only the total, so no group is ever held in memory.  A key with more than
-``chunk_rows`` entries is cut into consecutive chunks that run in parallel:
+Rows are sorted by key and time inside Spark.  A key whose plain running total never goes below zero has every entry
+accepted; that shows in a window, in the JVM.  Only the other keys are streamed through one small Arrow step
+that carries the total, so no group is ever held in memory.
+
+With ``chunk_rows``, a key with more entries than that is cut into consecutive chunks that run in parallel:
 
 1. every chunk runs from a guessed opening total and reports its closing total;
-2. the closing totals are strung together into better openings;
-3. only chunks whose opening changed run again, until none does.
+2. the closing totals are strung together into better openings, and chunks whose opening changed run again;
+3. what is still unsettled after ``ROUNDS`` rounds, from the first such chunk of a key on, is run as one ordered stream.
 
-The first chunk's opening is known, so each round settles at least one more chunk and the
-end state is exactly the sequential one.  A chunk that never came near zero passes any
-larger opening on unchanged, so two or three rounds are usual.
+The first chunk's opening is known, and an opening counts as settled only if the chunk before it ran from a settled one, so the
+result is exactly the sequential one.  A chunk that never came near zero passes any larger opening on unchanged, so
+two rounds are usual; a key that hovers around zero costs two rounds and one pass in order.
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ from pyspark.sql import types as T
 
 from daymart.functions.dates import time_slot
 from daymart.operators.running import earlier_sums
-from daymart.operators.skew import SPLIT_ROWS, oversized_keys
+from daymart.operators.skew import oversized_keys
 from daymart.session import materialise
 
 _FIRST, _START, _CHUNK, _SLOT = "_first", "_start", "_chunk", "_slot"
+ROUNDS = 2
 
 
 def accept_flags(
@@ -40,35 +43,37 @@ def accept_flags(
     amount: str,
     time: str,
     flag: str = "Is_Valid",
-    chunk_rows: int = SPLIT_ROWS,
+    chunk_rows: int | None = None,
     slot: str = "second",
 ) -> DataFrame:
     """Append ``flag``: was the entry accepted?
 
-    ``order`` must start with ``time``-compatible columns: entries of a later time slot come
-    later.  Cutting happens between slots only, so entries of one second stay together.  The
-    sizes are looked up by one aggregation when the function is called.
+    ``order`` must start with ``time``-compatible columns and should be total.  Without ``chunk_rows`` this is a plan only; with
+    it, sizes are looked up and rounds are run when the function is called.
     """
-    oversized = oversized_keys(rows, keys, chunk_rows)
+    oversized = oversized_keys(rows, keys, chunk_rows) if chunk_rows else None
     if oversized is None:
         return _fold(rows.withColumn(_START, F.lit(0.0)), keys, order, amount, flag)
 
-    rows = rows.withColumn(_SLOT, time_slot(F.col(time), slot))
-    chunks = _chunk_map(rows.join(oversized, list(keys), "left_semi"), keys, chunk_rows)
-    cold = rows.join(oversized, list(keys), "left_anti").drop(_SLOT).withColumn(_START, F.lit(0.0))
-    hot = materialise(rows.join(chunks, [*keys, _SLOT], "inner").drop(_SLOT))
+    cold = rows.join(oversized, list(keys), "left_anti").withColumn(_START, F.lit(0.0))
+    hot = materialise(_chunked(rows.join(oversized, list(keys), "left_semi"), keys, order, time, chunk_rows, slot))
     openings = _settle(hot, keys, order, amount)
     parts = [*keys, _CHUNK]
-    settled = _fold(hot.join(openings, parts, "inner"), parts, order, amount, flag).drop(_CHUNK)
-    return _fold(cold, keys, order, amount, flag).unionByName(settled)
+    placed = hot.join(openings, parts, "inner")
+    settled = _fold(placed.where(~F.col("_tail")).drop("_tail"), parts, order, amount, flag)
+    # The rest of a key in one stream: its chunks are all of the same part.
+    tail = _fold(placed.where("_tail").drop("_tail"), keys, [_CHUNK, *order], amount, flag)
+    return _fold(cold, keys, order, amount, flag).unionByName(settled.unionByName(tail).drop(_CHUNK))
 
 
-def _chunk_map(rows: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
-    """Chunk number per key and time slot, by the number of earlier rows of the key."""
-    sizes = rows.groupBy(*keys, _SLOT).agg(F.count("*").alias("_n"))
-    earlier = earlier_sums(sizes, keys, _SLOT, {"_earlier": "_n"})
-    number = F.floor(F.coalesce(F.col("_earlier"), F.lit(0)) / F.lit(chunk_rows)).cast("long")
-    return earlier.select(*keys, _SLOT, number.alias(_CHUNK))
+def _chunked(rows: DataFrame, keys, order, time: str, chunk_rows: int, slot: str) -> DataFrame:
+    """Rows with the number of their chunk, by how many rows of the key come before; a slot is ranked by itself."""
+    slotted = rows.withColumn(_SLOT, time_slot(F.col(time), slot))
+    sizes = slotted.groupBy(*keys, _SLOT).agg(F.count("*").alias("_n"))
+    earlier = earlier_sums(sizes, keys, _SLOT, {"_earlier": "_n"}).drop("_n")
+    rank = F.row_number().over(Window.partitionBy(*keys, _SLOT).orderBy(*order)) - 1
+    number = F.floor((F.coalesce(F.col("_earlier"), F.lit(0)) + rank) / F.lit(chunk_rows)).cast("long")
+    return slotted.join(earlier, [*keys, _SLOT]).withColumn(_CHUNK, number).drop(_SLOT, "_earlier")
 
 
 def _ordered(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -83,6 +88,12 @@ def _ordered(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 def _fold(rows: DataFrame, keys, order, amount: str, flag: str) -> DataFrame:
     ordered = _ordered(rows, keys, order)
+    total = F.first(_START).over(Window.partitionBy(*keys).orderBy(*order)) + F.sum(F.col(amount).cast("double")).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    marked = ordered.withColumn("_total", total).withColumn("_lowest", F.min("_total").over(Window.partitionBy(*keys)))
+    covered = marked.where("_lowest >= 0").drop("_total", "_lowest", _FIRST, _START).withColumn(flag, F.lit(True))
+    ordered = marked.where(F.coalesce(F.col("_lowest") < 0, F.lit(True))).drop("_total", "_lowest")
     kept = [f for f in ordered.schema.fields if f.name not in (_FIRST, _START)]
     schema = T.StructType([*kept, T.StructField(flag, T.BooleanType(), False)])
     names = [f.name for f in kept]
@@ -105,7 +116,7 @@ def _fold(rows: DataFrame, keys, order, amount: str, flag: str) -> DataFrame:
             columns = [batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(accepted, pa.bool_())], [*names, flag])
 
-    return ordered.mapInArrow(step, schema)
+    return covered.unionByName(ordered.mapInArrow(step, schema))
 
 
 def _closings(rows: DataFrame, keys, order, amount: str) -> DataFrame:
@@ -168,13 +179,24 @@ def _propose(known: DataFrame, keys, schema: T.StructType) -> DataFrame:
 
 
 def _settle(hot: DataFrame, keys, order, amount: str) -> DataFrame:
+    """Per key and chunk: the opening, and whether it belongs to the tail that has to be run in order.
+
+    Chunks of a tail all carry the opening of its first chunk, which is settled.
+    """
     parts = [*keys, _CHUNK]
     schema = T.StructType([*[hot.schema[c] for c in parts], T.StructField(_START, T.DoubleType())])
     known = materialise(_closings(hot.withColumn(_START, F.lit(0.0)), keys, order, amount))
-    while True:
+    for _ in range(ROUNDS):
         openings = materialise(_propose(known, keys, schema))
         changed = openings.join(known, parts).where(F.col(_START) != F.col("opened")).select(*parts, _START)
         if changed.isEmpty():
-            return openings
+            return openings.withColumn("_tail", F.lit(False))
         again = _closings(hot.join(changed, parts, "inner"), keys, order, amount)
         known = materialise(known.join(changed, parts, "left_anti").unionByName(again))
+    openings = materialise(_propose(known, keys, schema))
+    changed = openings.join(known, parts).where(F.col(_START) != F.col("opened"))
+    first = changed.groupBy(*keys).agg(F.min(_CHUNK).alias("_from"), F.min_by(_START, _CHUNK).alias("_opening"))
+    tail = F.coalesce(F.col(_CHUNK) >= F.col("_from"), F.lit(False))
+    return openings.join(first, list(keys), "left").select(
+        *parts, F.when(tail, F.col("_opening")).otherwise(F.col(_START)).alias(_START), tail.alias("_tail")
+    )

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymart.functions.dates import time_slot
 from daymart.operators.running import earlier_sums
@@ -21,9 +22,14 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 
 def first_n(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first ``n`` rows per key, for an ``n`` of up to some hundreds (see ``newest_n``)."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    """The first ``n`` rows per key, for an ``n`` of up to some hundreds (see ``newest_n``).
+
+    Rows meet by the digests of text keys, so no text is hashed, compared or sorted in the shuffle.
+    """
+    digests = {f"_digest{i}": F.sha2(F.col(k), 256) for i, k in enumerate(keys) if isinstance(rows.schema[k].dataType, T.StringType)}
+    by = [f"_digest{i}" if f"_digest{i}" in digests else k for i, k in enumerate(keys)]
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return rows.withColumns(digests).withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank", *digests)
 
 
 def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int, unit: str = "minute") -> DataFrame:
@@ -48,6 +54,10 @@ def newest_n(rows: DataFrame, keys: Sequence[str], stamp: str, tie: str, n: int,
     return whole.select(*rows.columns).unionByName(edge.select(*rows.columns))
 
 
-def last_values(rows: DataFrame, keys: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
-    """The values of each key's latest row, by a hash aggregation instead of a sort."""
-    return rows.groupBy(*keys).agg(F.max(time).alias(time), *[F.max_by(v, time).alias(v) for v in values])
+def last_values(rows: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+    """The values of each key's latest row, all from the same row, by an aggregation instead of a sort.
+
+    Rows of the same time are ordered by ``tie`` and then by the values, so that the result is repeatable.
+    """
+    last = F.max(F.struct(time, *tie, *values)).alias("_last")
+    return rows.groupBy(*keys).agg(last).select(*keys, *[F.col("_last")[c].alias(c) for c in (time, *values)])

@@ -1,10 +1,11 @@
 """Running sums that survive a hot key.
 
-A plain ``SUM() OVER (PARTITION BY key ORDER BY time)`` puts all rows of a key into one
-task, which is the cheapest plan as long as every key is small.  Keys above ``split_rows``
-are cut into time buckets: sums per bucket (pre-aggregated before the shuffle), running
-sums over the bucket rows, and a window within each bucket on top of its opening value.
-Rows with equal time share their result either way, like the default RANGE frame.
+A plain ``SUM() OVER (PARTITION BY key ORDER BY time)`` puts all rows of a key into one task.  Here a key is cut into time
+buckets: sums per bucket (pre-aggregated before the shuffle), running sums over the bucket rows, and a window within each
+bucket on top of its opening value.  ``bucket=None`` takes the plain window, for keys known to be small.
+
+Sums are taken in whole units of ``10 ** -DIGITS``, so they are exact and the same on either route, in any order of rows;
+rows with equal time share their result, like the default RANGE frame.
 """
 
 from __future__ import annotations
@@ -15,30 +16,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import time_slot
-from daymart.operators.skew import SPLIT_ROWS, oversized_keys
+
+DIGITS = 8
+UNIT = 10**DIGITS
+
+
+def _units(value: Column) -> Column:
+    """A number in whole units of ``10 ** -DIGITS``; sums and sums of sums of these lose nothing."""
+    return (value.cast("double").cast(f"decimal(28,{DIGITS})") * F.lit(UNIT)).cast("decimal(28,0)")
 
 
 def running_sums(
-    rows: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    sums: Mapping[str, Column],
-    bucket: str = "second",
-    split_rows: int = SPLIT_ROWS,
+    rows: DataFrame, keys: Sequence[str], time: str, sums: Mapping[str, Column], bucket: str | None = "minute"
 ) -> DataFrame:
-    """Append one running sum per entry of ``sums`` (output name -> summed column).
-
-    The key sizes are looked up when the function is called, so ``rows`` should be a table or
-    something as cheap to read.
-    """
-    within = Window.partitionBy(*keys).orderBy(time)
-    plain = {n: F.sum(c).over(within) for n, c in sums.items()}
-    large = oversized_keys(rows, keys, split_rows)
-    if large is None:
-        return rows.withColumns(plain)
-    cold = rows.join(large, list(keys), "left_anti")
-    hot = rows.join(large, list(keys), "left_semi")
-    return cold.withColumns(plain).unionByName(_bucketed(hot, keys, time, sums, bucket))
+    """Append one running sum per entry of ``sums`` (output name -> summed column), as doubles."""
+    exact = {n: _units(c) for n, c in sums.items()}
+    if bucket is None:
+        within = Window.partitionBy(*keys).orderBy(time)
+        summed = rows.withColumns({n: F.sum(c).over(within) for n, c in exact.items()})
+    else:
+        summed = _bucketed(rows, keys, time, exact, bucket)
+    return summed.withColumns({n: F.col(n).cast("double") / F.lit(float(UNIT)) for n in sums})
 
 
 def _add(opening: Column, inner: Column) -> Column:

@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from daymart.session import materialise
 
-SPLIT_ROWS = 1_000_000
-
 
 def oversized_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or ``None``; runs one pre-aggregated count.
+    """Keys with more than ``limit`` rows, or ``None``; runs one pre-aggregated count, once.
 
     There are at most (all rows / ``limit``) of them.
     """
     large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).drop("_n")
-    return None if large.isEmpty() else materialise(large)
+    stored = materialise(large)
+    return None if stored.isEmpty() else stored

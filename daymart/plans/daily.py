@@ -1,8 +1,9 @@
 """What runs each day, and reruns of a range of days.
 
-Every step reads partitions, computes one frame and replaces one partition, so it can be
-repeated at any time with the same result.  The order within a day is the order of the
-functions here; only ledger and portfolio also need the day before.
+Every step first checks that the days it reads were written (a day without rows counts, a day that never was does not),
+reads partitions, computes one frame and replaces one partition, so it can be repeated at any time with the same result.  The
+order within a day is the order of the functions here; only ledger and portfolio also need the day before, unless the
+day is named as the first one.  What an ingest step cannot use goes to a ``*_rejects`` table of the same day.
 """
 
 from __future__ import annotations
@@ -13,62 +14,156 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.plans import marts, sentiment
-from daymart.plans.financials import financials_clean
+from daymart.functions.dates import epoch_date
+from daymart.operators.checks import split_rejects
+from daymart.plans import feeds, financials, marts, sentiment
 from daymart.plans.ledger import validated_ledger
 from daymart.plans.portfolio import portfolio_snapshot, portfolio_snapshot_intent
 from daymart.plans.prices import daily_prices
+from daymart.schemas import table_schema
+from daymart.sources import landed_files
 from daymart.sources.day_tables import on_day
+from daymart.sources.html import news_items
+from daymart.sources.payloads import dated_rate
 from daymart.warehouse import Warehouse
 
 
+def _rejects(warehouse: Warehouse, name: str, rows: DataFrame, ds: dt.date) -> None:
+    warehouse.write_mart(name, rows.withColumn("p_date", F.lit(ds)), ds)
+
+
+def ingest_prices(warehouse: Warehouse, path: str, holidays: DataFrame, ds: dt.date) -> None:
+    """The exchange's landed price file."""
+    rows = landed_files.read_price_file(warehouse.spark, path, ds, table_schema("primary_prices"))
+    warehouse.write("primary_prices", feeds.primary_prices(rows, holidays), ds)
+
+
+def ingest_backup_prices(warehouse: Warehouse, wide: DataFrame, tickers: list[str], holidays: DataFrame, ds: dt.date) -> None:
+    warehouse.write("backup_prices", feeds.backup_prices(wide, tickers, ds, holidays), ds)
+
+
+def ingest_rates(warehouse: Warehouse, payloads: DataFrame, currency: str, payload: str, ds: dt.date) -> None:
+    """Rates of the day; currencies whose payload has none are rejects."""
+    rated = payloads.select(
+        F.col(currency).alias("Currency"), F.col(payload).alias("payload"), dated_rate(F.col(payload), F.lit(ds)).alias("Rate")
+    )
+    warehouse.write("exchange_rates", rated.where("Rate is not null").select("Currency", "Rate", F.lit(ds).alias("p_date")), ds)
+    _rejects(warehouse, "exchange_rates_rejects", rated.where("Rate is null").select("Currency", "payload"), ds)
+
+
+def ingest_stock_list(warehouse: Warehouse, path: str, fields: list[str], ds: dt.date) -> None:
+    """All landed pages of the security list."""
+    pages = landed_files.read_pages(warehouse.spark, path)
+    warehouse.write("stock_list", feeds.stock_list(pages, "payload", fields, ds), ds)
+
+
+def ingest_charts(warehouse: Warehouse, path: str, ds: dt.date) -> None:
+    pages = landed_files.read_pages(warehouse.spark, path)
+    warehouse.write("intraday_chart", feeds.intraday_chart(pages, "payload", ds), ds)
+
+
+def ingest_financials(warehouse: Warehouse, pages: DataFrame, ticker: str, page: str, ds: dt.date) -> None:
+    """Statistics pages; pages without statistics and statistics without a column are rejects."""
+    warehouse.write("financials_raw", financials.financials_raw(pages, ticker, page, ds), ds)
+    none = F.lit(None).cast("string")
+    unreadable = financials.unreadable_pages(pages, ticker, page).select("Ticker", none.alias("name"), none.alias("value"))
+    _rejects(warehouse, "financials_rejects", unreadable.unionByName(financials.unknown_labels(pages, ticker, page)), ds)
+
+
+def ingest_social(warehouse: Warehouse, posts: DataFrame, ds: dt.date, newest: int | None = None) -> None:
+    """Posts found by search words (``keyword, content, created, seq``) to the day's clean table; with ``newest``
+    only that many of each word."""
+    today = on_day(posts.withColumn("p_date", F.to_date("created")), ds)
+    if newest is not None:
+        today = sentiment.newest_per_keyword(today, ["keyword", "p_date"], "created", "seq", newest)
+    tagged = sentiment.tag_by_keyword(today, "keyword")
+    complete, incomplete = split_rejects(tagged, ["ticker", "content"])
+    warehouse.write("social_posts", sentiment.social_table(complete, "seq"), ds)
+    _rejects(warehouse, "social_rejects", incomplete.select("keyword", "content", "seq"), ds)
+
+
+def ingest_news(warehouse: Warehouse, pages: DataFrame, html: str, ticker: str, url: str, ds: dt.date) -> None:
+    """News pages to the day's clean table; items whose date cannot be read are rejects."""
+    found = news_items(pages, html, ticker, url)
+    first = sentiment.news_table(on_day(found, ds), "url", "item_no")
+    warehouse.write("news_items", first, ds)
+    _rejects(warehouse, "news_rejects", found.where("p_date is null").drop("p_date"), ds)
+
+
+def ingest_forum(warehouse: Warehouse, posts: DataFrame, tagged: DataFrame, ds: dt.date) -> None:
+    """Forum posts (``forum, title, seconds``) and posts under the hashtag (``content, created``) to one clean table.
+
+    The earliest of equal texts of the day stays.
+    """
+    stamp = F.timestamp_seconds("seconds").cast("timestamp_ntz")
+    forum = posts.select(
+        F.concat(F.lit(sentiment.FORUM_SOURCE), "forum").alias("source"), "title", epoch_date(F.col("seconds")).alias("p_date"),
+        stamp.alias("created"),
+    )
+    hashtag = tagged.select(
+        F.lit(sentiment.HASHTAG_SOURCE).alias("source"), F.col("content").alias("title"), F.to_date("created").alias("p_date"), "created"
+    )
+    rows = on_day(sentiment.union_sources(forum, hashtag), ds)
+    complete, incomplete = split_rejects(rows, ["source", "title"])
+    warehouse.write("forum_posts", sentiment.forum_table(complete, "created", "source"), ds)
+    _rejects(warehouse, "forum_rejects", incomplete.select("source", "title", "created"), ds)
+
+
 def run_prices(warehouse: Warehouse, ds: dt.date) -> None:
-    sources = (warehouse.read(n, ds) for n in ("primary_prices", "backup_prices", "exchange_rates"))
-    warehouse.write("stock_prices", daily_prices(*sources, ds), ds)
+    names = ("primary_prices", "backup_prices", "exchange_rates")
+    warehouse.require(*((n, ds) for n in names))
+    warehouse.write("stock_prices", daily_prices(*(warehouse.read(n, ds) for n in names), ds), ds)
 
 
 def run_financials(warehouse: Warehouse, ds: dt.date) -> None:
-    warehouse.write("financials", financials_clean(warehouse.read("financials_raw", ds), ds), ds)
+    warehouse.require(("financials_raw", ds), ("stock_prices", ds))
+    warehouse.write("financials", financials.financials_clean(warehouse.read("financials_raw", ds), ds), ds)
     mart = marts.mart_prices_financials(warehouse.read("stock_prices", ds), warehouse.read("financials", ds), ds)
     warehouse.write_mart("mart_prices_financials", mart, ds)
 
 
-def run_ledger(warehouse: Warehouse, ds: dt.date) -> None:
-    yesterday = warehouse.read("portfolio_snapshot", ds - dt.timedelta(days=1))
-    warehouse.write("ledger", validated_ledger(warehouse.read("ledger_raw", ds), yesterday, ds), ds)
+def _yesterday(warehouse: Warehouse, ds: dt.date, first_day: dt.date | None, *needed: str) -> DataFrame:
+    before = ds - dt.timedelta(days=1)
+    starts = ds == first_day
+    warehouse.require(*((n, ds) for n in needed), *([] if starts else [("portfolio_snapshot", before)]))
+    return warehouse.read("portfolio_snapshot", before, allow_absent=starts)
+
+
+def run_ledger(warehouse: Warehouse, ds: dt.date, first_day: dt.date | None = None, chunk_rows: int | None = 1_000_000) -> None:
+    """``first_day`` names the start of history, the only day that needs no snapshot before it; holdings with more
+    than ``chunk_rows`` entries on the day are validated in parallel chunks."""
+    yesterday = _yesterday(warehouse, ds, first_day, "ledger_raw")
+    warehouse.write("ledger", validated_ledger(warehouse.read("ledger_raw", ds), yesterday, ds, chunk_rows), ds)
 
 
 def run_portfolio(
-    warehouse: Warehouse, ds: dt.date, employees: DataFrame | None = None, intent: bool = False
+    warehouse: Warehouse,
+    ds: dt.date,
+    employees: DataFrame | None = None,
+    intent: bool = False,
+    first_day: dt.date | None = None,
 ) -> None:
     """Snapshot from the day's validated ledger and yesterday's snapshot, which is read back
-    from its partition: lineage never grows with the number of days."""
-    yesterday = warehouse.read("portfolio_snapshot", ds - dt.timedelta(days=1))
+    from its partition: lineage never grows with the number of days.  Prices may be absent on any day."""
+    yesterday = _yesterday(warehouse, ds, first_day, "ledger")
     snapshot = portfolio_snapshot_intent if intent else portfolio_snapshot
-    rows = snapshot(warehouse.read("ledger", ds), yesterday, warehouse.read("stock_prices"), ds)
-    warehouse.write("portfolio_snapshot", rows, ds)
+    prices = warehouse.read("stock_prices", allow_absent=True)
+    warehouse.write("portfolio_snapshot", snapshot(warehouse.read("ledger", ds), yesterday, prices, ds), ds)
     if employees is not None:
         mart = marts.mart_portfolio(warehouse.read("portfolio_snapshot", ds), employees, ds)
         warehouse.write_mart("mart_portfolio", mart, ds)
 
 
-def ingest_social(warehouse: Warehouse, posts: DataFrame, ds: dt.date) -> None:
-    """Posts found by search words (``keyword, content, created, seq``) to the day's clean table."""
-    today = on_day(posts.withColumn("p_date", F.to_date("created")), ds)
-    newest = sentiment.newest_per_keyword(today, ["keyword", "p_date"], "created", "seq")
-    tagged = sentiment.tag_by_keyword(newest, "keyword")
-    warehouse.write("social_posts", sentiment.social_table(tagged, "seq"), ds)
-
-
 def run_sentiment(warehouse: Warehouse, ds: dt.date, lexicon: sentiment.Lexicon) -> None:
-    words = sentiment.prepared_lexicon(lexicon) if isinstance(lexicon, DataFrame) else lexicon
+    """Scores and rollup; a lexicon given as a mapping travels in the plan, a table is joined."""
+    warehouse.require(*((n, ds) for n in ("social_posts", "news_items", "forum_posts", "stock_list")))
     forum_score = "NLTK_SIA_compound_score"
     for table, target, text, score in (
         ("social_posts", "social_scored", "content", "NLTK_score"),
         ("news_items", "news_scored", "description", "NLTK_score"),
         ("forum_posts", "forum_scored", "title", forum_score),
     ):
-        warehouse.write(target, sentiment.score_posts(warehouse.read(table, ds), text, words, score), ds)
+        warehouse.write(target, sentiment.score_posts(warehouse.read(table, ds), text, lexicon, score), ds)
     scored = (warehouse.read(n, ds) for n in ("social_scored", "news_scored", "forum_scored", "stock_list"))
     warehouse.write("sentiment_daily", sentiment.sentiment_rollup(*scored, ds), ds)
     mart = marts.mart_sentiment(warehouse.read("sentiment_daily", ds), ds)

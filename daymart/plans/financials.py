@@ -34,6 +34,15 @@ def unreadable_pages(pages: DataFrame, ticker: str, page: str) -> DataFrame:
     return _parsed(pages, ticker, page).where(F.size("_pairs") <= 0).select("Ticker")
 
 
+def unknown_labels(pages: DataFrame, ticker: str, page: str) -> DataFrame:
+    """Statistics found on the pages under names that the table has no column for."""
+    names = [name for name, _ in FINANCIALS]
+    found = _parsed(pages, ticker, page).select("Ticker", F.explode("_pairs").alias("_pair"))
+    return found.select("Ticker", F.col("_pair")["name"].alias("name"), F.col("_pair")["value"].alias("value")).where(
+        ~F.col("name").isin(names)
+    )
+
+
 def _parsed(pages: DataFrame, ticker: str, page: str) -> DataFrame:
     pairs = F.coalesce(html.key_values(F.col(page)), F.array().cast("array<struct<name: string, value: string>>"))
     return pages.select(F.col(ticker).alias("Ticker"), pairs.alias("_pairs"))
@@ -43,7 +52,7 @@ _PARSERS = {
     "magnitude": parse_magnitude,
     "percent": parse_percent,
     "ratio": parse_ratio,
-    "text_number": lambda value: value.cast("double"),
+    "text_number": lambda value: value.try_cast("double"),
 }
 
 

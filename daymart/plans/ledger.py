@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from daymart.functions.dates import start_of_time
 from daymart.operators import ledger_fold
-from daymart.operators.skew import SPLIT_ROWS
 from daymart.sources.day_tables import on_day
 
 LEDGER_COLUMNS = ["Analyst", "Ticker", "Price", "Txn_Type", "Amount", "p_date", "Txn_Time"]
@@ -17,7 +16,7 @@ _KEYS = ["run_date", "Analyst", "Ticker"]
 
 
 def _entry_id(raw: DataFrame):
-    """Breaks ties of time and type; tables without an id tie on nothing else."""
+    """Breaks ties of time and type; without an id, amount and price do, so only equal entries tie."""
     return F.col("Txn_Id").cast("bigint") if "Txn_Id" in raw.columns else F.lit(None).cast("bigint")
 
 
@@ -53,14 +52,14 @@ def validated_ledger(
     raw: DataFrame,
     snapshot: DataFrame,
     ds: dt.date | None = None,
-    chunk_rows: int = SPLIT_ROWS,
+    chunk_rows: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Entries of the run date that never take a holding below zero, amounts signed."""
     flagged = ledger_fold.accept_flags(
         carry_forward(raw, snapshot, ds),
         _KEYS,
-        ["Txn_Time", "Txn_Type", "Txn_Id"],
+        ["Txn_Time", "Txn_Type", "Txn_Id", "Amount", "Price"],
         "Amount",
         "Txn_Time",
         chunk_rows=chunk_rows,

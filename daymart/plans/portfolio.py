@@ -24,7 +24,6 @@ from daymart.functions.dates import midnight
 from daymart.operators import ledger_fold
 from daymart.operators.lookback import latest_price, recent_prices
 from daymart.operators.running import running_sums
-from daymart.operators.skew import SPLIT_ROWS
 from daymart.plans.ledger import signed_entries
 from daymart.session import materialise
 from daymart.sources.day_tables import on_day
@@ -59,10 +58,10 @@ def buys_positive() -> Column:
     return F.when(F.col("Txn_Type") == "BUY", F.col("Amount")).otherwise(-F.col("Amount"))
 
 
-def running_position(events: DataFrame, keys: list[str], moved: Column, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def running_position(events: DataFrame, keys: list[str], moved: Column, bucket: str | None = "minute") -> DataFrame:
     """Append the running amount and the running value (amount times price) per key."""
     sums = {"Running_Amount": moved, "Running_Value": moved * F.col("Price")}
-    return running_sums(events, keys, "Txn_Time", sums, split_rows=split_rows)
+    return running_sums(events, keys, "Txn_Time", sums, bucket)
 
 
 def signed_balance(events: DataFrame, moved: Column, change_day: Column) -> DataFrame:
@@ -73,7 +72,7 @@ def signed_balance(events: DataFrame, moved: Column, change_day: Column) -> Data
     )
 
 
-def _holdings(events: DataFrame, moved: Column, sold: Column, change_day: Column, split_rows: int) -> DataFrame:
+def _holdings(events: DataFrame, moved: Column, sold: Column, change_day: Column, bucket: str | None) -> DataFrame:
     """Balances, realised gain and closing position from one pass over the day's events.
 
     All figures share the key, so one aggregation serves them all; the latest position is
@@ -81,7 +80,7 @@ def _holdings(events: DataFrame, moved: Column, sold: Column, change_day: Column
     """
     gain = sold * (F.col("Price") - F.try_divide("Running_Value", "Running_Amount"))
     return (
-        running_position(events, KEYS, moved, split_rows)
+        running_position(events, KEYS, moved, bucket)
         .groupBy(*KEYS)
         .agg(
             F.sum(moved).alias("Amount"),
@@ -103,12 +102,12 @@ def portfolio_snapshot(
     snapshot: DataFrame,
     prices: DataFrame,
     ds: dt.date | None = None,
-    split_rows: int = SPLIT_ROWS,
+    bucket: str | None = "minute",
 ) -> DataFrame:
     """Snapshot with the published figures; ``ledger`` holds signed amounts."""
     events = holdings_events(ledger, snapshot, ds)
     before = F.col("p_date") < F.col("run_date")
-    holdings = _holdings(events, buys_positive(), F.col("Amount"), before, split_rows).withColumn(
+    holdings = _holdings(events, buys_positive(), F.col("Amount"), before, bucket).withColumn(
         "Avg_Price", F.try_divide("Running_Amount", "Running_Value")
     )
     return _priced(holdings, recent_prices(prices, ds)).select(
@@ -128,12 +127,12 @@ def portfolio_snapshot_intent(
     snapshot: DataFrame,
     prices: DataFrame,
     ds: dt.date | None = None,
-    split_rows: int = SPLIT_ROWS,
+    bucket: str | None = "minute",
 ) -> DataFrame:
     """Snapshot with the figures the column names promise."""
     events = holdings_events(ledger, snapshot, ds)
     today = F.col("p_date") == F.col("run_date")
-    holdings = _holdings(events, F.col("Amount"), -F.col("Amount"), today, split_rows).withColumn(
+    holdings = _holdings(events, F.col("Amount"), -F.col("Amount"), today, bucket).withColumn(
         "Avg_Price", F.try_divide("Running_Value", "Running_Amount")
     )
     return _finish_intent(holdings, latest_price(prices, ds))
@@ -153,7 +152,7 @@ def _finish_intent(holdings: DataFrame, quotes: DataFrame) -> DataFrame:
 
 
 def portfolio_history(
-    raw: DataFrame, prices: DataFrame, last_day: dt.date, split_rows: int = SPLIT_ROWS
+    raw: DataFrame, prices: DataFrame, last_day: dt.date, chunk_rows: int | None = None, bucket: str | None = "minute"
 ) -> DataFrame:
     """Every day's ``portfolio_snapshot_intent`` from an empty start to ``last_day``, as one job.
 
@@ -165,7 +164,7 @@ def portfolio_history(
     entries = signed_entries(raw).where(F.col("p_date") <= F.lit(last_day))
     holding = ["Analyst", "Ticker"]
     flagged = ledger_fold.accept_flags(
-        entries, holding, ["p_date", "Txn_Time", "Txn_Type", "Txn_Id"], "Amount", "Txn_Time", chunk_rows=split_rows
+        entries, holding, ["p_date", "Txn_Time", "Txn_Type", "Txn_Id", "Amount", "Price"], "Amount", "Txn_Time", chunk_rows=chunk_rows
     )
     # Three aggregations read the accepted entries; staged, the fold runs once.
     accepted = materialise(flagged.where("Is_Valid").drop("Is_Valid", "Txn_Id"))
@@ -186,7 +185,7 @@ def portfolio_history(
     # Within the day: position after each entry, on top of the day's opening.
     opening = day_rows.select(*holding, "p_date", "open_amount", "open_value")
     position = running_sums(
-        accepted, [*holding, "p_date"], "Txn_Time", {"_amount": moved, "_value": value}, split_rows=split_rows
+        accepted, [*holding, "p_date"], "Txn_Time", {"_amount": moved, "_value": value}, bucket
     ).join(opening, [*holding, "p_date"])
     cost = F.try_divide(F.col("open_value") + F.col("_value"), F.col("open_amount") + F.col("_amount"))
     realised = position.groupBy(*holding, "p_date").agg(

@@ -46,18 +46,13 @@ TICKER_OF_KEYWORD = {
     "Yangzijiang Shipbuilding": "BS6",
 }
 
-# How stored posts name where they came from, and the posts kept per search
-# word and day (the cap of five lets a sixth through) and per forum.
+# How stored posts name where they came from.
 KEYWORD_SOURCE = "Twitter seachword: "
 FORUM_SOURCE = "Reddit: "
 HASHTAG_SOURCE = "Twitter: #SGX"
-SEARCH_SOURCE = "Twitter seachword: SGX"
-POSTS_PER_KEYWORD = 6
-POSTS_PER_FORUM = 3_000_000
 
-# A lexicon of at most this many words travels inside the plan; a larger one is joined.
-INLINE_LEXICON_WORDS = 20_000
-Lexicon = DataFrame | Mapping[str, float]
+# A mapping travels inside the plan, a table (``token, valence``) is joined; the scores are the same.
+Lexicon = DataFrame | Mapping[str, float | None]
 
 
 def tag_by_keyword(posts: DataFrame, keyword: str) -> DataFrame:
@@ -67,14 +62,12 @@ def tag_by_keyword(posts: DataFrame, keyword: str) -> DataFrame:
     return posts.withColumns({"ticker": ticker, "source": F.concat(F.lit(KEYWORD_SOURCE), F.col(keyword))})
 
 
-def newest_per_keyword(
-    posts: DataFrame, keys: list[str], stamp: str, tie: str, n: int = POSTS_PER_KEYWORD
-) -> DataFrame:
+def newest_per_keyword(posts: DataFrame, keys: list[str], stamp: str, tie: str, n: int) -> DataFrame:
     """The newest ``n`` posts per key, as a search returns them."""
     return first_n(posts, keys, [F.col(stamp).desc(), F.col(tie)], n)
 
 
-def newest_per_forum(posts: DataFrame, forum: str, stamp: str, tie: str, n: int = POSTS_PER_FORUM) -> DataFrame:
+def newest_per_forum(posts: DataFrame, forum: str, stamp: str, tie: str, n: int) -> DataFrame:
     """At most ``n`` posts per forum, the newest first."""
     return newest_n(posts, [forum], stamp, tie, n)
 
@@ -118,18 +111,31 @@ def social_table(posts: DataFrame, seq: str) -> DataFrame:
     return first.select("p_date", "ticker", "source", "content", seq)
 
 
-def news_table(news: DataFrame, seq: str) -> DataFrame:
-    return keep_first(clean_news(news), SAME_NEWS, [seq])
+def news_table(news: DataFrame, *order: str) -> DataFrame:
+    """Cleaned news, the first of equal ones in the given order."""
+    return keep_first(clean_news(news), SAME_NEWS, order)
 
 
-def forum_table(posts: DataFrame, seq: str) -> DataFrame:
-    return keep_first(clean_forum(posts), SAME_FORUM, [seq]).select("source", "title", "p_date", seq)
+def forum_table(posts: DataFrame, *order: str) -> DataFrame:
+    """Cleaned posts, the first of equal ones in the given order."""
+    return keep_first(clean_forum(posts), SAME_FORUM, order).select("source", "title", "p_date", *order)
 
 
-def prepared_lexicon(lexicon: DataFrame) -> Lexicon:
-    """A table of ``token, valence``; as a plain mapping if its size is within the bound."""
-    words = lexicon.select("token", "valence").limit(INLINE_LEXICON_WORDS + 1).collect()
-    return {r.token: float(r.valence) for r in words} if len(words) <= INLINE_LEXICON_WORDS else lexicon
+def lexicon_weights(lexicon: DataFrame) -> DataFrame:
+    """``token`` and its valence in whole thousandths: one row per token, those without a valence left out.
+
+    A token that is listed twice fails the job, because neither of its valences is the right one.
+    """
+    thousandths = F.round(F.col("valence").cast("decimal(28,12)"), 3) * 1000
+    listed = lexicon.where(F.col("token").isNotNull() & F.col("valence").isNotNull()).select(
+        "token", thousandths.cast("bigint").alias("_w")
+    )
+    repeated = F.raise_error(F.concat(F.lit("token listed twice: "), F.col("token"))).cast("bigint")
+    return (
+        listed.groupBy("token")
+        .agg(F.count("*").alias("_n"), F.min("_w").alias("_w"))
+        .select("token", F.when(F.col("_n") > 1, repeated).otherwise(F.col("_w")).alias("_w"))
+    )
 
 
 def score_posts(
@@ -137,16 +143,14 @@ def score_posts(
 ) -> DataFrame:
     """Append the compound lexicon score of ``text`` and its label.
 
-    A lexicon of up to ``INLINE_LEXICON_WORDS`` words becomes part of the expression and every
-    text is scored where it lies.  A larger one is joined to the tokens, and only
-    (text digest, sum) pairs travel.
+    The caller decides how the lexicon travels: a mapping becomes part of the expression and every text is scored
+    where it lies; a table is joined to the tokens, and only (text digest, token, count) rows travel.
     """
-    if isinstance(lexicon, DataFrame):
-        lexicon = prepared_lexicon(lexicon)
     if not isinstance(lexicon, DataFrame):
         scored = posts.withColumn(score, compound(valence_sum(text, lexicon)))
     else:
-        scored = _score_by_join(posts, text, lexicon, score)
+        keyed = posts.withColumn("_key", F.sha2(F.col(text), 256))
+        scored = _with_joined_score(keyed, _sums_by_join(keyed, text, lexicon), score).drop("_key")
     return scored.withColumn(label, post_label(F.col(score)))
 
 
@@ -158,33 +162,46 @@ def scored_posts(
     lexicon: Lexicon,
     score: str = "NLTK_score",
     label: str = "NLTK_sentiment",
+    texts: tuple[str, ...] = ("content", "title", "description"),
 ) -> DataFrame:
     """Scores of the first of equal posts, for reports that do not show the texts.
 
-    ``same`` names the columns on which two posts count as equal.  Equal texts score alike,
-    so scoring may come first, where the texts lie; then only scores and digests of the
+    ``same`` names the columns on which two posts count as equal; the columns ``texts`` are left out of the result.
+    Equal texts score alike, so scoring may come first, where the texts lie; then only scores and digests of the
     columns are shuffled to find the copies, and no text is.
     """
-    scored = score_posts(cleaned, text, lexicon, score, label)
     digests = {f"_same{i}": F.sha2(F.col(c).cast("string"), 256) for i, c in enumerate(same)}
-    return keep_first(scored.withColumns(digests), list(digests), [seq]).drop(*digests)
+    shown = [c for c in cleaned.columns if c not in texts]
+    if not isinstance(lexicon, DataFrame):
+        scored = cleaned.withColumns({score: compound(valence_sum(text, lexicon)), **digests}).select(*shown, score, *digests)
+    else:
+        keyed = cleaned.withColumns({"_key": F.sha2(F.col(text), 256), **digests})
+        bare = keyed.select(*shown, "_key", *digests)
+        scored = _with_joined_score(bare, _sums_by_join(keyed, text, lexicon), score).drop("_key")
+    scored = scored.withColumn(label, post_label(F.col(score)))
+    return keep_first(scored, list(digests), [seq]).drop(*digests)
+
 
+def _sums_by_join(keyed: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
+    """``_key`` and the exact sum of valences in thousandths of the text with that digest.
 
-def _score_by_join(posts: DataFrame, text: str, lexicon: DataFrame, score: str) -> DataFrame:
-    """Distinct texts are scored once: tokens meet the lexicon, sums come back by text hash."""
-    keyed = posts.withColumn("_key", F.sha2(F.col(text), 256))
-    weights = lexicon.select("token", F.round(F.col("valence") * 1000).cast("bigint").alias("_w"))
-    # Equal tokens of a text are counted before the join, so a common word does not swell it.
+    Tokens are counted over all copies of a text, and so are the copies; each copy adds the same, so the quotient is
+    whole.  No text is shuffled.
+    """
     counts = (
-        keyed.select("_key", text)
-        .dropDuplicates(["_key"])
-        .select("_key", F.explode(tokens(F.col(text))).alias("token"))
+        keyed.select("_key", F.explode(tokens(F.col(text))).alias("token"))
         .groupBy("_key", "token")
         .agg(F.count("*").alias("_c"))
     )
-    sums = counts.join(weights, "token").groupBy("_key").agg(F.sum(F.col("_w") * F.col("_c")).alias("_sum"))
-    valence = F.coalesce(F.col("_sum"), F.when(F.col(text).isNotNull(), F.lit(0))) / F.lit(1000.0)
-    return keyed.join(sums, "_key", "left").withColumn(score, compound(valence)).drop("_key", "_sum")
+    copies = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("_copies"))
+    sums = counts.join(lexicon_weights(lexicon), "token").groupBy("_key").agg(F.sum(F.col("_w") * F.col("_c")).alias("_total"))
+    return copies.join(sums, "_key", "left").select(
+        "_key", F.expr("coalesce(_total, 0L) div _copies").alias("_sum")
+    )
+
+
+def _with_joined_score(keyed: DataFrame, sums: DataFrame, score: str) -> DataFrame:
+    return keyed.join(sums, "_key", "left").withColumn(score, compound(F.col("_sum") / F.lit(1000.0))).drop("_sum")
 
 
 def _means(scored: DataFrame, keys: list[str], score: str, name: str) -> DataFrame:

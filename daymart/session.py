@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,19 +31,22 @@ def build_session(app: str = "daymart", master: str | None = None, **conf: objec
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and scratch tables: the cluster's ``spark.checkpoint.dir``.
+    """Folder for checkpoints and intermediate tables: ``spark.checkpoint.dir``, or the warehouse where none is set.
 
-    Only a local master may fall back to a temporary folder of this machine, because
-    there every task runs on it.
+    All executors and the driver must share it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="daymart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+
+
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove what ``materialise`` wrote in this application; to be called when its results have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stage_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -52,9 +54,9 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Cuts lineage so that losing an executor loses nothing, and unlike a checkpoint the result
     is planned with its real size, which loops of joins depend on.  The stages of an
-    application share one folder, to be dropped when the application has ended.
+    application share one folder; ``drop_stages`` removes it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_stage_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,8 @@
 """Truncate-and-replace writes of day partitions.
 
-A daily run may legitimately produce no rows, and rerunning a day must leave exactly the
-new rows.  Dynamic partition overwrite keeps the old rows of a day for which the frame is
-empty, so a single day is written to its own path, which is replaced whatever the row count.
+A daily run may legitimately produce no rows, and rerunning a day must leave exactly the new rows.  All writes go through
+dynamic partition overwrite, which puts new files in place only when the job has succeeded: a load that fails
+leaves the old day as it was.  Such a write leaves days without new rows alone, so those are emptied afterwards.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import as_date
@@ -21,8 +21,8 @@ def day_path(table: str, ds: dt.date | str) -> str:
 
 
 def overwrite_day(rows: DataFrame, table: str, ds: dt.date | str) -> None:
-    """Replace one day by ``rows``; their ``p_date`` is given by the path."""
-    rows.drop("p_date").write.mode("overwrite").parquet(day_path(table, ds))
+    """Replace one day by ``rows``, whatever day they name themselves; ``rows`` may come from the day's own folder."""
+    overwrite_days(rows.withColumn("p_date", F.lit(as_date(ds))), table, [ds])
 
 
 def overwrite_days(rows: DataFrame, table: str, days: Iterable[dt.date | str]) -> None:
@@ -34,19 +34,25 @@ def overwrite_days(rows: DataFrame, table: str, days: Iterable[dt.date | str]) -
     days = sorted({as_date(d) for d in days})
     if not days:
         return
-    wanted = rows.where(F.col("p_date").isin(days))
-    # Which days got rows is noted while writing; the rows are not computed a second time.
-    seen = Observation("days written")
-    counts = [F.count_if(F.col("p_date") == F.lit(d)).alias(d.isoformat()) for d in days]
+    spark = rows.sparkSession
+    before = {day: _files(spark, day_path(table, day)) for day in days}
     (
-        wanted.observe(seen, *counts)
+        rows.where(F.col("p_date").isin(days))
         .hint("rebalance", "p_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("p_date")
         .parquet(table)
     )
-    blank = rows.sparkSession.createDataFrame([], rows.drop("p_date").schema)
+    # A day that still holds the files of before got no rows.
+    blank = spark.createDataFrame([], rows.drop("p_date").schema)
     for day in days:
-        if not seen.get[day.isoformat()]:
-            overwrite_day(blank, table, day)
+        if _files(spark, day_path(table, day)) == before[day]:
+            blank.write.mode("overwrite").parquet(day_path(table, day))
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files in a folder; none if it isn't there.  Each job names its files anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {entry.getPath().getName() for entry in system.listStatus(folder)} if system.exists(folder) else set()

@@ -18,17 +18,6 @@ def read_table(spark: SparkSession, table: str, schema: T.StructType | None = No
     return reader.parquet(table)
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of a plain file scan, spread over the cluster if the scan keeps less than a quarter
-    of its cores busy.
-
-    For work that is heavy per row on a few files that cannot be split.  An input with enough
-    tasks is left alone and is not shuffled.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() * 4 <= cores else rows
-
-
 def on_day(rows: DataFrame, ds: dt.date | str | None, day: str = "p_date") -> DataFrame:
     """Rows of one day, or all rows for ``None``; prunes partitions of a day table."""
     return rows if ds is None else rows.where(F.col(day) == F.lit(as_date(ds)))
@@ -41,9 +30,20 @@ def on_stamp_day(rows: DataFrame, ds: dt.date | str, stamp: str) -> DataFrame:
     return rows.where((F.col(stamp) >= low) & (F.col(stamp) < high))
 
 
-def latest_partition(rows: DataFrame, day: str = "p_date") -> DataFrame:
-    """Rows of the newest day; the maximum is a scalar subquery, which prunes partitions."""
-    return rows.where(F.col(day) == rows.select(F.max(day)).scalar())
+def latest_day(spark: SparkSession, table: str, day: str = "p_date") -> dt.date | None:
+    """The newest day of a day table by the names of its folders; no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    names = [entry.getPath().getName() for entry in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    days = [name.removeprefix(f"{day}=") for name in names if name.startswith(f"{day}=")]
+    return as_date(max(days)) if days else None
+
+
+def latest_partition(spark: SparkSession, table: str, schema: T.StructType, day: str = "p_date") -> DataFrame:
+    """Rows of the newest day, read from its folder only."""
+    newest = latest_day(spark, table, day)
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", table).parquet(f"{table}/{day}={newest.isoformat()}")
 
 
 def query_day(spark: SparkSession, text: str, ds: dt.date | str, **tables: DataFrame) -> DataFrame:

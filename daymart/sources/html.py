@@ -7,14 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymart.functions.dates import parse_stamp
 from daymart.functions.text import normalise_name
 
 # Where a news page keeps its items and their fields.
-NEWS_ITEM = r"""(?s)<article[^>]*class="stocknewsitem"[^>]*>(.*?)</article>"""
+NEWS_ITEM = r"""(?s)<article[^>]*class="(?:[^"]*\s)?stocknewsitem(?:\s[^"]*)?"[^>]*>(.*?)</article>"""
 NEWS_FIELDS = {
-    "published": r"""(?s)<div[^>]*class="publisheddate"[^>]*>(.*?)</div>""",
-    "title": r"""(?s)<div[^>]*class="title"[^>]*>(.*?)</div>""",
-    "description": r"""(?s)<div[^>]*class="description"[^>]*>(.*?)</div>""",
+    "published": r"""(?s)<div[^>]*class="(?:[^"]*\s)?publisheddate(?:\s[^"]*)?"[^>]*>(.*?)</div>""",
+    "title": r"""(?s)<div[^>]*class="(?:[^"]*\s)?title(?:\s[^"]*)?"[^>]*>(.*?)</div>""",
+    "description": r"""(?s)<div[^>]*class="(?:[^"]*\s)?description(?:\s[^"]*)?"[^>]*>(.*?)</div>""",
     "source": r"""(?s)<img[^>]*alt="([^"]*)\"""",
 }
 
@@ -44,10 +45,11 @@ def items(
 
 def news_items(pages: DataFrame, html: str, ticker: str, url: str) -> DataFrame:
     """News pages -> ``p_date, ticker, title, source, description, url``; filter on ``p_date``
-    for the items of one run date."""
-    rows = items(pages, html, NEWS_ITEM, NEWS_FIELDS, keep=(ticker, url))
-    stamp = F.to_timestamp_ntz(F.trim(plain(F.col("published"))), F.lit("yyyy-MM-dd HH:mm:ss"))
+    for the items of one run date; an item whose date cannot be read has none.  ``item_no`` is its place on the page."""
+    rows = items(pages, html, NEWS_ITEM, NEWS_FIELDS, keep=(ticker, url), group=0)
+    stamp = parse_stamp(F.trim(plain(F.col("published"))))
     return rows.select(
+        "item_no",
         F.to_date(stamp).alias("p_date"),
         F.col(ticker).alias("ticker"),
         plain(F.col("title")).alias("title"),

@@ -14,6 +14,10 @@ from daymart.sinks.day_partitions import day_path, overwrite_day
 from daymart.sinks.load import enforce
 
 
+class MissingDay(LookupError):
+    """Days of tables that were never written."""
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -21,9 +25,12 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, ds: dt.date | str | None = None) -> DataFrame:
-        """A table, or one day of it read from that day's folder only; what was never written
-        is empty."""
+    def read(self, name: str, ds: dt.date | str | None = None, allow_absent: bool = False) -> DataFrame:
+        """A table, or one day of it read from that day's folder only.
+
+        A day that was written without rows is empty.  What was never written raises ``MissingDay``, unless
+        ``allow_absent`` says that the history may begin here.
+        """
         schema = table_schema(name)
         reader = self.spark.read.schema(schema)
         try:
@@ -33,16 +40,37 @@ class Warehouse:
         except AnalysisException as absent:
             if absent.getCondition() != "PATH_NOT_FOUND":
                 raise
+            if not allow_absent:
+                raise MissingDay(f"{name} {ds or ''}".strip()) from absent
             return self.spark.createDataFrame([], schema)
 
+    def has(self, name: str, ds: dt.date | str) -> bool:
+        """Whether the day was ever written, with rows or without."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(day_path(self.path(name), ds))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def require(self, *needed: tuple[str, dt.date | str]) -> None:
+        """Stop with the list of all missing days before a step starts."""
+        missing = [f"{name} {ds}" for name, ds in needed if not self.has(name, ds)]
+        if missing:
+            raise MissingDay(", ".join(missing))
+
     def write(self, name: str, rows: DataFrame, ds: dt.date | str) -> None:
         """Replace one day by typed rows; a row of another day or a missing required value
-        fails the job."""
+        fails the job, and the day stays as it was."""
         self._replace(name, enforce(rows, table_schema(name)), ds)
 
     def write_mart(self, name: str, rows: DataFrame, ds: dt.date | str) -> None:
-        """Replace one day of a report, whose columns are those of its query."""
-        self._replace(name, rows, ds)
+        """Replace one day of a report, whose columns are those of its query; their types are those of the
+        days before."""
+        try:
+            known = self.spark.read.parquet(self.path(name)).schema
+        except AnalysisException as absent:
+            if absent.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            known = rows.schema
+        typed = {field.name: field.dataType for field in known.fields}
+        self._replace(name, rows.select(*[F.col(c).cast(typed.get(c, rows.schema[c].dataType)) for c in rows.columns]), ds)
 
     def _replace(self, name: str, rows: DataFrame, ds: dt.date | str) -> None:
         failure = F.raise_error(F.concat(F.lit(f"{name} {ds}: row of "), F.col("p_date").cast("string")))

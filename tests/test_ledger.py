@@ -60,6 +60,35 @@ def test_a_split_key_with_fractions(rows):
     assert flags(rows, amounts, chunk_rows=9) == fold(amounts)
 
 
+@pytest.mark.parametrize("chunks", [16, 64])
+def test_a_hovering_key_takes_a_bounded_number_of_rounds(rows, monkeypatch, chunks):
+    generator = random.Random(chunks)
+    amounts = [round(generator.uniform(-1, 1), 2) for _ in range(4 * chunks)]
+    rounds = []
+    closings = ledger_fold._closings
+    monkeypatch.setattr(ledger_fold, "_closings", lambda *a: rounds.append(1) or closings(*a))
+    assert flags(rows, amounts, chunk_rows=4) == fold(amounts)
+    assert len(rounds) <= 3
+
+
+def test_one_second_is_cut_as_well(rows):
+    generator = random.Random(9)
+    amounts = [generator.randint(-9, 10) for _ in range(60)]
+    frame = rows("k string, t timestamp_ntz, n bigint, amount double", *[("k", at(0), i, float(a)) for i, a in enumerate(amounts)])
+    marked = ledger_fold.accept_flags(frame, ["k"], ["t", "n"], "amount", "t", chunk_rows=7).collect()
+    assert [r.Is_Valid for r in sorted(marked, key=lambda r: r.n)] == fold(amounts)
+
+
+def test_running_sums_are_the_same_to_the_last_bit(rows):
+    generator = random.Random(2)
+    data = [("k", at(generator.randint(0, 9000)), generator.uniform(-100, 100)) for _ in range(400)]
+    frame = rows("k string, t timestamp_ntz, v double", *data)
+    first, *others = (
+        sorted((r.t, r.s) for r in running_sums(frame, ["k"], "t", {"s": F.col("v")}, b).collect()) for b in (None, "second", "hour")
+    )
+    assert all(other == first for other in others)
+
+
 def test_hot_and_ordinary_keys_together(rows):
     generator = random.Random(3)
     data = {"hot": 200, "a": 3, "b": 17, "c": 1}
@@ -89,14 +118,14 @@ def test_opening_balance_comes_first_and_is_not_emitted(rows):
     assert sorted(every_day) == sorted(got)
 
 
-@pytest.mark.parametrize("split_rows", [1, 4, 100])
-def test_running_sums_share_ties_and_cross_buckets(rows, split_rows):
+@pytest.mark.parametrize("bucket", [None, "second", "minute", "hour"])
+def test_running_sums_share_ties_and_cross_buckets(rows, bucket):
     frame = rows(
         "k string, t timestamp_ntz, v double",
         ("a", at(1), 5.0), ("a", at(2), -9.0), ("a", at(3), -2.0), ("a", at(3), 4.0), ("a", at(200), 1.0),
         ("a", at(900), None), ("b", at(5), None), ("b", at(70), 2.0),
     )
-    got = running_sums(frame, ["k"], "t", {"s": F.col("v")}, split_rows=split_rows).collect()
+    got = running_sums(frame, ["k"], "t", {"s": F.col("v")}, bucket).collect()
     assert sorted(((r.k, r.t, r.s) for r in got), key=repr) == sorted(
         [
             ("a", at(1), 5.0), ("a", at(2), -4.0), ("a", at(3), -2.0), ("a", at(3), -2.0), ("a", at(200), -1.0),
@@ -114,11 +143,11 @@ def _validated(rows):
     )
 
 
-@pytest.mark.parametrize("split_rows", [1, 10**6])
-def test_published_figures_keep_their_oddities(rows, spark, split_rows):
+@pytest.mark.parametrize("bucket", [None, "second"])
+def test_published_figures_keep_their_oddities(rows, spark, bucket):
     prices = rows(PRICES, *[("T", DAY - dt.timedelta(days=n), c) for n, c in ((8, 9.0), (7, 1.0), (1, 2.0), (0, 4.0))])
     empty = spark.createDataFrame([], SNAPSHOT)
-    got = portfolio.portfolio_snapshot(_validated(rows), empty, prices, DAY, split_rows).collect()
+    got = portfolio.portfolio_snapshot(_validated(rows), empty, prices, DAY, bucket).collect()
     assert len(got) == 3  # one per close of the last eight days
     assert {r.Amount for r in got} == {14.0}  # the sell was added
     assert {r.Daily_Amount_Change for r in got} == {0.0}
@@ -217,7 +246,7 @@ def test_history_equals_the_daily_runs(spark, rows, tmp_path, seed):
     warehouse = _replay(raw, prices, tmp_path, DAY, last, intent=True)
     once = _figures(warehouse.read("portfolio_snapshot"))
     assert once and once == _figures(portfolio.portfolio_history(raw, prices, last))
-    assert once == _figures(portfolio.portfolio_history(raw, prices, last, split_rows=3))
+    assert once == _figures(portfolio.portfolio_history(raw, prices, last, 3, "second"))
     daily.run_ledger(warehouse, last)  # rerunning a day changes nothing
     daily.run_portfolio(warehouse, last, intent=True)
     assert _figures(warehouse.read("portfolio_snapshot")) == once

@@ -127,13 +127,33 @@ def test_group_limits_run_before_the_shuffle(rows, capsys):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_both_ways_to_score_agree(rows, monkeypatch):
-    lexicon = rows("token string, valence double", ("good", 1.9), ("bad", -2.5), ("fine", 0.8))
+def test_both_ways_to_score_agree(rows):
+    words = {"good": 1.9, "bad": -2.5, "fine": 0.0005, "low": -0.0015, "unknown": None}
+    lexicon = rows("token string, valence double", *words.items())
     posts = rows("id int, t string", (1, "good good bad"), (2, "none"), (3, "none"), (4, "fine GOOD"), (5, ""), (6, None))
-    inline = sentiment.score_posts(posts, "t", lexicon)
-    monkeypatch.setattr(sentiment, "INLINE_LEXICON_WORDS", 2)
+    posts = posts.union(rows("id int, t string", (7, "fine fine fine low"), (8, "unknown good")))
+    inline = sentiment.score_posts(posts, "t", words)
     joined = sentiment.score_posts(posts, "t", lexicon)
     assert sorted(inline.collect(), key=repr) == sorted(joined.select(inline.columns).collect(), key=repr)
+    first = [sentiment.scored_posts(posts, "t", ["t"], "id", w, texts=("t",)) for w in (words, lexicon)]
+    assert sorted(first[0].collect(), key=repr) == sorted(first[1].select(first[0].columns).collect(), key=repr)
+    with pytest.raises(Exception, match="listed twice: good"):
+        sentiment.score_posts(posts, "t", lexicon.union(rows("token string, valence double", ("good", 2.0)))).collect()
+
+
+def test_no_text_is_hashed_or_sorted_in_a_shuffle(rows, capsys):
+    posts = rows("seq bigint, content string, ticker string, p_date date", (1, "x", "A", DAY))
+    words = rows("token string, valence double", ("good", 1.9))
+    for frame in (
+        sentiment.social_table(posts.withColumn("source", F.lit("s")), "seq"),
+        sentiment.scored_posts(posts, "content", sentiment.SAME_SOCIAL, "seq", words),
+        pick.keep_first(posts, ["content"], ["seq"]).select("seq"),
+    ):
+        frame.explain()
+        plan = capsys.readouterr().out
+        for line in plan.splitlines():
+            if "Exchange hashpartitioning" in line or "Sort [" in line:
+                assert "content#" not in line.split("),")[0], line
 
 
 def test_union_tolerates_missing_columns_and_empty_sources(spark, rows):

@@ -84,7 +84,7 @@ def cleaned(
     lines = lines_of(docs, id, text, site, min_words)
     drop = (
         lines.select("id", "line")
-        .join(spread_lines(lines, min_sites).select("line"), "line")
+        .join(written(spread_lines(lines, min_sites).select("line")), "line")
         .groupBy("id")
         .agg(F.collect_set("line").alias("line"))
         .select(F.col("id").alias(key), F.col("line").alias(gone_lines))

@@ -190,8 +190,8 @@ def _replay(raw, prices, folder, first, last, intent):
         first,
         last,
         lambda ds: warehouse.write("ledger_raw", raw.where(F.col("p_date") == F.lit(ds)), ds),
-        lambda ds: daily.run_ledger(warehouse, ds),
-        lambda ds: daily.run_portfolio(warehouse, ds, intent=intent),
+        lambda ds: daily.run_ledger(warehouse, ds, first),
+        lambda ds: daily.run_portfolio(warehouse, ds, intent=intent, first_day=first),
     )
     return warehouse
 

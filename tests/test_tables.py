@@ -195,7 +195,7 @@ def test_news_page(rows):
     pages = rows("ticker string, url string, html string", ("D05", "u", page))
     news = html.news_items(pages, "html", "ticker", "url")
     today = day_tables.on_day(news, DAY).collect()
-    assert [tuple(r) for r in today] == [(DAY, "D05", "Up & away", "The Paper", "More to come", "u")]
+    assert [tuple(r) for r in today] == [(0, DAY, "D05", "Up & away", "The Paper", "More to come", "u")]
     assert news.count() == 2
 
 

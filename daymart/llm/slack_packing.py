@@ -16,6 +16,7 @@ itself; ties in length are taken in the order of rows; an empty table gives no p
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Callable, Iterator
@@ -27,10 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from daymart.llm.tables import extended
 
-CACHE_ENTRIES = 400_000
+#: Bounds of a worker's caches, in entries of about 200 bytes, two generations each.  A pre-token costs far more to make than a word.
+WORDS_KEPT, PARTS_KEPT = 300_000, 800_000
 
 
 def best_fill(lengths: list[tuple[int, int]], space: int) -> list[tuple[int, int]]:
@@ -127,57 +130,64 @@ class Packer:
             yield sequence
 
 
+class Known(dict):
+    """A cache in two generations of ``kept`` entries, so that frequent ones stay; ``make`` finds what is missing."""
+
+    def __init__(self, make: Callable[[str], bytes], kept: int) -> None:
+        self.make, self.kept = make, kept
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space, with a bounded cache of words.
+    """Ids of whole texts by a tokenizer that drops white space, with bounded caches; ids are kept as 32-bit bytes.
 
     Its pre-tokens never span white space, so a text's ids are those of its words in turn; words are cut into
-    pre-tokens by the file's own pattern, and only pre-tokens not seen before are handed to the library.
+    pre-tokens by the file's own pattern, and only pre-tokens not seen before are handed to the library: to the file's
+    model directly, with the bytes of other than printable ASCII written as the model's alphabet has them.
     """
 
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: The same for lower-case ASCII, for the faster standard matcher.
+    PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
     #: White space to Python, but not to the tokenizer.
-    APART = regex.compile("[\x1c-\x1f]").search
+    APART = re.compile("[\x1c-\x1f]").search
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.split = regex.compile(self.PIECES).findall
-
-    def _ids(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self.older.get(word)
-        if ids is None:
+        self.words, self.parts = Known(self._word, WORDS_KEPT), Known(self._part, PARTS_KEPT)
+        self.split, self.split_plain = regex.compile(self.PIECES).findall, re.compile(self.PLAIN).findall
+        self.model = self.tokenizer.model
+        self.alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def _part(self, part: str) -> bytes:
+        if not (part.isascii() and part.isprintable()):
+            part = self.alphabet.pre_tokenize_str(part)[0][0]
+        return np.array([token.id for token in self.model.tokenize(part)], "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():
+            parts = self.split_plain(word.lower())
+        else:
             parts = self.split(self.tokenizer.normalizer.normalize_str(word))
-            found = []
-            for part in parts:
-                own = self.parts.get(part)
-                if own is None:
-                    own = self._ids(part)
-                    if len(self.parts) >= CACHE_ENTRIES:
-                        self.parts.clear()
-                    self.parts[part] = own
-                found += own
-            ids = tuple(found)
-        if len(self.words) >= CACHE_ENTRIES:
-            self.older, self.words = self.words, {}
-        self.words[word] = ids
-        return ids
-
-    def __call__(self, text: str | None) -> list[int]:
+        return b"".join(map(self.parts.__getitem__, parts))
+
+    def __call__(self, text: str | None) -> bytes:
         if not text:
-            return []
+            return b""
         if self.APART(text):
-            return list(self._ids(text))
-        out: list[int] = []
-        for word in text.split():
-            ids = self.words.get(word)
-            out += self._word(word) if ids is None else ids
-        return out
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -211,7 +221,7 @@ def packed(
         for sequence in sequences:
             number, offset = next(numbers), 0
             for key, start, ids in sequence:
-                raw = ids.astype("<u4").tobytes()
+                raw = ids.tobytes()
                 own = (keys[key][0], start, len(ids), zlib.crc32(raw), keys[key][1], number, offset)
                 yield own + (raw,) if with_ids else own
                 offset += len(ids)
@@ -222,7 +232,8 @@ def packed(
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenize: Callable = word_tokenizer(path)
+        tokenize = word_tokenizer(path)
+        ending = np.array([end], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 33
         numbers = iter(range(base, base + (1 << 33)))
         packer = Packer(window)
@@ -231,7 +242,7 @@ def packed(
         for batch in batches:
             id_type = batch.column(id).type
             for key, value in zip(batch.column(id).to_pylist(), batch.column("_text")):
-                ids = np.array(tokenize(value.as_py()) + [end], "<u4")
+                ids = np.frombuffer(tokenize(value.as_py()) + ending, "<u4")
                 keys[count] = (key, len(ids))
                 out += rows_of(packer.add(count, ids), keys, numbers)
                 count += 1

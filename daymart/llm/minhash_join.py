@@ -73,11 +73,15 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint64)
+    """32 bits of each minimum of 64.
+
+    The minimum of many numbers has its high bits empty; cut to 32 bits it would meet those of other documents by chance, the more
+    the longer they are.  Mixed first, all 32 bits tell documents apart.
+    """
+    least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096, None] * _SLOPE + _SHIFT
-        least = np.minimum(least, (part >> np.uint64(32)).min(0))
-    return least.astype(np.uint32)
+        least = np.minimum(least, (shingles[start : start + 4096, None] * _SLOPE + _SHIFT).min(0))
+    return ((least * _MIX) >> np.uint64(32)).astype(np.uint32)
 
 
 def profiles(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:

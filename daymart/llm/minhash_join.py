@@ -33,6 +33,7 @@ from daymart.llm.tables import extended, fresh, written
 
 COORDINATES = 64
 TABLE = 1 << 20
+CELLS = 1 << 23
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 2_000_000
 _DRAW = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, (2, COORDINATES), dtype=np.uint64)
 _SLOPE, _SHIFT = _DRAW[0] * np.uint64(2) + np.uint64(1), _DRAW[1]
@@ -273,10 +274,31 @@ def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def _noted_texts(units: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id falls into the same of ``CELLS`` cells as an id of ``units``.
+
+    A table of one bit for each cell, of fixed size, travels to the tasks; it lets all noted documents through and few others, so
+    that the join which follows shuffles the texts of candidates only.
+    """
+    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).cast("int").alias("cell")
+    marked = np.zeros(CELLS, bool)
+    marked[units.select(cell).distinct().toArrow().column("cell").to_numpy()] = True
+    table = units.sparkSession.sparkContext.broadcast(np.packbits(marked))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column("cell").to_numpy()
+            keep = (table.value[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1
+            if keep.any():
+                yield batch.filter(pa.array(keep.astype(bool))).select(["id", "text"])
+
+    return texts.filter(F.col("id").isNotNull()).select("id", "text", cell).mapInArrow(run, "id long, text string")
+
+
 def links(units: DataFrame, docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
     """Confirmed links (``a`` < ``b``) that connect what is connected in each unit."""
     texts = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = units.join(texts, "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    rows = units.join(_noted_texts(units, texts), "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _whole_groups(batches, UNIT):

@@ -2,8 +2,14 @@
 
 A gear hash rolls over the bytes of a text (a window of 16 bytes); a chunk ends after the white space where the hash is smallest
 among the ``RADIUS`` places of white space on either side.  This rule, unlike a mask with a least size, has no memory: an
-insertion shifts the borders within its neighbourhood only, and chunks consist of whole words.  They have at
-most ``MAX`` bytes; text without white space is cut there, between characters.  Chunks are compared by
+insertion shifts the borders within its neighbourhood only, and chunks consist of whole words.
+
+Where white space does not part words, characters do.  In scripts written without it (Chinese, Japanese, Thai, Lao, Khmer, Burmese, ...) and in
+runs of more than ``MAX`` bytes without white space, a code-point border counts as a place of white space if bits of the hash there say so; text is
+never cut before a combining mark.  The words of such a stretch are measured in characters: two to a word in Han and kana, five elsewhere.
+Other words are what ASCII white space of any kind and number parts.
+
+Chunks have at most ``MAX`` bytes; where no border falls within them, the smallest hash in the second half of these bytes is the cut.  Chunks are compared by
 a 128-bit digest.  The copy in the document with the smallest id stays, and within a document the first; what repeats
 it is removed where neighbouring repeated chunks add up to at least ``min_words`` words, so that short lines and phrases stay.
 
@@ -17,6 +23,7 @@ are passed through untouched.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +41,29 @@ GEAR = ((GEAR * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint3
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+#: Scripts without white space between words; everything else has kind 0.
+PAIRED, FIVES, MARK = 1, 2, 4
+_KINDS = {
+    PAIRED: [(0x2E80, 0x2FFF), (0x3000, 0x312F), (0x3190, 0xA4CF), (0xF900, 0xFAFF), (0xFE30, 0xFE4F), (0xFF00, 0xFF9F), (0x20000, 0x3FFFF)],
+    FIVES: [(0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1B7F), (0xA980, 0xA9FF), (0xAA60, 0xAADF)],
+}
+#: Tenths of a word that a character is.
+_TENTHS = np.array([2, 5, 2, 0], np.int64)
+
+
+def _kinds() -> np.ndarray:
+    table = np.zeros(0x40000, np.uint8)
+    for kind, ranges in _KINDS.items():
+        for first, last in ranges:
+            table[first : last + 1] = kind
+    marks = [c for c in range(0x20000) if unicodedata.category(chr(c))[0] == "M"]
+    table[marks] |= MARK
+    return table
+
+
+KINDS = _kinds()
+
+
 def rolling(raw: np.ndarray) -> np.ndarray:
     """The gear hash of the last 16 bytes at every byte: the sum of each byte's value, shifted left by its age."""
     h = GEAR[raw]
@@ -44,41 +74,83 @@ def rolling(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def borders(raw: bytes) -> list[int]:
-    """Ends of the chunks of a text."""
+def unspaced(raw: bytes, data: np.ndarray, spaces: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Where white space does not part words: the bytes after which a cut may fall, those of them that count as white space, and
+    the tenths of words up to each byte.  Nothing for a text without such a place."""
+    n = len(data)
+    edges = np.concatenate([[-1], spaces, [n]])
+    long = np.flatnonzero(np.diff(edges) - 1 > MAX)
+    if len(long) == 0 and data.max() < 0xE0:
+        return None
+    starts = np.flatnonzero(data & 0xC0 != 0x80)
+    points = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+    own = KINDS[np.minimum(points, len(KINDS) - 1)]
+    kind, mark = own & 3, own & MARK != 0
+    counted = kind > 0
+    for k in long:
+        counted[np.searchsorted(starts, edges[k] + 1) : np.searchsorted(starts, edges[k + 1])] = True
+    if not counted.any():
+        return None
+    after = np.append(starts[1:], n) - 1  # last byte of each character
+    may = counted & ~np.append(mark[1:], False)
+    tenths = np.zeros(n + 1, np.int64)
+    tenths[starts + 1] = np.where(counted & ~mark, _TENTHS[kind], 0)
+    mask = np.where(kind == PAIRED, np.uint32(1), np.uint32(3)) << np.uint32(16)
+    return after[may], after[may & (value[after] & mask == 0)], np.cumsum(tenths)
+
+
+def borders(raw: bytes) -> tuple[list[int], np.ndarray | None]:
+    """Ends of the chunks of a text, and the tenths of words up to each byte where characters are counted."""
     data = np.frombuffer(raw, np.uint8)
     n = len(data)
     if n == 0:
-        return []
-    spaces = np.flatnonzero(_SPACE[data])
+        return [], None
+    spaces, every = np.flatnonzero(_SPACE[data]), rolling(data)
+    free = unspaced(raw, data, spaces, every)
+    if free:
+        spaces = np.union1d(spaces, free[1])
     value = np.full(len(spaces) + 2 * RADIUS, np.iinfo(np.uint64).max, np.uint64)
-    value[RADIUS : RADIUS + len(spaces)] = rolling(data)[spaces]
+    value[RADIUS : RADIUS + len(spaces)] = every[spaces]
     own, least = value[RADIUS : RADIUS + len(spaces)], np.ones(len(spaces), bool)
     for step in range(1, RADIUS + 1):
         least &= own <= value[RADIUS - step : len(value) - RADIUS - step]
         least &= own < value[RADIUS + step : len(value) - RADIUS + step]
+
+    def smallest(places: np.ndarray, last: int) -> int | None:
+        """The end of the last of the smallest hashes at ``places`` in the second half of ``MAX`` bytes."""
+        near = places[np.searchsorted(places, last + MAX // 2) : np.searchsorted(places, last + MAX)]
+        return int(near[len(near) - 1 - np.argmin(every[near][::-1])]) + 1 if len(near) else None
+
     out, last = [], 0
     for end in [*(spaces[least] + 1).tolist(), n]:
         while end - last > MAX:
-            k = int(np.searchsorted(spaces, last + MAX)) - 1
-            cut = int(spaces[k]) + 1 if k >= 0 and spaces[k] >= last else last + MAX
-            while cut < n and data[cut] & 0xC0 == 0x80:
-                cut -= 1
+            cut = smallest(spaces, last)
+            if cut is None:
+                k = int(np.searchsorted(spaces, last + MAX)) - 1
+                cut = int(spaces[k]) + 1 if k >= 0 and spaces[k] >= last else free and smallest(free[0], last)
+            if not cut:
+                cut = last + MAX
+                while cut < n and data[cut] & 0xC0 == 0x80:
+                    cut -= 1
             out.append(cut)
             last = cut
         if end > last:
             out.append(end)
             last = end
-    return out
+    return out, free[2] if free else None
 
 
 def chunks(text: str | None) -> Iterator[tuple[int, int, int, bytes]]:
     """(start, size, words, digest) in bytes; white space around a chunk doesn't count for its digest."""
     raw = (text or "").encode()
     start = 0
-    for end in borders(raw):
+    ends, tenths = borders(raw)
+    for end in ends:
         piece = raw[start:end].strip()
-        yield start, end - start, piece.count(b" ") + piece.count(b"\n") + bool(piece), xxhash.xxh3_128_digest(piece)
+        words = len(piece.split())
+        if tenths is not None:
+            words = max(words, int(tenths[end] - tenths[start] + 5) // 10)
+        yield start, end - start, words, xxhash.xxh3_128_digest(piece)
         start = end
 
 

@@ -127,6 +127,51 @@ def test_passages_against_brute_force(make):
     assert {r["doc_id"]: r["text"] for r in out}[70] == ""
 
 
+@pytest.mark.parametrize("gap", ["\t", "\r", "\x0b", "\x0c", "  ", "\r\n"])
+def test_words_are_parted_by_any_white_space(gap):
+    words = prose(21, 400).split()
+    assert sum(n for _, _, n, _ in chunk_dedup.chunks(gap.join(words))) == len(words)
+    shared, texts = gap.join(prose(22, 51).split()), [gap.join(prose(k, 80).split()) for k in range(4)]
+    out = brute_chunks([(0, gap.join([texts[0], shared, texts[1]])), (1, gap.join([texts[2], shared, texts[3]]))], 20)
+    assert len(gap.join([texts[2], shared, texts[3]])) - len(out[1]) > 0.5 * len(shared)
+    short = gap.join(prose(23, 12).split())  # fewer than 20 words stay
+    kept = [(0, gap.join([texts[0], short, texts[1]])), (1, gap.join([texts[2], short, texts[3]]))]
+    assert brute_chunks(kept, 20) == dict(kept)
+
+
+def signs(seed, n, letters):
+    draw = random.Random(seed)
+    return "".join(chr(draw.choice(letters)) for _ in range(n))
+
+
+@pytest.mark.parametrize(
+    "letters, n",
+    [(range(0x4E00, 0x5A00), 160), (range(0x3041, 0x3097), 160), (range(0x0E01, 0x0E2F), 300), ([*range(65, 91), *range(97, 123)], 900)],
+)
+def test_passages_of_text_without_white_space(make, letters, n):
+    shared = signs(1, n, letters)
+    rows = [(i, signs(100 + i, 400 + 37 * i, letters) + shared + signs(200 + i, 500, letters), "en", "s") for i in range(8)]
+    out = {r["doc_id"]: r for r in chunk_dedup.deduplicated(make(rows), report=True).collect()}
+    for i, text, *_ in rows:
+        assert out[i]["n_removed"] == 0 if i == 0 else 0.6 * n < out[i]["n_removed"] <= n
+        assert {c for c in text} >= {c for c in out[i]["text"]} and out[i]["text"] == brute_chunks([r[:2] for r in rows], 20)[i]
+
+
+def test_borders_without_white_space_resist_insertions():
+    for letters in (range(0x4E00, 0x5A00), range(97, 123)):
+        text = signs(3, 6000, letters)
+        a, b = ({d for *_, d in chunk_dedup.chunks(t)} for t in (text, text[:900] + signs(4, 7, letters) + text[900:]))
+        assert len(a - b) <= 4 and len(a) > 100
+    # Of a pattern that repeats, the same phase is cut whatever stands before.
+    pattern = "abcdefghijklmnopqrstuvwxyz" * 200
+    a, b = ({d for *_, d in chunk_dedup.chunks(t)} for t in (pattern, "0123456" + pattern))
+    assert len(a - b) <= 2
+    # No chunk starts with a combining mark.
+    thai = "".join(chr(0x0E01 + c % 40) + "\u0e34" * (c % 2) + "\u0e49" * (c % 3 == 0) for c in random.Random(5).choices(range(200), k=3000))
+    for start, *_ in chunk_dedup.chunks(thai):
+        assert thai.encode()[start:].decode()[0] not in "\u0e34\u0e49"
+
+
 def test_chunks_of_messy_rows(make, messy):
     docs = make(messy)
     out = chunk_dedup.deduplicated(docs)

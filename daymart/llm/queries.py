@@ -73,7 +73,7 @@ def op9_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited"), 256).alias("edited_sha256"),
         F.explode(
-            F.array(F.struct(*[spotsigs.signatures(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("next_text", "next"))]))
+            F.array(F.struct(*[spotsigs.signatures(F.col(c), stretches=True).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("next_text", "next"))]))
         ).alias("s"),
     )
     s = F.col("s")

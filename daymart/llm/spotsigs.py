@@ -5,6 +5,10 @@ makes one signature: itself and the next ``CHAIN`` content words, if they stand
 sorted set of its signatures' digests.  A text in which no anchor has a chain takes every window of ``CHAIN`` words instead, or all
 its words if there are fewer, so that only a text without words has an empty fingerprint.
 
+With ``stretches`` this is decided word by word: a chain covers the words from its anchor to its last content word, and every window
+of ``CHAIN`` words that holds a word no chain covers is a signature too.  So each word of a text is in some signature, and a stray
+anchor in a text of another language, a table or a listing doesn't stand for all of it.
+
 Fingerprints are compared by Jaccard similarity.  Since that is at most the ratio of set sizes, sets are partitioned by length and
 a pair is looked at only if their lengths allow the similarity asked for; see ``near_duplicates``.
 
@@ -45,14 +49,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, "[^\\p{L}\\p{N}\\p{M}]+"), "")
 
 
-def signatures(text: Column) -> Column:
-    """Sorted distinct signature digests (hexadecimal) of a text."""
+def signatures(text: Column, stretches: bool = False) -> Column:
+    """Sorted distinct signature digests (hexadecimal) of a text; with ``stretches`` also of the words that no chain covers."""
     def digest(parts: Column) -> Column:
         return F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(parts), 24))), 10, "0")
 
     def of_words(words: Column) -> Column:
-        # Content words in place, NULL for anchors.
-        content = F.transform(words, lambda w: F.when(~w.isin(*sorted(set(ANCHORS))), w))
+        # Content words with their places, NULL for anchors.
+        content = F.transform(
+            words, lambda w, i: F.when(~w.isin(*sorted(set(ANCHORS))), F.struct(w.alias("word"), i.alias("at")))
+        )
         return _with(F.struct(words.alias("words"), content.alias("content")), spots)
 
     def spots(parts: Column) -> Column:
@@ -63,19 +69,43 @@ def signatures(text: Column) -> Column:
                 c.isNull(),
                 _with(
                     F.slice(F.array_compact(F.slice(content, i + 2, REACH)), 1, CHAIN),
-                    lambda chain: F.when(F.size(chain) == CHAIN, digest(F.concat(F.array(F.get(words, i)), chain))),
+                    lambda chain: F.when(
+                        F.size(chain) == CHAIN,
+                        F.struct(
+                            digest(F.concat(F.array(F.get(words, i)), chain["word"])).alias("digest"),
+                            F.element_at(chain, CHAIN)["at"].alias("end"),
+                        ),
+                    ),
                 ),
             ),
         )
-        found = F.array_compact(chains)
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - CHAIN + 1))
 
-        def or_windows(found: Column) -> Column:
-            windows = F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - CHAIN + 1)), lambda p: digest(F.slice(words, p, CHAIN))
-            )
+        def or_windows(chains: Column) -> Column:
+            found = F.array_compact(chains)["digest"]
+            windows = F.transform(starts, lambda p: digest(F.slice(words, p, CHAIN)))
             return F.when(F.size(found) > 0, found).when(F.size(words) > 0, windows).otherwise(found)
 
-        return F.array_sort(F.array_distinct(_with(found, or_windows)))
+        def and_windows(chains: Column) -> Column:
+            # A chain ends at most REACH words behind its anchor.
+            def covered_by(ends: Column) -> Column:
+                return F.transform(
+                    words,
+                    lambda w, i: F.coalesce(
+                        F.array_max(F.slice(ends, F.greatest(i - REACH, F.lit(0)) + 1, F.least(i, F.lit(REACH)) + 1)) >= i, F.lit(False)
+                    ),
+                )
+
+            def windows(covered: Column) -> Column:
+                return F.transform(
+                    starts, lambda p: F.when(F.array_contains(F.slice(covered, p, CHAIN), False), digest(F.slice(words, p, CHAIN)))
+                )
+
+            # The ends are taken out once, not for every word.
+            found = _with(_with(chains["end"], covered_by), windows)
+            return F.array_compact(F.concat(chains["digest"], found))
+
+        return F.array_sort(F.array_distinct(_with(chains, and_windows if stretches else or_windows)))
 
     return _with(words_of(text), of_words)
 
@@ -134,14 +164,16 @@ def edited(text: Column, other: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - part), F.substring(other, F.lit(1), part))
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least: float = 0.8, stretches: bool = False
+) -> DataFrame:
     """Pairs (``a``, ``b``, ``similarity``) of different signature sets, each set named by the smallest id that has it.
 
     Sets are partitioned by length: two sets of similarity ``least`` lie in the same or in neighbouring bands of ratio
     ``least``.  Within a band they meet in their rarest signatures: two sets that similar share one among the first
     ``size - ceil(least * size) + 1`` in the order of frequency.  Equal sets count once, so large groups of copies make no pairs.
     """
-    own = docs.select(F.col(f"`{id}`").alias("id"), F.explode(F.array(signatures(F.col(f"`{text}`")))).alias("s"))
+    own = docs.select(F.col(f"`{id}`").alias("id"), F.explode(F.array(signatures(F.col(f"`{text}`"), stretches))).alias("s"))
     sets = written(own.filter("size(s) > 0").groupBy("s").agg(F.min("id").alias("id")))
     spots = sets.select("id", F.size("s").alias("n"), F.explode("s").alias("spot"))
     common = spots.groupBy("spot").agg(F.count("*").alias("f")).filter("f > 1")

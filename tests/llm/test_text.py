@@ -257,3 +257,50 @@ def test_near_fingerprints_against_brute_force(make):
     want = {(a, b) for a in chosen for b in chosen if a < b and jaccard(sets[a], sets[b]) >= 0.8}
     out = spotsigs.near_duplicates(make([(k, t, "en", "s") for k, t in texts.items()])).collect()
     assert {(r["a"], r["b"]) for r in out} == want and len(want) > 20
+
+
+def brute_stretches(text):
+    import regex
+
+    words = regex.findall(r"[\p{L}\p{N}\p{M}]+", (text or "").lower())
+    stops, out, covered = set(spotsigs.ANCHORS), set(), set()
+    for i, word in enumerate(words):
+        chain = [k for k in range(i + 1, min(len(words), i + 1 + spotsigs.REACH)) if words[k] not in stops][: spotsigs.CHAIN]
+        if word in stops and len(chain) == spotsigs.CHAIN:
+            out.add((word, *(words[k] for k in chain)))
+            covered.update(range(i, chain[-1] + 1))
+    if words:
+        for k in range(max(1, len(words) - spotsigs.CHAIN + 1)):
+            if not covered.issuperset(range(k, min(len(words), k + spotsigs.CHAIN))):
+                out.add(tuple(words[k : k + spotsigs.CHAIN]))
+    return out
+
+
+def letters_only(seed, n):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice("абвгдежзиклмнопрст") for _ in range(draw.randint(3, 9))) for _ in range(n))
+
+
+def test_every_stretch_without_chains_is_seen(make):
+    stray = " in один два "
+    texts = {k: prose(k, 1 + k * 7 % 90) for k in range(40)} | {50: None, 51: "", 52: "a", 53: "the", 54: "the a", 55: "the one two", 56: "x y"}
+    texts |= {57: "the the one of two three four five six and seven", 60: letters_only(1, 200) + stray + letters_only(2, 200)}
+    texts |= {61: letters_only(3, 200) + stray + letters_only(4, 200), 62: letters_only(1, 200) + " " + letters_only(2, 200)}
+    rows = make([(k, t, "ru", "s") for k, t in texts.items()]).select("doc_id", spotsigs.signatures(F.col("text"), stretches=True).alias("s")).collect()
+    sets = {r["doc_id"]: set(r["s"]) for r in rows}
+    for k, text in texts.items():
+        assert len(sets[k]) == len(brute_stretches(text)), text
+    assert len(sets[60]) > 390  # grows with the text, one stray anchor or not
+    assert jaccard(sets[60], sets[61]) < 0.02 and jaccard(sets[60], sets[62]) > 0.98
+    pairs = spotsigs.near_duplicates(make([(k, texts[k], "ru", "s") for k in (60, 61, 62)]), stretches=True).collect()
+    assert [(r["a"], r["b"]) for r in pairs] == [(60, 62)]
+
+
+def test_the_query_sees_every_stretch(spark, tmp_path, make):
+    from daymart.llm.queries import op9_spotsigs
+
+    texts = [letters_only(k, 300) + " in один два " + letters_only(k + 50, 300) for k in range(3)]
+    make([(k, t, "ru", "s") for k, t in enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    for r in op9_spotsigs(spark, str(tmp_path)).collect():
+        assert len(r["fingerprint"]) == 10 * len(brute_stretches(texts[r["doc_id"]]))
+        assert r["near_next"] < 0.02 and 0.5 < r["near_edited"] < 0.7

@@ -563,7 +563,7 @@ _add("delimited_read", "SELECT * FROM part")
 _add("partition_overwrite", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw", "ledger_raw")
 _add(
     "missing_keys",
-    """SELECT c_custkey FROM customer c
+    """SELECT DISTINCT c_custkey FROM (SELECT c_custkey FROM customer UNION ALL SELECT -s_suppkey FROM supplier) c
     WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
 )
 _add(

@@ -35,9 +35,13 @@ def unreadable_pages(pages: DataFrame, ticker: str, page: str) -> DataFrame:
 
 
 def unknown_labels(pages: DataFrame, ticker: str, page: str) -> DataFrame:
-    """Statistics found on the pages under names that the table has no column for."""
+    """Statistics found on the pages under names that the table has no column for.
+
+    The outer form of the explosion, whose empty row the filter on the name drops: from the plain form Spark infers a filter on the
+    size of the parsed array, which then meets every column that a caller computes from the page and keeps planning busy.
+    """
     names = [name for name, _ in FINANCIALS]
-    found = _parsed(pages, ticker, page).select("Ticker", F.explode("_pairs").alias("_pair"))
+    found = _parsed(pages, ticker, page).select("Ticker", F.explode_outer("_pairs").alias("_pair"))
     return found.select("Ticker", F.col("_pair")["name"].alias("name"), F.col("_pair")["value"].alias("value")).where(
         ~F.col("name").isin(names)
     )
@@ -45,7 +49,8 @@ def unknown_labels(pages: DataFrame, ticker: str, page: str) -> DataFrame:
 
 def _parsed(pages: DataFrame, ticker: str, page: str) -> DataFrame:
     pairs = F.coalesce(html.key_values(F.col(page)), F.array().cast("array<struct<name: string, value: string>>"))
-    return pages.select(F.col(ticker).alias("Ticker"), pairs.alias("_pairs"))
+    # Exploded from an array of one, so that a filter on the pairs stays above and a page is parsed once.
+    return pages.select(F.col(ticker).alias("Ticker"), F.explode(F.array(pairs)).alias("_pairs"))
 
 
 _PARSERS = {

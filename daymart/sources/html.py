@@ -39,7 +39,8 @@ def items(
     pages: DataFrame, html: str, item: str, fields: Mapping[str, str], keep: Sequence[str] = (), group: int = 0
 ) -> DataFrame:
     """One row per match of ``item``, one column per field pattern (its first group)."""
-    found = pages.select(*keep, F.posexplode(all_matches(F.col(html), item, group)).alias("item_no", "_item"))
+    matches = F.posexplode_outer(all_matches(F.col(html), item, group))
+    found = pages.select(*keep, matches.alias("item_no", "_item")).where("_item is not null")
     return found.select(*keep, "item_no", *[F.regexp_extract("_item", p, 1).alias(n) for n, p in fields.items()])
 
 
@@ -74,8 +75,4 @@ def key_values(html: Column) -> Column:
 def wide(pairs: Column, names: Sequence[str]) -> list[Column]:
     """One column per name: the first value under it.  Both the pairs and the wide row belong
     to one page, so no shuffle is needed to turn one into the other."""
-
-    def first_value(name: str) -> Column:
-        return F.get(F.filter(pairs, lambda p: p["name"] == name), F.lit(0))["value"].alias(name)
-
-    return [first_value(name) for name in names]
+    return [F.get(pairs["value"], F.array_position(pairs["name"], name).cast("int") - 1).alias(name) for name in names]

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart.llm import byte_bpe, chunk_dedup, language, line_spread, minhash_join, notices, pairwise_quality, quality_rules, slack_packing, spotsigs
+from daymart.llm import (
+    byte_bpe,
+    chunk_dedup,
+    code_search,
+    language,
+    line_spread,
+    minhash_join,
+    notices,
+    pairwise_quality,
+    quality_rules,
+    slack_packing,
+    spotsigs,
+    turn_repair,
+    whitening,
+)
 from daymart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,5 +106,45 @@ def op10_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_join.grouped(table(spark, folder, "documents"), size=3, percent=85)
 
 
+def op11_code_search(spark: SparkSession, folder: str) -> DataFrame:
+    return code_search.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"), components=16, scale=64, shift=1_000_000)
+
+
+def damaged_turns(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, stripped of sentence ends, repeated or given to the user by a digest of conversation and turn."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    harm, role, text = F.crc32(name) % 20, F.coalesce("role", space), F.coalesce("text", space)
+    return (
+        conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), harm.alias("harm"))
+        .where("harm <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+            F.explode(F.when(F.col("harm") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    found = turn_repair.summary(turn_repair.repaired(damaged_turns(given)))
+    every = given.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, every["conv_id"].eqNullSafe(found["conv"]), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def bound() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -37,3 +38,15 @@ def fresh(docs: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def usable(rows: DataFrame, vector: str) -> DataFrame:
+    """Rows whose vector is there, not empty, and holds finite numbers only."""
+    finite = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) != float("inf")))
+    return rows.where(F.col(vector).isNotNull() & (F.size(vector) > 0) & finite)
+
+
+def usual_length(rows: DataFrame, vector: str) -> int:
+    """The most frequent length of a vector, the longer of two equally frequent ones; 0 without rows."""
+    lengths = rows.groupBy(F.size(vector).alias("length")).count().orderBy(F.desc("count"), F.desc("length")).limit(1).collect()
+    return lengths[0]["length"] if lengths else 0

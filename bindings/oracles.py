@@ -108,6 +108,10 @@ _LEDGER_VIEWS = ("ledger_raw", "holdings")
 _add("carry_forward_union", f"WITH {CARRIED} SELECT * FROM carried", *_LEDGER_VIEWS)
 _add("ledger_validate", f"WITH {VALID} SELECT * FROM valid", *_LEDGER_VIEWS)
 _add("ledger_validate_split", f"WITH {VALID} SELECT * FROM valid", *_LEDGER_VIEWS)
+_add(
+    "ledger_validate_hovering",
+    f"WITH {VALID.replace('ledger_raw', 'hovering_ledger')} SELECT * FROM valid", "hovering_ledger", "holdings",
+)
 _add(
     "running_position",
     f"""SELECT Txn_Id, Analyst, Ticker, {_r4("Running_Amount")}, {_r4("Running_Value")} FROM (

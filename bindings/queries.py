@@ -138,6 +138,12 @@ def ledger_validate_split(t: Tables) -> DataFrame:
     return ledger.validated_ledger(t["ledger_raw"], t["holdings"], chunk_rows=20)
 
 
+@query
+def ledger_validate_hovering(t: Tables) -> DataFrame:
+    """One holding has a third of all entries and hovers around zero."""
+    return ledger.validated_ledger(t["hovering_ledger"], t["holdings"], chunk_rows=100)
+
+
 @query
 def signed_balance(t: Tables) -> DataFrame:
     events = portfolio.holdings_events(t["ledger_raw"], t["holdings"])

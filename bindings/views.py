@@ -74,6 +74,13 @@ VIEWS: dict[str, str] = {
                CAST(1 + event_id % 100 AS DOUBLE) AS Amount, value AS Price, ts AS Txn_Time,
                CAST(ts AS DATE) AS p_date, event_id AS Txn_Id
         FROM {events}""",
+    # Half of the entries once more, as those of one holding on one day, buys and sells in equal measure.
+    "hovering_ledger": """
+        SELECT Analyst, Ticker, Txn_Type, Amount, Price, Txn_Time, p_date, Txn_Id FROM {ledger_raw}
+        UNION ALL
+        SELECT CAST(99 AS BIGINT), 'HOT', CASE WHEN (Txn_Id * 7919) % 101 < 50 THEN 'BUY' ELSE 'SELL' END, Amount, Price,
+               Txn_Time + Txn_Id * INTERVAL '1' DAY, DATE '2024-01-15', Txn_Id
+        FROM {ledger_raw} WHERE Txn_Id % 2 = 0""",
     "holdings": """
         SELECT Analyst, Ticker, p_date, SUM(CASE WHEN Txn_Type = 'BUY' THEN Amount ELSE 0 END) AS Amount,
                MAX(Price) AS Avg_Price

@@ -4,19 +4,20 @@ An entry that would take the running total below zero is skipped, and later entr
 judged without it.  Whether an entry counts therefore depends on every earlier decision,
 which no window sum can express.
 
-Rows are sorted by key and time inside Spark.  A key whose plain running total never goes below zero has every entry
-accepted; that shows in a window, in the JVM.  Only the other keys are streamed through one small Arrow step
-that carries the total, so no group is ever held in memory.
+Rows are sorted by key and time inside Spark and streamed through one Arrow step that carries the total, so no group is held in memory.
+Stretches whose plain running total stays at or above zero are accepted as a whole, by vector; only others are run entry by entry.
 
-With ``chunk_rows``, a key with more entries than that is cut into consecutive chunks that run in parallel:
+A key with more than ``chunk_rows`` entries is cut into consecutive chunks that run in parallel.  What a chunk does to the total it opens
+with is a map: a sorted list of breakpoints, and between two of them the same entries are accepted, so the closing total is the opening one
+plus a constant.  From the chunk's deepest fall on there is but one constant.
 
-1. every chunk runs from a guessed opening total and reports its closing total;
-2. the closing totals are strung together into better openings, and chunks whose opening changed run again;
-3. what is still unsettled after ``ROUNDS`` rounds, from the first such chunk of a key on, is run as one ordered stream.
+1. every chunk computes its map; a map that would get more than ``MAX_PIECES`` breakpoints is kept around a guessed opening and for large openings only;
+2. the maps of a key are strung together, one at a time, into the opening of every chunk;
+3. a chunk whose map is not known at its opening computes it again around that opening, until no such chunk is left.
 
-The first chunk's opening is known, and an opening counts as settled only if the chunk before it ran from a settled one, so the
-result is exactly the sequential one.  A chunk that never came near zero passes any larger opening on unchanged, so
-two rounds are usual; a key that hovers around zero costs two rounds and one pass in order.
+The first chunk's opening is known and each round settles at least the first chunk that was not known, so the loop ends; a map that was not
+shortened needs no second round.  Then all chunks run in parallel from their openings, and no stream is longer than a chunk.  Totals are sums of
+doubles: for whole numbers (and any amounts whose sums are exact) the result is exactly the sequential one.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from daymart.operators.skew import oversized_keys
 from daymart.session import materialise
 
 _FIRST, _START, _CHUNK, _SLOT = "_first", "_start", "_chunk", "_slot"
-ROUNDS = 2
+CHUNK_ROWS = 100_000
+MAX_PIECES = 4096
 
 
 def accept_flags(
@@ -43,13 +45,14 @@ def accept_flags(
     amount: str,
     time: str,
     flag: str = "Is_Valid",
-    chunk_rows: int | None = None,
+    chunk_rows: int | None = CHUNK_ROWS,
     slot: str = "second",
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """Append ``flag``: was the entry accepted?
 
-    ``order`` must start with ``time``-compatible columns and should be total.  Without ``chunk_rows`` this is a plan only; with
-    it, sizes are looked up and rounds are run when the function is called.
+    ``order`` must start with ``time``-compatible columns and should be total.  Sizes of keys are looked up, and the maps of
+    large ones computed, when the function is called; with ``chunk_rows=None`` it is a plan only, and a key is one stream.
     """
     oversized = oversized_keys(rows, keys, chunk_rows) if chunk_rows else None
     if oversized is None:
@@ -57,13 +60,10 @@ def accept_flags(
 
     cold = rows.join(oversized, list(keys), "left_anti").withColumn(_START, F.lit(0.0))
     hot = materialise(_chunked(rows.join(oversized, list(keys), "left_semi"), keys, order, time, chunk_rows, slot))
-    openings = _settle(hot, keys, order, amount)
+    openings = _settle(hot, keys, order, amount, max_pieces)
     parts = [*keys, _CHUNK]
-    placed = hot.join(openings, parts, "inner")
-    settled = _fold(placed.where(~F.col("_tail")).drop("_tail"), parts, order, amount, flag)
-    # The rest of a key in one stream: its chunks are all of the same part.
-    tail = _fold(placed.where("_tail").drop("_tail"), keys, [_CHUNK, *order], amount, flag)
-    return _fold(cold, keys, order, amount, flag).unionByName(settled.unionByName(tail).drop(_CHUNK))
+    settled = _fold(hot.join(openings, parts, "inner"), parts, order, amount, flag)
+    return _fold(cold, keys, order, amount, flag).unionByName(settled.drop(_CHUNK))
 
 
 def _chunked(rows: DataFrame, keys, order, time: str, chunk_rows: int, slot: str) -> DataFrame:
@@ -88,115 +88,158 @@ def _ordered(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 def _fold(rows: DataFrame, keys, order, amount: str, flag: str) -> DataFrame:
     ordered = _ordered(rows, keys, order)
-    total = F.first(_START).over(Window.partitionBy(*keys).orderBy(*order)) + F.sum(F.col(amount).cast("double")).over(
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    marked = ordered.withColumn("_total", total).withColumn("_lowest", F.min("_total").over(Window.partitionBy(*keys)))
-    covered = marked.where("_lowest >= 0").drop("_total", "_lowest", _FIRST, _START).withColumn(flag, F.lit(True))
-    ordered = marked.where(F.coalesce(F.col("_lowest") < 0, F.lit(True))).drop("_total", "_lowest")
     kept = [f for f in ordered.schema.fields if f.name not in (_FIRST, _START)]
     schema = T.StructType([*kept, T.StructField(flag, T.BooleanType(), False)])
     names = [f.name for f in kept]
 
     # Defined here so that executors need no copy of this package.
     def step(batches):
+        import numpy as np
         import pyarrow as pa
 
         total = 0.0
         for batch in batches:
-            accepted = []
-            figures = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in (amount, "_first", "_start"))
-            for value, first, start in zip(*figures):
-                if first:
-                    total = start
-                moved = total + value
-                accepted.append(moved >= 0)
-                if moved >= 0:
-                    total = moved
-            columns = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(accepted, pa.bool_())], [*names, flag])
+            moves = batch.column(amount).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            firsts = np.flatnonzero(batch.column("_first").to_numpy(zero_copy_only=False))
+            starts = batch.column("_start").to_numpy(zero_copy_only=False)
+            accepted = np.ones(len(moves), dtype=bool)
+            bounds = [0, *firsts[firsts > 0].tolist(), len(moves)]
+            for low, high in zip(bounds, bounds[1:]):
+                if low == high:
+                    continue
+                if len(firsts) and (low > 0 or firsts[0] == 0):
+                    total = float(starts[low])
+                reached = np.cumsum(np.concatenate(([total], moves[low:high])))
+                if (reached >= 0).all():
+                    total = float(reached[-1])
+                    continue
+                for i, value in enumerate(moves[low:high].tolist(), low):
+                    if total + value >= 0:
+                        total += value
+                    else:
+                        accepted[i] = False
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(accepted)], [*names, flag])
+
+    return ordered.mapInArrow(step, schema)
 
-    return covered.unionByName(ordered.mapInArrow(step, schema))
 
+_MAP = [T.StructField(n, T.ArrayType(T.DoubleType())) for n in ("_low", "_shift")]
 
-def _closings(rows: DataFrame, keys, order, amount: str) -> DataFrame:
-    """Per key and chunk: the opening used, the closing reached, the plain sum, and the
-    opening from which everything in the chunk is accepted."""
+
+def _maps(rows: DataFrame, keys, order, amount: str, max_pieces: int) -> DataFrame:
+    """Per key and chunk: breakpoints of the opening, and what is added from each on (NaN: not known); ``_start`` is the guess."""
     parts = [*keys, _CHUNK]
-    ordered = _ordered(rows, parts, order).select(*parts, _START, _FIRST, F.col(amount).alias("_amount"))
-    figures = ["opened", "closed", "moved", "needed"]
-    schema = T.StructType(
-        [*[ordered.schema[c] for c in parts], *[T.StructField(n, T.DoubleType()) for n in figures]]
-    )
+    ordered = _ordered(rows, parts, order).select(*parts, _START, _FIRST, F.col(amount).cast("double").alias("_amount"))
+    schema = T.StructType([*[ordered.schema[c] for c in parts], T.StructField(_START, T.DoubleType()), *_MAP])
+    names = schema.names
 
     def step(batches):
+        import numpy as np
         import pyarrow as pa
 
-        run, target = None, None
+        def shortened(low, shift, guess):
+            """The pieces around the guess and the last one; the rest is not known."""
+            same = np.concatenate(([False], shift[1:] == shift[:-1]))
+            low, shift = low[~same], shift[~same]
+            if len(low) <= max_pieces:
+                return low, shift
+            here = int(np.searchsorted(low, guess, side="right")) - 1
+            first = max(0, min(here - max_pieces // 4, len(low) - 1 - max_pieces // 2))
+            last = min(len(low) - 1, first + max_pieces // 2)
+            ends_low, ends_shift = [low[first:last]], [shift[first:last]]
+            if first > 0:
+                ends_low.insert(0, [0.0])
+                ends_shift.insert(0, [np.nan])
+            if last < len(low) - 1:
+                ends_low.append(low[last : last + 1])
+                ends_shift.append([np.nan])
+            return np.concatenate([*ends_low, low[-1:]]), np.concatenate([*ends_shift, shift[-1:]])
+
+        run = None  # parts, guess, breakpoints, added, added to all
+        target = None
+
+        def closed(run):
+            low, shift = run["low"], run["shift"] + run["all"]
+            same = np.concatenate(([False], shift[1:] == shift[:-1]))
+            return [*run["parts"], run["guess"], low[~same].tolist(), shift[~same].tolist()]
+
         for batch in batches:
             if target is None:
-                part_fields = [batch.schema.field(p) for p in parts]
-                target = pa.schema([*part_fields, *[pa.field(n, pa.float64()) for n in figures]])
+                fields = [batch.schema.field(p) for p in parts]
+                doubles = pa.list_(pa.float64())
+                target = pa.schema([*fields, pa.field("_start", pa.float64()), pa.field("_low", doubles), pa.field("_shift", doubles)])
             done = []
             amounts, firsts = batch.column("_amount").to_pylist(), batch.column("_first").to_pylist()
             for i, (value, first) in enumerate(zip(amounts, firsts)):
                 if first:
                     if run is not None:
-                        done.append(run)
-                    start = batch.column("_start")[i].as_py()
-                    run = {p: batch.column(p)[i].as_py() for p in parts}
-                    run |= {"opened": start, "closed": start, "moved": 0.0, "needed": 0.0}
-                if run["closed"] + value >= 0:
-                    run["closed"] += value
-                run["moved"] += value
-                run["needed"] = max(run["needed"], -run["moved"])
+                        done.append(closed(run))
+                    run = {"parts": [batch.column(p)[i].as_py() for p in parts], "guess": batch.column("_start")[i].as_py()}
+                    run |= {"low": np.zeros(1), "shift": np.zeros(1), "all": 0.0}
+                if value is None or value >= 0:
+                    run["all"] += value or 0.0
+                    continue
+                low, shift, need = run["low"], run["shift"], -value - run["all"]
+                image = low + shift  # without what is added to all
+                taken = image >= need
+                split = np.flatnonzero(~taken & (np.concatenate((low[1:], [np.inf])) + shift > need))
+                if len(split):
+                    at = split + 1
+                    low = np.insert(low, at, need - shift[split])
+                    taken = np.insert(taken, at, True)
+                    shift = np.insert(shift, at, shift[split])
+                run["low"], run["shift"] = low, np.where(taken, shift + value, shift)
+                if len(low) > max_pieces:
+                    run["low"], run["shift"] = shortened(run["low"], run["shift"], run["guess"])
             if done:
-                yield pa.RecordBatch.from_pylist(done, schema=target)
+                yield pa.RecordBatch.from_pylist([dict(zip(names, d)) for d in done], schema=target)
         if run is not None:
-            yield pa.RecordBatch.from_pylist([run], schema=target)
+            yield pa.RecordBatch.from_pylist([dict(zip(names, closed(run)))], schema=target)
 
     return ordered.mapInArrow(step, schema)
 
 
-def _propose(known: DataFrame, keys, schema: T.StructType) -> DataFrame:
-    """String the closings of each key together.  One row per chunk goes through here."""
-    keys = list(keys)
+def _strung(maps: DataFrame, keys) -> DataFrame:
+    """Per key and chunk: the opening, and whether the chunk's map is known there.  One map after the other goes through."""
+    parts = [*keys, _CHUNK]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(_CHUNK)) == 1
+    ordered = maps.repartition(*keys).sortWithinPartitions(*keys, _CHUNK).withColumn(_FIRST, first)
+    schema = T.StructType([*[maps.schema[c] for c in parts], T.StructField("_opening", T.DoubleType()), T.StructField("_known", T.BooleanType())])
+
+    def step(batches):
+        import math
 
-    def chain(pdf):
-        pdf = pdf.sort_values("_chunk").reset_index(drop=True)
-        total, starts = 0.0, []
-        for opened, closed, moved, needed in zip(pdf.opened, pdf.closed, pdf.moved, pdf.needed):
-            starts.append(total)
-            if total == opened:
-                total = closed
-            elif total >= needed:
-                total = total + moved
-            else:
-                total = closed
-        return pdf[[*keys, "_chunk"]].assign(_start=starts)
+        import numpy as np
+        import pyarrow as pa
 
-    return known.groupBy(*keys).applyInPandas(chain, schema)
+        total = 0.0
+        for batch in batches:
+            openings, known = [], []
+            for i in range(batch.num_rows):
+                if batch.column("_first")[i].as_py():
+                    total = 0.0
+                low, shift = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("_low", "_shift"))
+                added = float(shift[int(np.searchsorted(low, total, side="right")) - 1])
+                openings.append(total)
+                known.append(not math.isnan(added))
+                if math.isnan(added):  # go on from the guess, where every map is known
+                    guess = batch.column("_start")[i].as_py()
+                    total, added = guess, float(shift[int(np.searchsorted(low, guess, side="right")) - 1])
+                total += added
+            columns = [batch.column(p) for p in parts]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(openings, pa.float64()), pa.array(known)], [*parts, "_opening", "_known"])
 
+    return ordered.mapInArrow(step, schema)
 
-def _settle(hot: DataFrame, keys, order, amount: str) -> DataFrame:
-    """Per key and chunk: the opening, and whether it belongs to the tail that has to be run in order.
 
-    Chunks of a tail all carry the opening of its first chunk, which is settled.
-    """
+def _settle(hot: DataFrame, keys, order, amount: str, max_pieces: int) -> DataFrame:
+    """Per key and chunk: the opening."""
     parts = [*keys, _CHUNK]
-    schema = T.StructType([*[hot.schema[c] for c in parts], T.StructField(_START, T.DoubleType())])
-    known = materialise(_closings(hot.withColumn(_START, F.lit(0.0)), keys, order, amount))
-    for _ in range(ROUNDS):
-        openings = materialise(_propose(known, keys, schema))
-        changed = openings.join(known, parts).where(F.col(_START) != F.col("opened")).select(*parts, _START)
-        if changed.isEmpty():
-            return openings.withColumn("_tail", F.lit(False))
-        again = _closings(hot.join(changed, parts, "inner"), keys, order, amount)
-        known = materialise(known.join(changed, parts, "left_anti").unionByName(again))
-    openings = materialise(_propose(known, keys, schema))
-    changed = openings.join(known, parts).where(F.col(_START) != F.col("opened"))
-    first = changed.groupBy(*keys).agg(F.min(_CHUNK).alias("_from"), F.min_by(_START, _CHUNK).alias("_opening"))
-    tail = F.coalesce(F.col(_CHUNK) >= F.col("_from"), F.lit(False))
-    return openings.join(first, list(keys), "left").select(
-        *parts, F.when(tail, F.col("_opening")).otherwise(F.col(_START)).alias(_START), tail.alias("_tail")
-    )
+    maps = materialise(_maps(hot.withColumn(_START, F.lit(0.0)), keys, order, amount, max_pieces))
+    while True:
+        openings = materialise(_strung(maps, keys))
+        unknown = openings.where("not _known").select(*parts, F.col("_opening").alias(_START))
+        if unknown.isEmpty():
+            return openings.select(*parts, F.col("_opening").alias(_START))
+        again = _maps(hot.join(unknown, parts, "inner"), keys, order, amount, max_pieces)
+        maps = materialise(maps.join(unknown, parts, "left_anti").unionByName(again))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from daymart.functions.dates import epoch_date
 from daymart.operators.checks import split_rejects
+from daymart.operators.ledger_fold import CHUNK_ROWS
 from daymart.plans import feeds, financials, marts, sentiment
 from daymart.plans.ledger import validated_ledger
 from daymart.plans.portfolio import portfolio_snapshot, portfolio_snapshot_intent
@@ -129,7 +130,7 @@ def _yesterday(warehouse: Warehouse, ds: dt.date, first_day: dt.date | None, *ne
     return warehouse.read("portfolio_snapshot", before, allow_absent=starts)
 
 
-def run_ledger(warehouse: Warehouse, ds: dt.date, first_day: dt.date | None = None, chunk_rows: int | None = 1_000_000) -> None:
+def run_ledger(warehouse: Warehouse, ds: dt.date, first_day: dt.date | None = None, chunk_rows: int | None = CHUNK_ROWS) -> None:
     """``first_day`` names the start of history, the only day that needs no snapshot before it; holdings with more
     than ``chunk_rows`` entries on the day are validated in parallel chunks."""
     yesterday = _yesterday(warehouse, ds, first_day, "ledger_raw")

@@ -52,7 +52,7 @@ def validated_ledger(
     raw: DataFrame,
     snapshot: DataFrame,
     ds: dt.date | None = None,
-    chunk_rows: int | None = None,
+    chunk_rows: int | None = ledger_fold.CHUNK_ROWS,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Entries of the run date that never take a holding below zero, amounts signed."""

@@ -152,7 +152,7 @@ def _finish_intent(holdings: DataFrame, quotes: DataFrame) -> DataFrame:
 
 
 def portfolio_history(
-    raw: DataFrame, prices: DataFrame, last_day: dt.date, chunk_rows: int | None = None, bucket: str | None = "minute"
+    raw: DataFrame, prices: DataFrame, last_day: dt.date, chunk_rows: int | None = ledger_fold.CHUNK_ROWS, bucket: str | None = "minute"
 ) -> DataFrame:
     """Every day's ``portfolio_snapshot_intent`` from an empty start to ``last_day``, as one job.
 

@@ -60,15 +60,66 @@ def test_a_split_key_with_fractions(rows):
     assert flags(rows, amounts, chunk_rows=9) == fold(amounts)
 
 
+def _counted(monkeypatch):
+    """How often maps are computed."""
+    rounds, maps = [], ledger_fold._maps
+    monkeypatch.setattr(ledger_fold, "_maps", lambda *a: rounds.append(1) or maps(*a))
+    return rounds
+
+
 @pytest.mark.parametrize("chunks", [16, 64])
-def test_a_hovering_key_takes_a_bounded_number_of_rounds(rows, monkeypatch, chunks):
+def test_a_hovering_key_takes_one_round(rows, monkeypatch, chunks):
     generator = random.Random(chunks)
     amounts = [round(generator.uniform(-1, 1), 2) for _ in range(4 * chunks)]
-    rounds = []
-    closings = ledger_fold._closings
-    monkeypatch.setattr(ledger_fold, "_closings", lambda *a: rounds.append(1) or closings(*a))
+    rounds = _counted(monkeypatch)
     assert flags(rows, amounts, chunk_rows=4) == fold(amounts)
-    assert len(rounds) <= 3
+    assert len(rounds) == 1
+
+
+def test_shortened_maps_take_more_rounds_and_give_the_same(rows, monkeypatch):
+    generator = random.Random(11)
+    amounts = [generator.randint(-50, 50) for _ in range(300)]
+    rounds = _counted(monkeypatch)
+    frame = rows("k string, t timestamp_ntz, n bigint, amount double", *[("k", at(i), i, float(a)) for i, a in enumerate(amounts)])
+    marked = ledger_fold.accept_flags(frame, ["k"], ["t", "n"], "amount", "t", chunk_rows=60, max_pieces=6).collect()
+    assert [r.Is_Valid for r in sorted(marked, key=lambda r: r.n)] == fold(amounts)
+    assert 1 < len(rounds) <= 6
+
+
+def test_the_map_of_a_chunk_holds_for_every_opening(rows):
+    """Breakpoints against runs from every opening, whole and shortened ones."""
+    generator = random.Random(4)
+    for pieces in (4096, 8):
+        amounts = [generator.randint(-20, 18) for _ in range(60)]
+        frame = rows(
+            "k string, _chunk bigint, n bigint, amount double, _start double", *[("k", 0, i, float(a), 7.0) for i, a in enumerate(amounts)]
+        )
+        (found,) = ledger_fold._maps(frame, ["k"], ["n"], "amount", pieces).collect()
+        known = 0
+        for opening in range(0, 700):
+            total = float(opening)
+            for amount in amounts:
+                total = total + amount if total + amount >= 0 else total
+            place = max(i for i, low in enumerate(found["_low"]) if low <= opening)
+            shift = found["_shift"][place]
+            assert shift != shift or opening + shift == total
+            known += shift == shift
+        assert len(found["_low"]) <= pieces + 2 and known >= (700 if pieces > 8 else 1)
+        at_guess = max(i for i, low in enumerate(found["_low"]) if low <= 7.0)
+        assert found["_shift"][at_guess] == found["_shift"][at_guess]
+
+
+def test_no_stream_is_longer_than_a_chunk(rows):
+    """The rows of a large key reach the fold under as many parts as there are chunks."""
+    generator = random.Random(12)
+    frame = rows(
+        "k string, t timestamp_ntz, n bigint, amount double", *[("k", at(i), i, float(generator.randint(-9, 9))) for i in range(200)]
+    )
+    hot = ledger_fold._chunked(frame, ["k"], ["t", "n"], "t", 25, "second")
+    sizes = [r["count"] for r in hot.groupBy("k", "_chunk").count().collect()]
+    assert sorted(sizes) == [25] * 8
+    openings = ledger_fold._settle(hot, ["k"], ["t", "n"], "amount", 4096).collect()
+    assert sorted(r["_chunk"] for r in openings) == list(range(8))
 
 
 def test_one_second_is_cut_as_well(rows):

@@ -565,6 +565,14 @@ _add(
 )
 _add("delimited_read", "SELECT * FROM part")
 _add("partition_overwrite", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw", "ledger_raw")
+_add("committed_days", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw WHERE p_date <> DATE '2024-01-15'", "ledger_raw")
+_add(
+    "routed_rows",
+    """SELECT *, count(*) OVER (PARTITION BY route) AS written FROM (
+    SELECT CASE WHEN p_date <> DATE '2024-01-15' THEN 'other_days' WHEN Amount < 10 THEN 'small' ELSE 'entries' END AS route,
+           Txn_Id, Ticker, Amount, p_date AS own_date, DATE '2024-01-15' AS p_date FROM ledger_raw) AS r""",
+    "ledger_raw",
+)
 _add(
     "missing_keys",
     """SELECT DISTINCT c_custkey FROM (SELECT c_custkey FROM customer UNION ALL SELECT -s_suppkey FROM supplier) c

@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.views import LEXICON, PAGE_LABELS, Tables
+from daymart import warehouse
 from daymart.functions import dates, numbers, text
 from daymart.operators import calendar, checks, lookback, pick
 from daymart.plans import feeds, financials, ledger, marts, portfolio, prices, sentiment
 from daymart.schemas import schema_of, table_schema
 from daymart.session import shared_dir
-from daymart.sinks import day_partitions, load
+from daymart.sinks import commits, day_partitions, load
 from daymart.sources import day_tables, html, landed_files, payloads
 
 DS = dt.date(2024, 1, 15)
@@ -601,6 +602,37 @@ def partition_overwrite(t: Tables) -> DataFrame:
     return day_tables.read_table(t.spark, table, rows.schema)
 
 
+@query
+def committed_days(t: Tables) -> DataFrame:
+    """All days published at once, one replaced by nothing; then a replacement that fails and one that is not published."""
+    rows = t["ledger_raw"].select("Txn_Id", "Analyst", "Ticker", "Amount", "p_date")
+    store, schemas = commits.Commits(t.spark, _scratch(t.spark, "commits")), {"entries": rows.schema}
+    days = [FIRST_DAY + dt.timedelta(days=i) for i in range((LAST_DAY - FIRST_DAY).days + 1)]
+    store.publish(store.write(rows, schemas, days))
+    store.publish(store.write(rows.where(F.lit(False)), schemas, [DS]))
+    after = DS + dt.timedelta(days=1)
+    broken = rows.withColumn("Ticker", F.when(F.col("Txn_Id") % 5 == 0, F.raise_error(F.lit("a broken load"))).otherwise(F.col("Ticker")))
+    try:
+        store.publish(store.write(day_tables.on_day(broken, after), schemas, [after]))
+    except Exception as failure:
+        if "a broken load" not in str(failure):
+            raise
+    store.write(rows.where(F.lit(False)), schemas, [after])
+    return store.read(store.state(), "entries", None)
+
+
+@query
+def routed_rows(t: Tables) -> DataFrame:
+    """Entries of the day, small ones, and those of other days to three tables by one job; each row with the count observed for its table."""
+    rows = t["ledger_raw"].select("Txn_Id", "Ticker", "Amount", F.col("p_date").alias("own_date"))
+    route = F.when(F.col("own_date") != F.lit(DS), "other_days").when(F.col("Amount") < 10, "small").otherwise("entries")
+    store, columns = warehouse.Warehouse(t.spark, _scratch(t.spark, "routed")), ["Txn_Id", "Ticker", "Amount", "own_date"]
+    tables = dict.fromkeys(("entries", "small", "other_days"), columns)
+    store.write_routed(rows.withColumn("route", route), tables, DS)
+    parts = [store.read(n, DS).select(F.lit(n).alias("route"), "*", F.lit(store.rows_written(n, DS)).cast("long").alias("written")) for n in tables]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def missing_keys(t: Tables) -> DataFrame:
     """Every customer ordered something, so the suppliers' numbers, negative, are requested too."""

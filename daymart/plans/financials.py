@@ -29,6 +29,26 @@ def financials_raw(pages: DataFrame, ticker: str, page: str, ds: dt.date | str)
     )
 
 
+def financials_routed(pages: DataFrame, ticker: str, page: str) -> DataFrame:
+    """All of the pages in one pass, ``route`` naming the table of a row: the wide row of a page under ``financials_raw``; a page without
+    statistics, and each statistic without a column (``name, value``), under ``financials_rejects``."""
+    names = [name for name, _ in FINANCIALS]
+    kinds = table_schema("financials_raw")
+    entry = "struct<name: string, value: string>"
+    unknown = F.filter("_pairs", lambda p: ~p["name"].isin(names))
+    each = F.concat(F.array(F.lit(None).cast(entry)), unknown)
+    rows = _parsed(pages, ticker, page).select("Ticker", "_pairs", F.posexplode_outer(each).alias("_place", "_entry"))
+    own = (F.col("_place") == 0) & (F.size("_pairs") > 0)
+    values = [F.when(own, value).try_cast(kinds[name].dataType).alias(name) for name, value in zip(names, html.wide(F.col("_pairs"), names))]
+    return rows.select(
+        "Ticker",
+        *values,
+        F.col("_entry")["name"].alias("name"),
+        F.col("_entry")["value"].alias("value"),
+        F.when(own, "financials_raw").otherwise("financials_rejects").alias("route"),
+    )
+
+
 def unreadable_pages(pages: DataFrame, ticker: str, page: str) -> DataFrame:
     """Tickers whose page holds no statistics."""
     return _parsed(pages, ticker, page).where(F.size("_pairs") <= 0).select("Ticker")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,6 +86,12 @@ SAME_NEWS = ["title", "ticker"]
 SAME_FORUM = ["title", "p_date"]
 
 
+def first_posts(posts: DataFrame, same: Sequence[str], order: Sequence[str], of: Column) -> DataFrame:
+    """The first of equal rows among those with ``of``; all others stay, each for itself, so they meet nowhere."""
+    alone = F.when(~of, F.monotonically_increasing_id())
+    return keep_first(posts.withColumn("_alone", alone), [*same, "_alone"], order).drop("_alone")
+
+
 def clean_social(posts: DataFrame) -> DataFrame:
     """Post texts cleaned, and line breaks turned into spaces in every string."""
     return posts.withColumns(

@@ -17,8 +17,9 @@ Digests and places are shuffled, partially aggregated to the smallest id; a pass
 The texts are shuffled once, to meet the places to remove.
 
 Defined results: a NULL text stays NULL and an empty one empty; a text that repeats earlier documents throughout becomes empty; rows
-with the same id are one document that appears twice and keep or lose the same; rows with a NULL id are left as they are; other columns
-are passed through untouched.
+with the same id and text are one document that appears twice and keep or lose the same; rows with one id and different texts are each cut at
+their own places (a place belongs to the id and a 64-bit digest of the text), and a passage that only texts of one id share stays in all of
+them; rows with a NULL id are left as they are; other columns are passed through untouched.  Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from daymart.llm.tables import extended, fresh
 
@@ -155,11 +157,11 @@ def chunks(text: str | None) -> Iterator[tuple[int, int, int, bytes]]:
 
 
 def chunk_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``id``, ``place`` (start, size and words in one number), the digest in two, and whether the document has it earlier."""
-    frame = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).filter(
+    """``id``, ``own`` (digest of the text), ``place`` (start, size and words in one number), the digest in two, and whether the text has it earlier."""
+    frame = docs.select(F.col(f"`{id}`").alias("id"), F.xxhash64(f"`{text}`").alias("own"), F.col(f"`{text}`").alias("text")).filter(
         F.col("id").isNotNull() & F.col("text").isNotNull()
     )
-    schema = extended(frame.select("id").schema, "place long, high long, low long, again boolean")
+    schema = extended(frame.select("id", "own").schema, "place long, high long, low long, again boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,8 +176,9 @@ def chunk_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
                     seen.add(digest)
                 if len(rows) >= 200_000 or row == batch.num_rows - 1:
                     halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    taken = pa.array(rows, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())],
+                        [batch.column("id").take(taken), batch.column("own").take(taken), pa.array(places, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())],
                         schema.names,
                     )
                     rows, places, digests, again = [], [], [], []
@@ -184,14 +187,14 @@ def chunk_rows(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def repeated_places(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``id`` and ``repeats``: its repeated chunks as (place, id of the document that keeps it)."""
+    """``id``, ``own`` and ``repeats``: the repeated chunks of a text as (place, id of the document that keeps it)."""
     rows = chunk_rows(docs, id, text)
     keepers = (
         rows.filter("not again").groupBy("high", "low").agg(F.min("id").alias("keeper"), F.max("id").alias("last")).filter("keeper < last").drop("last")
     )
-    found = rows.filter("not again").join(keepers, ["high", "low"]).filter("id > keeper").select("id", "place", "keeper")
-    within = rows.filter("again").select("id", "place", F.col("id").alias("keeper"))
-    return found.unionByName(within).groupBy("id").agg(F.collect_set(F.struct("place", "keeper")).alias("repeats"))
+    found = rows.filter("not again").join(keepers, ["high", "low"]).filter("id > keeper").select("id", "own", "place", "keeper")
+    within = rows.filter("again").select("id", "own", "place", F.col("id").alias("keeper"))
+    return found.unionByName(within).groupBy("id", "own").agg(F.collect_set(F.struct("place", "keeper")).alias("repeats"))
 
 
 def runs(repeats: list[tuple[int, int]], min_words: int) -> list[tuple[int, int, set[int]]]:
@@ -214,13 +217,16 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", min_wo
     With ``report`` three columns follow: ``n_removed`` (characters), ``spans`` (code points of the original text that went) and
     ``kept_in`` (ids of the documents that keep them, sorted).
     """
-    key, places = fresh(docs, "_key"), fresh(docs, "_places")
-    repeats = repeated_places(docs, id, text).select(F.col("id").alias(key), F.col("repeats").alias(places))
+    key, own, places = fresh(docs, "_key"), fresh(docs, "_own"), fresh(docs, "_places")
+    repeats = repeated_places(docs, id, text).select(F.col("id").alias(key), F.col("own").alias(own), F.col("repeats").alias(places))
     position = docs.columns.index(text)
-    joined = docs.join(repeats, docs[f"`{id}`"] == repeats[key], "left").drop(key)
+    same = (docs[f"`{id}`"] == repeats[key]) & (F.xxhash64(docs[f"`{text}`"]) == repeats[own])
+    joined = docs.join(repeats, same, "left").drop(key, own)
     schema = docs.schema
     if report:
-        schema = extended(schema, "n_removed long, spans array<struct<start:long,end:long>>, kept_in array<long>")
+        kind = docs.schema[id].dataType
+        schema = extended(schema, f"n_removed long, spans array<struct<start:long,end:long>>, kept_in array<{kind.simpleString()}>")
+        id_type = to_arrow_type(kind)
     width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +260,7 @@ def deduplicated(docs: DataFrame, id: str = "doc_id", text: str = "text", min_wo
                 columns += [
                     pa.array(removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(kept_in, pa.list_(pa.int64())),
+                    pa.array(kept_in, pa.list_(id_type)),
                 ]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

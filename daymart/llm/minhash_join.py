@@ -15,7 +15,8 @@
 
 Defined results: a NULL or blank text has an empty set and links with nothing; a text of fewer words than a shingle has one
 shingle, all its words; a NULL id links with nothing, has no component and is kept; rows that repeat an id and a text get the same result;
-ids are whole numbers; other columns are passed through by ``unique_documents`` and not read otherwise.
+with one id over different texts every row counts by its own text (of 64-bit digest): it has the component of that text, whose number is the smallest id
+that any of the component's texts stands under, and it is that row which is kept or removed, so no text is lost; ids are whole numbers; other columns are passed through by ``unique_documents`` and not read otherwise.
 """
 
 from __future__ import annotations
@@ -86,9 +87,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """``id``, ``n_shingles``, the digest of the set in two halves (NULL for none) and the signature."""
-    frame = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    schema = extended(frame.select("id").schema, "n_shingles long, high long, low long, signature binary")
+    """``id``, ``own`` (digest of the text), ``n_shingles``, the digest of the set in two halves (NULL for none) and the signature."""
+    frame = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.xxhash64(f"`{text}`").alias("own"), F.col(f"`{text}`").alias("text"))
+    schema = extended(frame.select("id", "own").schema, "n_shingles long, high long, low long, signature binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,7 +102,7 @@ def profiles(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 low.append(halves[1])
                 signatures.append(signature(own).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(c, pa.int64()) for c in (counts, high, low)), pa.array(signatures, pa.binary())], schema.names
+                [batch.column("id"), batch.column("own"), *(pa.array(c, pa.int64()) for c in (counts, high, low)), pa.array(signatures, pa.binary())], schema.names
             )
 
     return frame.mapInArrow(run, schema)
@@ -275,12 +276,12 @@ def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _noted_texts(units: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose id falls into the same of ``CELLS`` cells as an id of ``units``.
+    """The rows of ``texts`` whose ``doc`` falls into the same of ``CELLS`` cells as one of ``units``.
 
     A table of one bit for each cell, of fixed size, travels to the tasks; it lets all noted documents through and few others, so
     that the join which follows shuffles the texts of candidates only.
     """
-    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS)).cast("int").alias("cell")
+    cell = F.pmod(F.xxhash64("doc"), F.lit(CELLS)).cast("int").alias("cell")
     marked = np.zeros(CELLS, bool)
     marked[units.select(cell).distinct().toArrow().column("cell").to_numpy()] = True
     table = units.sparkSession.sparkContext.broadcast(np.packbits(marked))
@@ -290,15 +291,20 @@ def _noted_texts(units: DataFrame, texts: DataFrame) -> DataFrame:
             cells = batch.column("cell").to_numpy()
             keep = (table.value[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1
             if keep.any():
-                yield batch.filter(pa.array(keep.astype(bool))).select(["id", "text"])
+                yield batch.filter(pa.array(keep.astype(bool))).select(["doc", "text"])
 
-    return texts.filter(F.col("id").isNotNull()).select("id", "text", cell).mapInArrow(run, "id long, text string")
+    return texts.filter(F.col("doc").isNotNull()).select("doc", "text", cell).mapInArrow(run, "doc long, text string")
 
 
-def links(units: DataFrame, docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
-    """Confirmed links (``a`` < ``b``) that connect what is connected in each unit."""
-    texts = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    rows = units.join(_noted_texts(units, texts), "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+def links(units: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Confirmed links (``a`` < ``b``) between classes that connect what is connected in each unit.
+
+    The text of a class is that of the id and digest in ``reps``.
+    """
+    own = F.xxhash64("text").alias("own")
+    texts = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
+    named = units.join(reps.select("id", "doc", "own"), "id")
+    rows = named.join(_noted_texts(named, texts).select("doc", "text", own), ["doc", "own"]).repartition(*UNIT).sortWithinPartitions(*UNIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _whole_groups(batches, UNIT):
@@ -338,26 +344,39 @@ def components(edges: DataFrame) -> DataFrame:
         state = written(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
 
 
-def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """``id``, ``n_shingles``, ``component_id`` (smallest id reachable over links) and ``kept`` (whether it is that one)."""
+def _marked(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Every row's ``id``, ``own``, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Classes of equal sets are numbered; links and components are between classes, and rows are mapped to them last.
+    """
     profile = written(profiles(docs, id, text, size))
-    usable = profile.filter("n_shingles > 0 and id is not null")
+    linked = F.col("high").isNotNull() & F.col("id").isNotNull()
+    usable = profile.where(linked)
     classes = usable.groupBy("high", "low").agg(F.min("id").alias("rep"))
-    reps = written(usable.join(classes, ["high", "low"]).filter("id = rep").select("id", "n_shingles", "signature"))
-    units = written(candidates(reps, least_matches(percent)))
-    found = components(links(units, docs, id, text, size, percent))
-    resolved = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "high", "low", F.coalesce("component", "rep").alias("component_id")
-    )
-    marked = profile.select("id", "n_shingles", "high", "low").join(resolved, ["high", "low"], "left")
-    component = F.coalesce("component_id", "id")
-    return marked.select(
-        F.col("id").alias(id), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")
+    chosen = usable.join(classes, ["high", "low"]).filter("id = rep").groupBy("high", "low", "rep").agg(
+        F.min_by(F.struct("own", "n_shingles", "signature"), "own").alias("r")
     )
+    numbered = written(chosen.select(F.monotonically_increasing_id().alias("id"), "high", "low", F.col("rep").alias("doc"), "r.*"))
+    reps = numbered.select("id", "doc", "own", "n_shingles", "signature")
+    units = written(candidates(reps, least_matches(percent)))
+    found = components(links(units, reps, docs, id, text, size, percent))
+    placed = written(numbered.join(found, "id", "left").select("high", "low", "doc", F.coalesce("component", "id").alias("component")))
+    names = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
+    resolved = placed.join(names, "component").select("high", "low", "component_id")
+    joined = usable.join(resolved, ["high", "low"]).select("id", "own", "n_shingles", "component_id")
+    alone = profile.where(~linked).select("id", "own", "n_shingles", F.col("id").alias("component_id"))
+    kept = F.coalesce(F.col("component_id") == F.col("id"), F.lit(True))
+    return joined.unionByName(alone).withColumn("kept", kept)
+
+
+def grouped(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``id``, ``n_shingles``, ``component_id`` (smallest id reachable over links) and ``kept`` (whether it is that one)."""
+    return _marked(docs, id, text, size, percent).select(F.col("id").alias(id), "n_shingles", "component_id", "kept")
 
 
 def unique_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that a document with a smaller id stands for."""
-    key = fresh(docs, "_gone")
-    gone = grouped(docs, id, text, size, percent).filter("not kept").select(F.col(f"`{id}`").alias(key)).distinct()
-    return docs.join(gone, docs[f"`{id}`"] == gone[key], "left_anti")
+    """``docs`` without the rows that a document with a smaller id stands for."""
+    key, own = fresh(docs, "_gone"), fresh(docs, "_own")
+    gone = _marked(docs, id, text, size, percent).filter("not kept").select(F.col("id").alias(key), F.col("own").alias(own)).distinct()
+    same = (docs[f"`{id}`"] == gone[key]) & (F.xxhash64(docs[f"`{text}`"]) == gone[own])
+    return docs.join(gone, same, "left_anti")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict, deque
 from collections.abc import Callable, Iterator
 
@@ -28,7 +29,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
 from daymart.llm.tables import extended
 
@@ -130,6 +130,16 @@ class Packer:
             yield sequence
 
 
+def _byte_signs() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: printable ones themselves, the others from 256 on in turn."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {byte: chr(byte if byte in printable else next(others)) for byte in range(256)}
+
+
+BYTE_SIGNS = _byte_signs()
+
+
 class Known(dict):
     """A cache in two generations of ``kept`` entries, so that frequent ones stay; ``make`` finds what is missing."""
 
@@ -167,27 +177,24 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.words, self.parts = Known(self._word, WORDS_KEPT), Known(self._part, PARTS_KEPT)
         self.split, self.split_plain = regex.compile(self.PIECES).findall, re.compile(self.PLAIN).findall
-        self.model = self.tokenizer.model
-        self.alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize, self.normalize = self.tokenizer.model.tokenize, self.tokenizer.normalizer.normalize_str
 
     def _part(self, part: str) -> bytes:
         if not (part.isascii() and part.isprintable()):
-            part = self.alphabet.pre_tokenize_str(part)[0][0]
-        return np.array([token.id for token in self.model.tokenize(part)], "<u4").tobytes()
+            part = part.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [token.id for token in self.tokenize(part)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word.isascii():
-            parts = self.split_plain(word.lower())
-        else:
-            parts = self.split(self.tokenizer.normalizer.normalize_str(word))
-        return b"".join(map(self.parts.__getitem__, parts))
+        return b"".join(map(self.parts.__getitem__, self.split_plain(word) if word.isascii() else self.split(word)))
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.APART(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        # Letter case and composed forms are settled for the whole text, so that fewer words differ.
+        plain = text.lower() if text.isascii() else self.normalize(text)
+        return b"".join(map(self.words.__getitem__, plain.split()))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +21,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths that ``written`` fills meanwhile."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
 def written(frame: DataFrame) -> DataFrame:
     """``frame`` written to the shared folder and read again: computed once, and safe from lost executors."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    for paths in _recorders:
+        paths.append(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession, paths: list[str], still_read: DataFrame) -> None:
+    """Remove these tables of ``written``, but for those that ``still_read`` reads from."""
+    needed = {part for file in still_read.inputFiles() for part in file.split("/")} if paths else set()
+    for path in paths:
+        if path.rsplit("/", 1)[-1] not in needed:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def extended(schema: StructType, ddl: str) -> StructType:
     """``schema`` and the columns of ``ddl`` behind it."""
     return StructType(schema.fields + StructType.fromDDL(ddl).fields)

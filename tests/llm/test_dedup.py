@@ -259,3 +259,66 @@ def test_posting_lists_are_cut_by_frequency():
         a, b = (minhash_join.shingle_set(t, 3) for t in (base, " ".join(words)))
         counts[int((minhash_join.signature(a) == minhash_join.signature(b)).sum() >= matches)] += 1
     assert counts[0] == 0
+
+
+def _two_texts():
+    """Ids over two texts, with multi-byte characters, shared passages and near copies."""
+    shared = prose(801, 60) + " " + "größer " * 30
+    a, b, c = (prose(810 + k, 120) for k in range(3))
+    return [
+        (1, "ü" * 40 + " " + a + " " + shared), (2, "日本 " + b + " " + shared), (2, "ß " * 99 + shared + " " + c), (3, shared + " é " + c),
+        (4, a), (4, b), (5, b), (5, b), (6, a + " extra"), (4, ""), (4, None),
+    ]
+
+
+def test_passages_of_ids_over_two_texts(make):
+    rows = _two_texts()
+    out = chunk_dedup.deduplicated(make([(i, t, "en", "s") for i, t in rows]), report=True).collect()
+    cut = [list(chunk_dedup.chunks(t)) for _, t in rows]
+    keeper = {}
+    for (i, t), own in sorted(zip(rows, cut), key=lambda x: x[0][0]):
+        for *_, digest in own:
+            keeper.setdefault(digest, i)
+    want = []
+    for (i, text), own in zip(rows, cut):
+        seen, gone = set(), []
+        for start, size, words, digest in own:
+            if keeper[digest] != i or digest in seen:
+                if gone and gone[-1][1] == start:
+                    gone[-1][1:] = [start + size, gone[-1][2] + words]
+                else:
+                    gone.append([start, start + size, words])
+            seen.add(digest)
+        raw = (text or "").encode()
+        for start, end, words in reversed(gone):
+            raw = raw[:start] + raw[end:] if words >= 20 else raw
+        want.append((i, text if text is None else raw.decode()))
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in out))) == sorted(map(str, want))
+    assert sum(len(t or "") for _, t in want) < 0.8 * sum(len(t or "") for _, t in rows)
+
+
+def test_passages_report_with_ids_of_text(spark):
+    shared = prose(820, 80)
+    docs = spark.createDataFrame([("a", shared), ("b", prose(821, 50) + "\n" + shared)], "doc_id string, text string")
+    out = {r["doc_id"]: r for r in chunk_dedup.deduplicated(docs, report=True).collect()}
+    assert out["a"]["kept_in"] == [] and out["b"]["kept_in"] == ["a"] and out["b"]["n_removed"] > 100
+
+
+def test_near_duplicates_of_ids_over_two_texts(make):
+    """Every row goes by its own text; nothing is lost but rows that another row stands for."""
+    rows = _two_texts()
+    docs = make([(i, t, "en", "s") for i, t in rows])
+    sets = [set(minhash_join.shingle_set(t, 5).tolist()) for _, t in rows]
+    component = list(range(len(rows)))
+    for x in range(len(rows)):
+        for y in range(x):
+            if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                old, new = component[x], component[y]
+                component = [new if c == old else c for c in component]
+    least = {c: min(i for (i, _), k in zip(rows, component) if k == c) for c in component}
+    want = sorted((i, len(s), least[c], least[c] == i) for (i, _), s, c in zip(rows, sets, component))
+    got = minhash_join.grouped(docs, size=5, percent=80).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == want
+    left = minhash_join.unique_documents(docs, size=5, percent=80).collect()
+    assert sorted((r["doc_id"], str(r["text"])) for r in left) == sorted((i, str(t)) for (i, t), c in zip(rows, component) if least[c] == i)
+    assert {c for c in component} == {c for (i, _), c in zip(rows, component) if least[c] == i}  # every text has a row that stays

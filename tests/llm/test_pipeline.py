@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force, each on its own input."""
 
 import collections
+import os
 import re
 
 import corpus_pipeline
@@ -33,7 +34,10 @@ def test_every_stage_on_the_small_table(spark):
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES:
         before = {r["doc_id"]: r for r in docs.collect()}
+        tables = list(corpus_pipeline._left)
         result = stage(spark, docs, folder)
+        assert not any(os.path.exists(path.removeprefix("file:")) for path in tables)  # those of the stage before are gone
+        assert name != "minhash_join" or corpus_pipeline._left
         if name == "slack_packing":
             lengths = collections.Counter()
             for r in result.collect():

@@ -17,6 +17,7 @@ itself; ties in length are taken in the order of rows; an empty table gives no p
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict, deque
@@ -169,6 +170,8 @@ class WordTokenizer:
     PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: The same for lower-case ASCII, for the faster standard matcher.
     PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+    #: Characters that are left to the tokenizer's own normalizer.
+    BEYOND = re.compile("[\u0530-\U0010ffff]").search
     #: White space to Python, but not to the tokenizer.
     APART = re.compile("[\x1c-\x1f]").search
 
@@ -192,9 +195,18 @@ class WordTokenizer:
             return b""
         if self.APART(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        # Letter case and composed forms are settled for the whole text, so that fewer words differ.
-        plain = text.lower() if text.isascii() else self.normalize(text)
-        return b"".join(map(self.words.__getitem__, plain.split()))
+        return b"".join(map(self.words.__getitem__, self.plain(text).split()))
+
+    def plain(self, text: str) -> str:
+        """Letter case and composed forms, settled for the whole text so that fewer words differ.
+
+        Up to Cyrillic the standard library does what the file's normalizer does, but for the final sigma, which the latter has not.
+        """
+        if text.isascii():
+            return text.lower()
+        if not self.BEYOND(text):
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.normalize(text)
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

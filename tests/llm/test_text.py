@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers.pre_tokenizers import ByteLevel
 import tiktoken
 from pyspark.sql import functions as F
 from samples import prose
@@ -304,3 +305,18 @@ def test_the_query_sees_every_stretch(spark, tmp_path, make):
     for r in op9_spotsigs(spark, str(tmp_path)).collect():
         assert len(r["fingerprint"]) == 10 * len(brute_stretches(texts[r["doc_id"]]))
         assert r["near_next"] < 0.02 and 0.5 < r["near_edited"] < 0.7
+
+
+def test_plain_text_is_what_the_normalizer_makes():
+    """Every character up to Cyrillic, alone and under combining marks, and whole texts with others."""
+    tokenizer = slack_packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in range(0x21, 0x530) if not chr(c).isspace() and not 0x80 <= c < 0xA0]
+    for mark in ("", "\u0301", "\u0308", "\u0327", "\u0345", "\u0323\u0302"):
+        text = " ".join(f"{c}{mark} A{c}{mark} {c}{mark}A" for c in letters)
+        assert not tokenizer.BEYOND(text)
+        assert tokenizer.plain(text).split() == tokenizer.normalize(text).split()
+    for text in ("ΑΣ ΣΑΣ", "İI ıi", "Ünïcode ẞ 日本 한국", "e\u0301 E\u0301", "ǅ ŉ ſ"):
+        assert tokenizer.plain(text).split() == tokenizer.normalize(text).split()
+    for part in ("é", "日", "ß\u00ad", "\x7f", "ø\x01"):
+        signs = part.encode().decode("latin-1").translate(slack_packing.BYTE_SIGNS)
+        assert signs == ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(part)[0][0]

@@ -78,20 +78,19 @@ def op8_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spotsigs.with_next(table(spark, folder, "documents"))
-    changed = rows.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "next_text", F.explode(F.array(spotsigs.edited(F.col("text"), F.col("next_text")))).alias("edited")
-    )
-    marked = changed.select(
+    # Once for each text: the next document's signatures come with it, those of the edited text differ from a place on only.
+    placed = spotsigs.placed_signatures(spotsigs.words_of(F.col("text"))).alias("placed")
+    rows = spotsigs.with_next(table(spark, folder, "documents").select("doc_id", "text", F.explode(F.array(placed)).alias("placed")), carried="placed")
+    new = spotsigs.edited_places(F.col("text"), F.col("next_text"), F.col("placed"))
+    marked = rows.select(
         "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        F.explode(
-            F.array(F.struct(*[spotsigs.signatures(F.col(c), stretches=True).alias(k) for c, k in (("text", "own"), ("edited", "new"), ("next_text", "next"))]))
-        ).alias("s"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+        F.sha2(spotsigs.edited(F.col("text"), F.col("next_text")), 256).alias("edited_sha256"),
+        F.explode(F.array(F.struct(F.col("placed").alias("own"), new.alias("new"), F.col("next_placed").alias("next")))).alias("p"),
     )
-    s = F.col("s")
-    return marked.select(
+    s, p = F.col("s"), F.col("p")
+    sets = F.struct(*[spotsigs.as_set(p[k]["chains"], p[k]["windows"]).alias(k) for k in ("own", "new", "next")])
+    return marked.withColumn("s", F.explode(F.array(sets))).select(
         "doc_id",
         "n_chars",
         "edited_sha256",

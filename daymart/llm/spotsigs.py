@@ -2,13 +2,15 @@
 
 Words are runs of letters and digits, lower-cased; the common words of several languages are anchors.  Each anchor
 makes one signature: itself and the next ``CHAIN`` content words, if they stand within ``REACH`` words.  The fingerprint of a text is the
-sorted set of its signatures' digests.  A text in which no anchor has a chain takes every window of ``CHAIN`` words instead, or all
+sorted set of its signatures' digests of 40 bits.  A text in which no anchor has a chain takes every window of ``CHAIN`` words instead, or all
 its words if there are fewer, so that only a text without words has an empty fingerprint.
 
 With ``stretches`` this is decided word by word: a chain covers the words from its anchor to its last content word, and every window
 of ``CHAIN`` words that holds a word no chain covers is a signature too.  So each word of a text is in some signature, and a stray
 anchor in a text of another language, a table or a listing doesn't stand for all of it.
 
+Signatures are kept by place, so that those of an edited text follow from the original's but for the places next to the edit.
+
 Fingerprints are compared by Jaccard similarity.  Since that is at most the ratio of set sizes, sets are partitioned by length and
 a pair is looked at only if their lengths allow the similarity asked for; see ``near_duplicates``.
 
@@ -49,63 +51,118 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, "[^\\p{L}\\p{N}\\p{M}]+"), "")
 
 
-def signatures(text: Column, stretches: bool = False) -> Column:
-    """Sorted distinct signature digests (hexadecimal) of a text; with ``stretches`` also of the words that no chain covers."""
-    def digest(parts: Column) -> Column:
-        return F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(parts), 24))), 10, "0")
+def _digest(parts: Column) -> Column:
+    """The upper 40 bits of a hash."""
+    return F.shiftrightunsigned(F.xxhash64(parts), 24)
 
-    def of_words(words: Column) -> Column:
-        # Content words with their places, NULL for anchors.
-        content = F.transform(
-            words, lambda w, i: F.when(~w.isin(*sorted(set(ANCHORS))), F.struct(w.alias("word"), i.alias("at")))
-        )
-        return _with(F.struct(words.alias("words"), content.alias("content")), spots)
-
-    def spots(parts: Column) -> Column:
-        words, content = parts["words"], parts["content"]
-        chains = F.transform(
-            content,
-            lambda c, i: F.when(
-                c.isNull(),
-                _with(
-                    F.slice(F.array_compact(F.slice(content, i + 2, REACH)), 1, CHAIN),
-                    lambda chain: F.when(
-                        F.size(chain) == CHAIN,
-                        F.struct(
-                            digest(F.concat(F.array(F.get(words, i)), chain["word"])).alias("digest"),
-                            F.element_at(chain, CHAIN)["at"].alias("end"),
-                        ),
+
+def chain_places(words: Column) -> Column:
+    """For each place, ``digest`` of the chain of an anchor there and the place of its ``end``; both -1 where none starts."""
+    none = F.struct(F.lit(-1).cast("long").alias("digest"), F.lit(-1).alias("end"))
+    # Content words with their places, NULL for anchors.
+    content = F.transform(words, lambda w, i: F.when(~w.isin(*sorted(set(ANCHORS))), F.struct(w.alias("word"), i.alias("at"))))
+
+    def chains(content: Column) -> Column:
+        def chain_at(c: Column, i: Column) -> Column:
+            found = _with(
+                F.slice(F.array_compact(F.slice(content, i + 2, REACH)), 1, CHAIN),
+                lambda chain: F.when(
+                    F.size(chain) == CHAIN,
+                    F.struct(
+                        _digest(F.concat(F.array(F.get(words, i)), chain["word"])).alias("digest"),
+                        F.element_at(chain, CHAIN)["at"].alias("end"),
                     ),
                 ),
-            ),
+            )
+            return F.coalesce(F.when(c.isNull(), found), none)
+
+        return F.transform(content, chain_at)
+
+    return _with(content, chains)
+
+
+def window_places(words: Column, ends: Column) -> Column:
+    """For each place, the digest of the window of ``CHAIN`` words there if it holds a word that no chain covers, else -1."""
+
+    def covered(ends: Column, i: Column) -> Column:
+        # A chain ends at most REACH words behind its anchor.
+        found = F.get(ends, i) >= i
+        for back in range(1, REACH + 1):
+            found = found | (F.get(ends, i - back) >= i)
+        return F.coalesce(found, F.lit(False))
+
+    def windows(covered: Column) -> Column:
+        def window_at(w: Column, i: Column) -> Column:
+            full = F.get(covered, i)
+            for ahead in range(1, CHAIN):
+                full = full & F.coalesce(F.get(covered, i + ahead), F.lit(True))
+            # Behind the last whole window none starts, but for a text shorter than that.
+            starts = (i == 0) | (i <= F.size(words) - CHAIN)
+            return F.when(starts & ~full, _digest(F.slice(words, i + 1, CHAIN))).otherwise(F.lit(-1).cast("long"))
+
+        return F.transform(words, window_at)
+
+    # The ends are taken out once, not for every word.
+    marked = _with(ends, lambda ends: F.transform(words, lambda w, i: covered(ends, i)))
+    return _with(marked, windows)
+
+
+def placed_signatures(words: Column) -> Column:
+    """``chains`` and ``windows``: for each place of a text its two signatures, -1 for none."""
+
+    def of_words(words: Column) -> Column:
+        return _with(
+            chain_places(words),
+            lambda chains: F.struct(chains["digest"].alias("chains"), window_places(words, chains["end"]).alias("windows")),
         )
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - CHAIN + 1))
 
-        def or_windows(chains: Column) -> Column:
-            found = F.array_compact(chains)["digest"]
-            windows = F.transform(starts, lambda p: digest(F.slice(words, p, CHAIN)))
-            return F.when(F.size(found) > 0, found).when(F.size(words) > 0, windows).otherwise(found)
-
-        def and_windows(chains: Column) -> Column:
-            # A chain ends at most REACH words behind its anchor.
-            def covered_by(ends: Column) -> Column:
-                return F.transform(
-                    words,
-                    lambda w, i: F.coalesce(
-                        F.array_max(F.slice(ends, F.greatest(i - REACH, F.lit(0)) + 1, F.least(i, F.lit(REACH)) + 1)) >= i, F.lit(False)
-                    ),
-                )
+    return _with(words, of_words)
 
-            def windows(covered: Column) -> Column:
-                return F.transform(
-                    starts, lambda p: F.when(F.array_contains(F.slice(covered, p, CHAIN), False), digest(F.slice(words, p, CHAIN)))
-                )
 
-            # The ends are taken out once, not for every word.
-            found = _with(_with(chains["end"], covered_by), windows)
-            return F.array_compact(F.concat(chains["digest"], found))
+def as_set(*placed: Column) -> Column:
+    """Sorted distinct signatures of placed ones."""
+    return F.sort_array(F.array_distinct(F.array_remove(F.concat(*placed), F.lit(-1).cast("long"))))
 
-        return F.array_sort(F.array_distinct(_with(chains, and_windows if stretches else or_windows)))
+
+def edited_places(text: Column, other: Column, own: Column) -> Column:
+    """``placed_signatures`` of ``edited(text, other)``, given those of ``text``.
+
+    A signature depends on the ``REACH`` words before and behind its place and a word more, so those of the part that both texts begin
+    with are taken over; only the words from there on are looked at.
+    """
+    # The last words of that part may go on in the other text, or be written in another case before it.
+    same = F.size(words_of(_kept_part(text))) - 4
+
+    def of_words(x: Column) -> Column:
+        keep = F.greatest(x["same"] - 2 * REACH - CHAIN, F.lit(0))
+        begin = F.greatest(keep - REACH, F.lit(0))
+
+        def of_places(y: Column) -> Column:
+            def joined(name: str) -> Column:
+                return F.concat(F.slice(own[name], 1, y["keep"]), F.slice(y["placed"][name], y["keep"] - y["begin"] + 1, F.size(y["placed"][name])))
+
+            return F.struct(joined("chains").alias("chains"), joined("windows").alias("windows"))
+
+        tail = F.slice(x["words"], begin + 1, F.size(x["words"]))
+        return _with(
+            F.struct(keep.alias("keep"), begin.alias("begin"), _with(tail, placed_signatures).alias("placed")), of_places
+        )
+
+    return _with(F.struct(words_of(edited(text, other)).alias("words"), same.alias("same")), of_words)
+
+
+def signatures(text: Column, stretches: bool = False) -> Column:
+    """Sorted distinct signatures (40 bits each) of a text; with ``stretches`` also of the words that no chain covers."""
+
+    def of_words(words: Column) -> Column:
+        if stretches:
+            return _with(placed_signatures(words), lambda placed: as_set(placed["chains"], placed["windows"]))
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - CHAIN + 1))
+        windows = F.transform(starts, lambda p: _digest(F.slice(words, p, CHAIN)))
+        return _with(
+            as_set(chain_places(words)["digest"]),
+            lambda found: F.when((F.size(found) > 0) | (F.size(words) == 0), found).otherwise(as_set(windows)),
+        )
 
     return _with(words_of(text), of_words)
 
@@ -122,23 +179,27 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def fingerprint(signatures: Column) -> Column:
-    return F.array_join(signatures, "")
+    """Ten hexadecimal digits for each signature of a set."""
+    return F.array_join(F.transform(signatures, lambda s: F.lpad(F.lower(F.hex(s)), 10, "0")), "")
 
 
-def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text", carried: str | None = None) -> DataFrame:
     """``id``, ``text`` and ``next_text``: that of the next row by ascending id, after the last the first.
 
-    Ids are dealt into about ``sqrt(rows)`` buckets of equal width; each bucket is ordered by itself and has, behind its own rows, a
+    With ``carried``, a column that follows from the text, also that column and ``next_`` of it.  Ids are dealt into about ``sqrt(rows)``
+    buckets of equal width; each bucket is ordered by itself and has, behind its own rows, a
     copy of the first row of the next bucket.  One shuffle; only the list of buckets is ordered in one task.
     """
-    docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    known = docs.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
+    more = [carried] if carried else []
+    keys = docs.select(F.col(f"`{id}`").alias("id"))
+    docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias("carried") for c in more])
+    carry = ["carried"] if more else []
+    known = keys.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
     n, low, high = known["n"], known["low"] or 0, known["high"] or 0
     rows = max(256, math.isqrt(n))
     width = max(1, math.ceil((high - low + 1) * rows / max(n, 1)))
     bucket = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-    dealt = docs.withColumn("bucket", bucket)
-    heads = dealt.groupBy("bucket").agg(F.min("id").alias("first_id"))
+    heads = keys.withColumn("bucket", bucket).groupBy("bucket").agg(F.min("id").alias("first_id"))
     order = Window.orderBy("bucket")
     # To the bucket before; the first bucket's head goes behind the last one.
     ends = heads.agg(F.max("bucket").alias("last")).first()["last"]
@@ -147,21 +208,33 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
             F.col("first_id"), F.col("to").alias("bucket")
         )
     )
-    guests = docs.join(targets, docs["id"].eqNullSafe(targets["first_id"])).select("id", "text", "bucket", F.lit(1).alias("guest"))
-    together = dealt.withColumn("guest", F.lit(0)).unionByName(guests)
+    # A row that begins a bucket goes to its own bucket and to the one before it.
+    met = docs.join(targets.withColumnRenamed("bucket", "to"), docs["id"].eqNullSafe(targets["first_id"]), "left")
+    own = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
+    guest = F.struct(F.col("to").alias("bucket"), F.lit(1).alias("guest"))
+    places = F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, guest))
+    together = met.select("id", "text", *carry, F.explode(places).alias("place")).select("id", "text", *carry, "place.*")
     place = Window.partitionBy("bucket").orderBy("guest", "id", F.xxhash64("text"), "text")
     return (
-        together.withColumn("next_text", F.lead("text").over(place))
+        together.withColumns({f"next_{c}": F.lead(c).over(place) for c in ["text", *carry]})
         .filter("guest = 0")
-        .select(F.col("id").alias(id), F.col("text").alias(text), "next_text")
+        .select(
+            F.col("id").alias(id),
+            F.col("text").alias(text),
+            "next_text",
+            *[F.col(a).alias(b) for c in more for a, b in (("carried", c), ("next_carried", f"next_{c}"))],
+        )
     )
 
 
+def _kept_part(text: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - F.floor(F.length(text) / 4).cast("int"))
+
+
 def edited(text: Column, other: Column) -> Column:
     """``text`` with its last quarter replaced by as many characters from the start of ``other``."""
     text, other = F.coalesce(text, F.lit("")), F.coalesce(other, F.lit(""))
-    part = F.floor(F.length(text) / 4).cast("int")
-    return F.concat(F.substring(text, F.lit(1), F.length(text) - part), F.substring(other, F.lit(1), part))
+    return F.concat(_kept_part(text), F.substring(other, F.lit(1), F.floor(F.length(text) / 4).cast("int")))
 
 
 def near_duplicates(

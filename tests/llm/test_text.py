@@ -320,3 +320,45 @@ def test_plain_text_is_what_the_normalizer_makes():
     for part in ("é", "日", "ß\u00ad", "\x7f", "ø\x01"):
         signs = part.encode().decode("latin-1").translate(slack_packing.BYTE_SIGNS)
         assert signs == ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(part)[0][0]
+
+
+def spot_members(spots):
+    """The 40-bit digests of tuples of words, chained from word to word."""
+    import xxhash
+
+    out = set()
+    for words in spots:
+        seed = 42
+        for word in words:
+            seed = xxhash.xxh64_intdigest(word.encode(), seed=seed)
+        out.add(f"{seed >> 24:010x}")
+    return out
+
+
+def test_spots_of_edited_texts_by_member(spark, make, tmp_path):
+    import hashlib
+    import random
+
+    from daymart.llm.queries import op9_spotsigs
+
+    draw = random.Random(5)
+    pool = ["in", "the", "и", "ΟΔΟΣ", "é.", "a'", "x", "red", "lamp", "de", "la", "foo", "один", "two2", "\n", "ΣΑΣ.", "-"]
+    texts = {}
+    for k in range(120):
+        size = draw.choice([0, 1, 2, 3, 5, 9, 20, 60, 400])
+        kind = pool if k % 3 else pool[:3] + ["lamp"]
+        texts[k] = draw.choice(["", " "]).join(draw.choice(kind) + draw.choice(["", " "]) for _ in range(size))
+    texts[7], texts[50], texts[51] = None, "the red lamp " * 20_000, texts[49]
+    make([(k, t, "en", "s") for k, t in texts.items()]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in op9_spotsigs(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for k, r in got.items():
+        own, after = texts[k] or "", texts[(k + 1) % len(texts)] or ""
+        part = len(own) // 4
+        new = own[: len(own) - part] + after[:part]
+        sets = [spot_members(brute_stretches(t)) for t in (own, new, after)]
+        assert r["fingerprint"] == "".join(sorted(sets[0])) and r["edited_fingerprint"] == "".join(sorted(sets[1])), k
+        assert r["edited_sha256"] == hashlib.sha256(new.encode()).hexdigest() and r["n_chars"] == len(own)
+        for name, other in (("near_edited", sets[1]), ("near_next", sets[2])):
+            both = len(sets[0] | other)
+            assert r[name] == pytest.approx(len(sets[0] & other) / both if both else 1.0)

@@ -78,15 +78,14 @@ def op8_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
-    # Once for each text: the next document's signatures come with it, those of the edited text differ from a place on only.
-    placed = spotsigs.placed_signatures(spotsigs.words_of(F.col("text"))).alias("placed")
-    rows = spotsigs.with_next(table(spark, folder, "documents").select("doc_id", "text", F.explode(F.array(placed)).alias("placed")), carried="placed")
-    new = spotsigs.edited_places(F.col("text"), F.col("next_text"), F.col("placed"))
+    # Once for each text: the next document's signatures are taken over, those of the edited text differ from a place on only.
+    rows = spotsigs.with_next(table(spark, folder, "documents"), derive=lambda text: spotsigs.placed_signatures(spotsigs.words_of(text)))
+    new = spotsigs.edited_places(F.col("text"), F.col("next_text"), F.col("derived"))
     marked = rows.select(
         "doc_id",
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
         F.sha2(spotsigs.edited(F.col("text"), F.col("next_text")), 256).alias("edited_sha256"),
-        F.explode(F.array(F.struct(F.col("placed").alias("own"), new.alias("new"), F.col("next_placed").alias("next")))).alias("p"),
+        F.explode(F.array(F.struct(F.col("derived").alias("own"), new.alias("new"), F.col("next_derived").alias("next")))).alias("p"),
     )
     s, p = F.col("s"), F.col("p")
     sets = F.struct(*[spotsigs.as_set(p[k]["chains"], p[k]["windows"]).alias(k) for k in ("own", "new", "next")])

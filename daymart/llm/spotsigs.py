@@ -21,6 +21,7 @@ rows that repeat an id are handled each for itself, ordered by text; a NULL id c
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,23 +184,23 @@ def fingerprint(signatures: Column) -> Column:
     return F.array_join(F.transform(signatures, lambda s: F.lpad(F.lower(F.hex(s)), 10, "0")), "")
 
 
-def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text", carried: str | None = None) -> DataFrame:
+def with_next(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", derive: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """``id``, ``text`` and ``next_text``: that of the next row by ascending id, after the last the first.
 
-    With ``carried``, a column that follows from the text, also that column and ``next_`` of it.  Ids are dealt into about ``sqrt(rows)``
-    buckets of equal width; each bucket is ordered by itself and has, behind its own rows, a
+    With ``derive``, also ``derived`` and ``next_derived``: what it makes of the two texts, computed once for each row and not shuffled.  Ids
+    are dealt into about ``sqrt(rows)`` buckets of equal width; each bucket is ordered by itself and has, behind its own rows, a
     copy of the first row of the next bucket.  One shuffle; only the list of buckets is ordered in one task.
     """
-    more = [carried] if carried else []
-    keys = docs.select(F.col(f"`{id}`").alias("id"))
-    docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"), *[F.col(f"`{c}`").alias("carried") for c in more])
-    carry = ["carried"] if more else []
-    known = keys.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
+    docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    known = docs.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
     n, low, high = known["n"], known["low"] or 0, known["high"] or 0
     rows = max(256, math.isqrt(n))
     width = max(1, math.ceil((high - low + 1) * rows / max(n, 1)))
     bucket = F.coalesce(F.floor((F.col("id") - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-    heads = keys.withColumn("bucket", bucket).groupBy("bucket").agg(F.min("id").alias("first_id"))
+    dealt = docs.withColumn("bucket", bucket)
+    heads = dealt.groupBy("bucket").agg(F.min("id").alias("first_id"))
     order = Window.orderBy("bucket")
     # To the bucket before; the first bucket's head goes behind the last one.
     ends = heads.agg(F.max("bucket").alias("last")).first()["last"]
@@ -208,22 +209,15 @@ def with_next(docs: DataFrame, id: str = "doc_id", text: str = "text", carried:
             F.col("first_id"), F.col("to").alias("bucket")
         )
     )
-    # A row that begins a bucket goes to its own bucket and to the one before it.
-    met = docs.join(targets.withColumnRenamed("bucket", "to"), docs["id"].eqNullSafe(targets["first_id"]), "left")
-    own = F.struct(bucket.alias("bucket"), F.lit(0).alias("guest"))
-    guest = F.struct(F.col("to").alias("bucket"), F.lit(1).alias("guest"))
-    places = F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, guest))
-    together = met.select("id", "text", *carry, F.explode(places).alias("place")).select("id", "text", *carry, "place.*")
-    place = Window.partitionBy("bucket").orderBy("guest", "id", F.xxhash64("text"), "text")
-    return (
-        together.withColumns({f"next_{c}": F.lead(c).over(place) for c in ["text", *carry]})
-        .filter("guest = 0")
-        .select(
-            F.col("id").alias(id),
-            F.col("text").alias(text),
-            "next_text",
-            *[F.col(a).alias(b) for c in more for a, b in (("carried", c), ("next_carried", f"next_{c}"))],
-        )
+    guests = docs.join(targets, docs["id"].eqNullSafe(targets["first_id"])).select("id", "text", "bucket", F.lit(1).alias("guest"))
+    together = dealt.withColumn("guest", F.lit(0)).unionByName(guests).withColumn("mixed", F.xxhash64("text"))
+    place = Window.partitionBy("bucket").orderBy("guest", "id", "mixed", "text")
+    rows = together.withColumn("next_text", F.lead("text").over(place))
+    if derive:
+        # Behind the shuffle, where the rows already lie in this order.
+        rows = rows.withColumn("derived", derive(F.col("text"))).withColumn("next_derived", F.lead("derived").over(place))
+    return rows.filter("guest = 0").select(
+        F.col("id").alias(id), F.col("text").alias(text), "next_text", *(["derived", "next_derived"] if derive else [])
     )
 
 

@@ -552,6 +552,25 @@ SELECT o_orderkey, day, isodow(day) <= 5 AND day NOT IN (SELECT holiday FROM hol
 FROM orders JOIN counted ON CAST(o_orderdate AS DATE) = day""",
     "holidays",
 )
+_add(
+    "business_days_by_country",
+    """WITH placed AS (
+  SELECT o_orderkey, 'C' || CAST(o_custkey % 4 AS STRING) AS country, CAST(o_orderdate AS DATE) AS day FROM orders),
+trading AS (
+  SELECT c.country, s.day
+  FROM (SELECT DISTINCT country FROM placed) c,
+       (SELECT CAST(UNNEST(generate_series(DATE '1990-01-01', DATE '2005-12-31', INTERVAL 1 DAY)) AS DATE) AS day) s
+  WHERE isodow(s.day) <= 5 AND NOT EXISTS (SELECT 1 FROM country_holidays h WHERE h.country = c.country AND h.holiday = s.day)),
+counted AS (
+  SELECT d.country, d.day, SUM(CASE WHEN x.day >= DATE '1998-01-01' AND x.day <= d.day THEN 1
+                                    WHEN x.day < DATE '1998-01-01' AND x.day > d.day THEN -1 ELSE 0 END) AS n,
+         COUNT(CASE WHEN x.day = d.day THEN 1 END) > 0 AS open
+  FROM (SELECT DISTINCT country, day FROM placed) d JOIN trading x ON x.country = d.country
+  GROUP BY d.country, d.day)
+SELECT p.o_orderkey, p.country, p.day, c.open AS is_trading_day, CAST(c.n AS BIGINT) AS day_count, CAST(6187 + c.n AS BIGINT) AS file_number
+FROM placed p JOIN counted c ON c.country = p.country AND c.day = p.day""",
+    "country_holidays",
+)
 _add(
     "trading_day_gate",
     """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders

@@ -551,6 +551,13 @@ def business_day_count(t: Tables) -> DataFrame:
     return days.join(table, "day").select("o_orderkey", "day", "is_trading_day", "day_count", "file_number")
 
 
+@query
+def business_days_by_country(t: Tables) -> DataFrame:
+    country = F.concat(F.lit("C"), (F.col("o_custkey") % 4).cast("string")).alias("country")
+    rows = t["orders"].select("o_orderkey", country, F.to_date("o_orderdate").alias("day"))
+    return calendar.trading_day_numbers(rows, "day", "country", t["country_holidays"], baseline=CALENDAR_START)
+
+
 @query
 def trading_day_gate(t: Tables) -> DataFrame:
     rows = t["orders"].select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_totalprice")

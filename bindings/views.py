@@ -118,6 +118,12 @@ VIEWS: dict[str, str] = {
         SELECT DISTINCT CAST(o_orderdate AS DATE) AS holiday FROM {orders}
         WHERE (month(o_orderdate) = 1 AND day(o_orderdate) = 1) OR (month(o_orderdate) = 8 AND day(o_orderdate) = 9)
            OR (month(o_orderdate) = 12 AND day(o_orderdate) = 25)""",
+    # Three countries keep some of them each, a fourth keeps none; some lines stand twice.
+    "country_holidays": """
+        SELECT 'C' || CAST(n.n_nationkey AS STRING) AS country, h.holiday
+        FROM {holidays} h JOIN {nation} n ON n.n_nationkey < 3 AND (month(h.holiday) + n.n_nationkey) % 3 <> 0
+        UNION ALL
+        SELECT 'C1', holiday FROM {holidays} WHERE month(holiday) = 12""",
     # financial statistics
     "wide_part": "SELECT p_partkey, p_size FROM {part}",
     "financials_raw": f"""

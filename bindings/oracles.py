@@ -583,6 +583,15 @@ _add(
     CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag, NULLIF(l_tax, 0) AS l_tax FROM lineitem""",
 )
 _add("delimited_read", "SELECT * FROM part")
+_add(
+    "delimited_rejects",
+    """SELECT p_partkey AS line_key, CASE WHEN reason IS NULL THEN p_brand END AS p_brand,
+       CASE WHEN reason IS NULL THEN CAST(p_size AS BIGINT) END AS p_size, CASE WHEN reason IS NULL THEN 'a' END AS mark,
+       CASE WHEN reason IS NOT NULL THEN concat_ws(';', p_partkey, p_brand, CAST(p_size AS STRING) || CASE WHEN p_partkey % 13 = 0 THEN 'x' ELSE '' END)
+            || CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN ';a;b' WHEN p_partkey % 5 = 0 THEN ';a;' ELSE ';a ' END END AS bad_line,
+       reason
+FROM (SELECT *, CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN 'fields' WHEN p_partkey % 13 = 0 THEN 'p_size' END AS reason FROM part) AS p""",
+)
 _add("partition_overwrite", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw", "ledger_raw")
 _add("committed_days", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw WHERE p_date <> DATE '2024-01-15'", "ledger_raw")
 _add(

@@ -591,6 +591,21 @@ def delimited_read(t: Tables) -> DataFrame:
     return landed_files.read_delimited(t.spark, path, t["part"].schema)
 
 
+@query
+def delimited_rejects(t: Tables) -> DataFrame:
+    """Every fifth line ends in a delimiter; some are short, some long, some have a number that is none."""
+    path = _scratch(t.spark, "damaged")
+    key = F.col("p_partkey")
+    size = F.concat(F.col("p_size").cast("string"), F.when(key % 13 == 0, "x").otherwise(""))
+    tail = F.when(key % 7 == 0, "").when(key % 11 == 0, ";a;b").when(key % 5 == 0, ";a;").otherwise(";a ")
+    t["part"].select(F.concat_ws(";", key.cast("string"), "p_brand", size).alias("line"), tail.alias("tail")).select(
+        F.concat("line", "tail")
+    ).write.text(path)
+    read = landed_files.read_delimited_tolerant(t.spark, path, schema_of("p_partkey BIGINT, p_brand STRING, p_size BIGINT, mark STRING"))
+    number = F.coalesce("p_partkey", F.split("bad_line", ";")[0].cast("long"))
+    return read.select(number.alias("line_key"), "p_brand", "p_size", "mark", "bad_line", "reason")
+
+
 @query
 def partition_overwrite(t: Tables) -> DataFrame:
     """All days written at once, one day emptied, a load that fails, then that day written again."""

@@ -36,6 +36,40 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
     return rows.select(*[typed(f) for f in schema.fields])
 
 
+def read_delimited_tolerant(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:
+    """As ``read_delimited``, but a line that cannot be used costs only itself; the schema's columns, ``bad_line`` and ``reason``.
+
+    A good line has NULL in both.  A bad one has NULL in the schema's columns, its text, and as reason ``fields`` for too few or too many
+    of them, or the name of the first column whose text is no value of its type.  Blank lines are skipped.  One pass, no shuffle.
+    """
+    names = [f.name for f in schema.fields]
+    parsed = ", ".join(f"`{n}` string" for n in [*names, "_unreadable"])
+    options = {"sep": sep, "columnNameOfCorruptRecord": "_unreadable"}
+    line = F.col("_line")
+    # A delimiter at the end is tolerated where the line has a field too many with it.
+    whole = F.from_csv(line, parsed, options)
+    shorter = F.from_csv(F.regexp_replace(line, rf"\Q{sep}\E\s*$", ""), parsed, options)
+    lines = spark.read.text(path).toDF("_line").where(F.trim(line) != "").withColumn("_whole", whole)
+    rows = lines.withColumn("_row", F.when(F.col("_whole._unreadable").isNull(), F.col("_whole")).otherwise(shorter))
+    texts = trimmed(rows.select("_line", "_row.*"), names)
+
+    def typed(field: T.StructField) -> Column:
+        text = F.col(field.name)
+        return text if isinstance(field.dataType, T.StringType) else F.nullif(text, F.lit("")).try_cast(field.dataType)
+
+    wrong = [
+        F.when((F.col(f.name) != "") & typed(f).isNull(), F.lit(f.name)) for f in schema.fields if not isinstance(f.dataType, T.StringType)
+    ]
+    reason = F.coalesce(F.when(F.col("_unreadable").isNotNull(), F.lit("fields")), *wrong, F.lit(None).cast("string"))
+    judged = texts.withColumn("_reason", reason)
+    good = F.col("_reason").isNull()
+    return judged.select(
+        *[F.when(good, typed(f)).alias(f.name) for f in schema.fields],
+        F.when(~good, line).alias("bad_line"),
+        F.col("_reason").alias("reason"),
+    )
+
+
 def read_price_file(spark: SparkSession, path: str, ds: dt.date | str, table: T.StructType) -> DataFrame:
     """One daily price file, stamped with its run date."""
     schema = T.StructType([T.StructField(n, table[n].dataType) for n in PRICE_FILE_FIELDS])

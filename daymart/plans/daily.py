@@ -10,14 +10,15 @@ such as posts around a local midnight, to ``*_other_days``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from functools import wraps
+from collections.abc import Callable, Mapping
+from functools import partial, wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymart.functions.dates import epoch_date
 from daymart.operators.ledger_fold import CHUNK_ROWS
+from daymart.operators.lookback import LOOKBACK_DAYS
 from daymart.plans import feeds, financials, marts, sentiment
 from daymart.plans.ledger import validated_ledger
 from daymart.plans.portfolio import portfolio_snapshot, portfolio_snapshot_intent
@@ -186,7 +187,7 @@ def run_portfolio(
     from its partition: lineage never grows with the number of days.  Prices may be absent on any day."""
     yesterday = _yesterday(warehouse, ds, first_day, "ledger")
     snapshot = portfolio_snapshot_intent if intent else portfolio_snapshot
-    prices = warehouse.read("stock_prices", allow_absent=True)
+    prices = warehouse.read_range("stock_prices", ds - dt.timedelta(days=LOOKBACK_DAYS), ds)
     warehouse.write("portfolio_snapshot", snapshot(warehouse.read("ledger", ds), yesterday, prices, ds), ds)
     if employees is not None:
         mart = marts.mart_portfolio(warehouse.read("portfolio_snapshot", ds), employees, ds)
@@ -221,3 +222,21 @@ def run_range(first: dt.date, last: dt.date, *steps: Callable[[dt.date], None])
         for step in steps:
             step(day)
         day += dt.timedelta(days=1)
+
+
+def run_stale(warehouse: Warehouse, first: dt.date, last: dt.date, steps: Mapping[str, Callable[[dt.date], None]]) -> list[tuple[str, dt.date]]:
+    """As ``run_range``, but only where it changes anything; what was run.
+
+    ``steps`` names a table that each step writes, in the order of a day.  A step runs on a day that it never wrote or of whose inputs one
+    is another now.  A day that comes out as it was, in whatever order of rows, leaves those behind it alone, so a change goes as far as it
+    has effects, along later days where a step reads the day before.
+    """
+    done = []
+
+    def step(table: str, ds: dt.date) -> None:
+        if warehouse.outdated(table, ds):
+            steps[table](ds)
+            done.append((table, ds))
+
+    run_range(first, last, *[partial(step, table) for table in steps])
+    return done

@@ -18,18 +18,40 @@ import datetime as dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymart.functions.dates import as_date
 
 WHOLE_EVERY = 32
+NO_ROWS = "0:0"
 
-#: {table: {"schema": JSON of the type, "days": {day: {"v": version or None, "rows": count}}}}
+#: {table: {"schema": JSON of the type, "days": {day: {"v": version or None, "rows": count, "digest": text, "inputs": {"table day": digest}}}}}
 Changes = dict[str, dict]
 
 
+def _digest_part(schema: T.StructType) -> Column:
+    """A number for a row, the same in any order of columns; NULLs count by place, which hashing alone leaves out."""
+    names = sorted(schema.names)
+    return F.xxhash64(F.lit(",".join(names)), *[F.col(f"`{n}`") for n in names], *[F.col(f"`{n}`").isNull() for n in names])
+
+
+def day_digest(entry: dict) -> str:
+    """What stands for the rows of a recorded day, in whatever order they were written."""
+    return entry.get("digest") or (NO_ROWS if entry["v"] is None else entry["v"])
+
+
+def with_inputs(changes: Changes, read: dict[tuple[str, str], str | None]) -> Changes:
+    """Record with every written day what was read for it: (table, day) -> digest, ``None`` for a day that was not there."""
+    result = merged({}, changes)
+    for name, entry in result.items():
+        for day, written in entry["days"].items():
+            inputs = {f"{t} {d}": digest for (t, d), digest in read.items() if (t, d) != (name, day)}
+            entry["days"][day] = {**written, "inputs": inputs} if inputs else written
+    return result
+
+
 def merged(state: Changes, changes: Changes) -> Changes:
     result = {name: {**entry, "days": dict(entry["days"])} for name, entry in state.items()}
     for name, entry in changes.items():
@@ -116,21 +138,26 @@ class Commits:
     def write(self, rows: DataFrame, schemas: dict[str, T.StructType], days: list[dt.date | str], route: str | None = None) -> Changes:
         """Write ``rows`` in one job and return what is to be published; every day of every table is replaced.
 
-        With ``route`` that column names the table of a row, else there is one table.  The counts are taken while the rows are written.
+        With ``route`` that column names the table of a row, else there is one table.  Counts and digests are taken while the rows are written.
         """
         days = sorted({as_date(d).isoformat() for d in days})
         version = f"w{uuid.uuid4().hex}"
         named = rows.withColumn("table", F.lit(next(iter(schemas))) if route is None else F.col(route))
         named = named if route is None else named.drop(route)
+        parts = [F.when(F.col("table") == name, _digest_part(schema)) for name, schema in schemas.items()]
+        named = named.withColumn("_part", F.coalesce(*parts).cast("decimal(28,0)"))
         counts, seen = {}, {}
         for t, name in enumerate(schemas):
             for d, day in enumerate(days):
                 seen[f"n{t}_{d}"] = (name, day)
-                counts[f"n{t}_{d}"] = F.count_if((F.col("table") == name) & (F.col("p_date") == F.lit(as_date(day))))
+                own = (F.col("table") == name) & (F.col("p_date") == F.lit(as_date(day)))
+                counts[f"n{t}_{d}"] = F.count_if(own)
+                counts[f"s{t}_{d}"] = F.sum(F.when(own, F.col("_part")))
         watched = Observation(version)
         staging = f"{self.root}/_staging/{version}"
         (
             named.observe(watched, *[column.alias(label) for label, column in counts.items()])
+            .drop("_part")
             .hint("rebalance", "table", "p_date")
             .write.partitionBy("table", "p_date")
             .parquet(staging)
@@ -148,7 +175,8 @@ class Commits:
                 files.mkdirs(target.getParent())
                 if not files.rename(source, target):
                     raise OSError(f"{name} {day}: the version could not be moved to {target}")
-            changes[name]["days"][day] = {"v": version if there else None, "rows": found.get(label) or 0}
+            entry = {"v": version if there else None, "rows": found.get(label) or 0}
+            changes[name]["days"][day] = {**entry, "digest": f"{entry['rows']}:{found[f's{label[1:]}']}"} if there else entry
         files.delete(self._path(staging), True)
         return changes
 
@@ -187,3 +215,39 @@ class Commits:
         if not frames:
             return self.spark.createDataFrame([], schema)
         return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    def digest(self, state: Changes, table: str, day: dt.date | str) -> str | None:
+        """The digest of a day; for a day without a record the names of its files; ``None`` for a day that is not there."""
+        day = as_date(day).isoformat()
+        entry = state.get(table, {"days": {}})["days"].get(day)
+        if entry is not None:
+            return day_digest(entry)
+        if not self.holds_files(table, day):
+            return None
+        found = self._files().listStatus(self._path(f"{self.root}/{table}/p_date={day}"))
+        names = sorted(f"{f.getPath().getName()} {f.getLen()}" for f in found if f.isFile())
+        return f"files {uuid.uuid5(uuid.NAMESPACE_OID, '/'.join(names)).hex}"
+
+    def changed_inputs(self, state: Changes, table: str, day: dt.date | str) -> list[str]:
+        """What a day was made from and is another now; none for a day that has no record or was made from nothing."""
+        entry = state.get(table, {"days": {}})["days"].get(as_date(day).isoformat()) or {}
+        return sorted(name for name, digest in entry.get("inputs", {}).items() if self.digest(state, *name.rsplit(" ", 1)) != digest)
+
+    def stale(self, state: Changes) -> dict[tuple[str, str], bool]:
+        """Days that a change reaches: true where an input of theirs is another now, false where only something behind an input is.
+
+        Works on the records alone, so it grows with the number of days and not with their rows.
+        """
+        days = [(table, day) for table, entry in state.items() for day in entry["days"]]
+        users: dict[str, list[tuple[str, str]]] = {}
+        for table, day in days:
+            for name in state[table]["days"][day].get("inputs", {}):
+                users.setdefault(name, []).append((table, day))
+        found = {key: True for key in days if self.changed_inputs(state, *key)}
+        reached = list(found)
+        while reached:
+            for key in users.get(" ".join(reached.pop()), []):
+                if key not in found:
+                    found[key] = False
+                    reached.append(key)
+        return found

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from daymart.functions.dates import as_date
 from daymart.schemas import table_schema
-from daymart.sinks.commits import Commits, merged
+from daymart.sinks.commits import Commits, merged, with_inputs
 from daymart.sinks.load import enforce
 
 
@@ -28,22 +29,24 @@ class Warehouse:
         self.spark, self.root = spark, root
         self.commits = Commits(spark, root)
         self._open: dict | None = None
+        self._seen: dict[tuple[str, str], str | None] = {}
 
     @contextmanager
     def step(self) -> Iterator[None]:
         """Publish what is written inside together at the end, and nothing of it if anything fails.
 
-        Inside, the step reads what it wrote itself.  Steps within steps belong to the outer one.
+        Inside, the step reads what it wrote itself.  Steps within steps belong to the outer one.  The days that were read are
+        recorded with those that were written, so that ``stale`` can tell when these have to be made again.
         """
         if self._open is not None:
             yield
             return
-        self._open = {}
+        self._open, self._seen = {}, {}
         try:
             yield
-            self.commits.publish(self._open)
+            self.commits.publish(with_inputs(self._open, self._seen))
         finally:
-            self._open = None
+            self._open, self._seen = None, {}
 
     def _state(self) -> dict:
         return merged(self.commits.state(), self._open or {})
@@ -57,14 +60,37 @@ class Warehouse:
         A day that was written without rows is empty.  What was never written raises ``MissingDay``, unless
         ``allow_absent`` says that the history may begin here.  A report has the columns it was last written with.
         """
-        schema = table_schema(name) if _known(name) else None
-        found = self.commits.read(self._state(), name, ds, schema)
+        schema, state = table_schema(name) if _known(name) else None, self._state()
+        if self._open is not None:
+            days = [as_date(ds).isoformat()] if ds is not None else self._days(state, name)
+            self._seen |= {(name, day): self.commits.digest(state, name, day) for day in days}
+        found = self.commits.read(state, name, ds, schema)
         if found is None:
             if not allow_absent:
                 raise MissingDay(f"{name} {ds or ''}".strip())
             return self.spark.createDataFrame([], schema or T.StructType())
         return found
 
+    def read_range(self, name: str, first: dt.date, last: dt.date) -> DataFrame:
+        """The days of a range that were ever written, from their folders only; none is needed."""
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+        parts = [self.read(name, day, allow_absent=True) for day in days if self.has(name, day)]
+        if self._open is not None:
+            self._seen |= {(name, d.isoformat()): None for d in days if (name, d.isoformat()) not in self._seen}
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], table_schema(name))
+
+    def _days(self, state: dict, name: str) -> list[str]:
+        recorded = state.get(name, {"days": {}})["days"]
+        return [*recorded, *self.commits.plain_days(name, recorded)]
+
+    def stale(self) -> dict[tuple[str, str], bool]:
+        """(table, day) that a change reaches since it was written: true where an input itself is another now, false further on."""
+        return self.commits.stale(self._state())
+
+    def outdated(self, name: str, ds: dt.date | str) -> bool:
+        """Whether the day was never written or one of its inputs is another now."""
+        return not self.has(name, ds) or bool(self.commits.changed_inputs(self._state(), name, ds))
+
     def has(self, name: str, ds: dt.date | str) -> bool:
         """Whether the day was ever written, with rows or without."""
         day = as_date(ds).isoformat()

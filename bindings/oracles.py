@@ -85,6 +85,15 @@ _add(
     "holdings", "stock_prices",
 )
 
+_add(
+    "price_asof_hot",
+    """SELECT Txn_Id, Stock_Code, run_date, CASE WHEN near THEN p_date END AS p_date, CASE WHEN near THEN Close END AS Close FROM (
+      SELECT a.*, q.p_date, q.Close, a.run_date - q.p_date <= 1 AS near
+      FROM (SELECT Txn_Id, CASE WHEN Txn_Id % 2 = 0 THEN 'T1' ELSE Ticker END AS Stock_Code, p_date AS run_date FROM ledger_raw) a
+      ASOF LEFT JOIN stock_prices q ON a.Stock_Code = q.Stock_Code AND a.run_date >= q.p_date) AS found""",
+    "ledger_raw", "stock_prices",
+)
+
 # ---- ledger and portfolio -------------------------------------------------------------
 
 SIGNED = "CASE WHEN Txn_Type = 'BUY' THEN Amount ELSE -Amount END"
@@ -414,6 +423,26 @@ _add(
 )
 _K = """CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT)"""
 _add("json_extract", f"SELECT event_id, {_K} AS k, value AS rate FROM events")
+_add("variant_rates", "SELECT event_id, CASE WHEN event_id % 7 <> 0 AND event_id % 5 <> 0 THEN value END AS rate FROM events")
+_add(
+    "unknown_fields",
+    """SELECT field, kind, 2 * count(*) AS n_records FROM (
+      SELECT 'id' AS field, 'BIGINT' AS kind FROM events
+      UNION ALL SELECT event_type, CASE event_type WHEN 'view' THEN 'STRING' ELSE 'BOOLEAN' END FROM events) AS f
+    GROUP BY field, kind""",
+)
+_add(
+    "page_gaps",
+    """WITH landed AS (SELECT DISTINCT o_orderstatus AS list_name, o_orderkey AS n FROM orders WHERE o_custkey % 3 <> 0),
+    wanted AS (SELECT list_name, unnest(range(0, max(n))) AS n FROM landed GROUP BY list_name),
+    absent AS (SELECT list_name, n FROM wanted EXCEPT SELECT list_name, n FROM landed),
+    runs AS (SELECT list_name, n, n - row_number() OVER (PARTITION BY list_name ORDER BY n) AS island FROM absent)
+    SELECT list_name, min(n) AS from_page, max(n) AS to_page FROM runs GROUP BY list_name, island""",
+)
+_add(
+    "numbered_pages",
+    "SELECT 'list' AS list_name, page_id AS page_number, CAST(length(replace(html, chr(10), '')) AS INT) AS n_chars FROM pages",
+)
 _add(
     "json_records",
     f"""SELECT event_id, {_K} AS k, 'page' AS kind FROM events UNION ALL SELECT event_id, {_K}, 'page' FROM events
@@ -594,6 +623,17 @@ FROM (SELECT *, CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN 'fields'
 )
 _add("partition_overwrite", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw", "ledger_raw")
 _add("committed_days", "SELECT Txn_Id, Analyst, Ticker, Amount, p_date FROM ledger_raw WHERE p_date <> DATE '2024-01-15'", "ledger_raw")
+_add(
+    "stale_days",
+    """WITH changed AS (
+      SELECT DISTINCT p_date FROM ledger_raw
+      WHERE p_date BETWEEN DATE '2024-01-13' AND DATE '2024-01-30' AND day(p_date) % 3 = 0 AND Amount > 90),
+    days AS (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS p_date)
+    SELECT 'shares' AS table_name, p_date, TRUE AS direct FROM changed
+    UNION ALL
+    SELECT 'totals', p_date, p_date IN (SELECT p_date FROM changed) FROM days WHERE p_date >= (SELECT min(p_date) FROM changed)""",
+    "ledger_raw",
+)
 _add(
     "routed_rows",
     """SELECT *, count(*) OVER (PARTITION BY route) AS written FROM (

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bindings.views import LEXICON, PAGE_LABELS, Tables
 from daymart import warehouse
 from daymart.functions import dates, numbers, text
-from daymart.operators import calendar, checks, lookback, pick
+from daymart.operators import asof, calendar, checks, lookback, pick
 from daymart.plans import feeds, financials, ledger, marts, portfolio, prices, sentiment
 from daymart.schemas import schema_of, table_schema
 from daymart.session import shared_dir
@@ -103,6 +103,14 @@ def latest_price_asof(t: Tables) -> DataFrame:
     )
 
 
+@query
+def price_asof_hot(t: Tables) -> DataFrame:
+    """The close that each entry's day knows, at most one day old; every second entry is one of a single code."""
+    code = F.when(F.col("Txn_Id") % 2 == 0, "T1").otherwise(F.col("Ticker")).alias("Stock_Code")
+    asked = t["ledger_raw"].select("Txn_Id", code, F.col("p_date").alias("run_date"))
+    return asof.asof_merge(asked, t["stock_prices"], ["Stock_Code"], "run_date", "p_date", ["Close"], tolerance_days=1, block_days=7)
+
+
 # ---- ledger and portfolio -------------------------------------------------------------
 
 
@@ -400,6 +408,47 @@ def json_records(t: Tables) -> DataFrame:
     return listed.unionByName(charted)
 
 
+@query
+def variant_rates(t: Tables) -> DataFrame:
+    """A number under a path that depends on the row; every seventh payload is no JSON, every fifth has a text in its place."""
+    day, kind = F.to_date("ts").cast("string"), F.col("event_id")
+    body = F.format_string('{"rates": {"%s": {"SGD": %s, "USD": 0.5}}}', day, F.when(kind % 5 == 0, '"none"').otherwise(F.col("value").cast("string")))
+    rows = t["events"].withColumn("payload", F.when(kind % 7 == 0, "{broken").otherwise(body))
+    path = F.concat(F.lit("$.rates['"), day, F.lit("'].SGD"))
+    return rows.select("event_id", payloads.value_at(F.col("payload"), path, "double").alias("rate"))
+
+
+@query
+def unknown_fields(t: Tables) -> DataFrame:
+    """Fields of landed records that the table does not name; they differ by the event's kind."""
+    kind = F.col("event_type")
+    record = F.concat(
+        F.lit('{"k": 1, "id": '), F.col("event_id").cast("string"), F.lit(', "'), kind, F.lit('": '),
+        F.when(kind == "view", F.lit('"seen"')).otherwise(F.lit("true")), F.lit("}"),
+    )
+    pages = t["events"].select(F.concat(F.lit('{"data": ['), record, F.lit(", 3, "), record, F.lit("]}")).alias("page"))
+    return payloads.unknown_fields(pages, "page", schema_of("k BIGINT"))
+
+
+@query
+def page_gaps(t: Tables) -> DataFrame:
+    """Pages that are missing among those landed, by list; numbers are those of orders, of which some were left out."""
+    listed = t["orders"].select(
+        F.col("o_orderstatus").alias("list_name"), F.col("o_orderkey").alias("page_number"), F.col("o_custkey").alias("c")
+    )
+    return landed_files.missing_pages(listed.where("c % 3 <> 0"), "list_name")
+
+
+@query
+def numbered_pages(t: Tables) -> DataFrame:
+    """Page files with their numbers, written by customer and read back: one file holds one page of one list."""
+    path = _scratch(t.spark, "pages")
+    t["pages"].select(F.format_string("list-%s", "page_id").alias("name"), F.col("html")).write.partitionBy("name").text(path)
+    pattern = r"/name=(list)-([0-9]+)/"
+    read = landed_files.read_numbered_pages(t.spark, path, pattern, of_path=True)
+    return read.select("list_name", "page_number", F.length(F.regexp_replace("payload", r"\n", "")).alias("n_chars"))
+
+
 @query
 def exchange_rate_table(t: Tables) -> DataFrame:
     used = prices.currencies_in_use(t["primary_prices"]).select("Currency").distinct()
@@ -643,6 +692,28 @@ def committed_days(t: Tables) -> DataFrame:
     return store.read(store.state(), "entries", None)
 
 
+@query
+def stale_days(t: Tables) -> DataFrame:
+    """Entries of all days, totals of each day on top of the day before, and shares made from the entries alone.  Then every third day
+    is written again, some without their largest entries, some with the same rows in another order."""
+    rows = t["ledger_raw"].select("Txn_Id", "Ticker", "Amount", "p_date")
+    store = commits.Commits(t.spark, _scratch(t.spark, "stale"))
+    days = [FIRST_DAY + dt.timedelta(days=i) for i in range((LAST_DAY - FIRST_DAY).days + 1)]
+    store.publish(store.write(rows, {"entries": rows.schema}, days))
+    made = rows.groupBy("p_date", "Ticker").agg(F.sum("Amount").alias("Amount"))
+    for name in ("totals", "shares"):
+        for day, part in store.write(made, {name: made.schema}, days)[name]["days"].items():
+            before = (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
+            read = [("entries", day), *([(name, before)] if name == "totals" else [])]
+            state = store.state()
+            written = {name: {"schema": made.schema.json(), "days": {day: part}}}
+            store.publish(commits.with_inputs(written, {key: store.digest(state, *key) for key in read}))
+    again = rows.where(~((F.dayofmonth("p_date") > 12) & (F.col("Amount") > 90))).repartition(3, "Txn_Id")
+    store.publish(store.write(again, {"entries": rows.schema}, days[2::3]))
+    found = [(table, dt.date.fromisoformat(day), direct) for (table, day), direct in store.stale(store.state()).items()]
+    return t.spark.createDataFrame(found, "table_name string, p_date date, direct boolean")
+
+
 @query
 def routed_rows(t: Tables) -> DataFrame:
     """Entries of the day, small ones, and those of other days to three tables by one job; each row with the count observed for its table."""

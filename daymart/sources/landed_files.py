@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,3 +79,34 @@ def read_price_file(spark: SparkSession, path: str, ds: dt.date | str, table: T.
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Every landed page file as one row of raw text (``payload``)."""
     return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
+
+
+def read_numbered_pages(spark: SparkSession, path: str, pattern: str = r"^(.+?)[-_]?([0-9]+)\.[^.]*$", of_path: bool = False) -> DataFrame:
+    """Landed page files as ``list_name, page_number, file, payload``: the file name without its number, and the number.
+
+    ``pattern`` has a group for each and is held against the file's name, or with ``of_path`` its whole path; a file that it does not
+    fit has NULL in both.  ``path`` may hold ``p_date=...`` folders; a
+    filter on that column leaves the folders of other days unlisted.
+    """
+    file = F.col("_metadata.file_path" if of_path else "_metadata.file_name")
+    fits = file.rlike(pattern)
+    pages = spark.read.text(path, wholetext=True, recursiveFileLookup=False)
+    folders = [c for c in pages.columns if c != "value"]
+    return pages.select(
+        F.when(fits, F.regexp_extract(file, pattern, 1)).alias("list_name"),
+        F.when(fits, F.regexp_extract(file, pattern, 2).try_cast("bigint")).alias("page_number"),
+        file.alias("file"),
+        F.col("value").alias("payload"),
+        *folders,
+    )
+
+
+def missing_pages(pages: DataFrame, *lists: str, number: str = "page_number", first: int = 0) -> DataFrame:
+    """Gaps in the page numbers of each list, as runs ``from_page`` to ``to_page``; the first page of a list is ``first``.
+
+    Pages behind the last landed one cannot be told from their numbers.  Repeated pages are one, pages without a number none.
+    """
+    landed = pages.where(F.col(number) >= first).select(*lists, F.col(number).alias("_n")).distinct()
+    earlier = F.coalesce(F.lag("_n").over(Window.partitionBy(*lists).orderBy("_n")), F.lit(first - 1))
+    gaps = landed.select(*lists, (earlier + 1).alias("from_page"), (F.col("_n") - 1).alias("to_page"))
+    return gaps.where("from_page <= to_page")

@@ -441,7 +441,8 @@ _add(
 )
 _add(
     "numbered_pages",
-    "SELECT 'list' AS list_name, page_id AS page_number, CAST(length(replace(html, chr(10), '')) AS INT) AS n_chars FROM pages",
+    """SELECT 'list' AS list_name, page_id % 32 AS page_number, CAST(sum(length(replace(html, chr(10), ''))) AS INT) AS n_chars
+    FROM pages GROUP BY page_id % 32""",
 )
 _add(
     "json_records",

@@ -97,10 +97,7 @@ def lookback_price_join(t: Tables) -> DataFrame:
 @query
 def latest_price_asof(t: Tables) -> DataFrame:
     held = t["holdings"].select("Analyst", "Ticker", F.col("p_date").alias("run_date"))
-    quotes = lookback.latest_price(t["stock_prices"]).withColumnRenamed("Stock_Code", "Ticker")
-    return held.join(quotes, ["run_date", "Ticker"], "left").select(
-        "run_date", "Analyst", "Ticker", F.col("p_date").alias("price_date"), "Actual_Price"
-    )
+    return lookback.with_latest_price(held, t["stock_prices"])
 
 
 @query
@@ -441,9 +438,9 @@ def page_gaps(t: Tables) -> DataFrame:
 
 @query
 def numbered_pages(t: Tables) -> DataFrame:
-    """Page files with their numbers, written by customer and read back: one file holds one page of one list."""
-    path = _scratch(t.spark, "pages")
-    t["pages"].select(F.format_string("list-%s", "page_id").alias("name"), F.col("html")).write.partitionBy("name").text(path)
+    """Page files with their numbers, written and read back; each holds the pages of one remainder."""
+    path, name = _scratch(t.spark, "pages"), F.format_string("list-%s", F.col("page_id") % 32)
+    t["pages"].select(name.alias("name"), F.regexp_replace("html", r"\n", "").alias("html")).repartition("name").write.partitionBy("name").text(path)
     pattern = r"/name=(list)-([0-9]+)/"
     read = landed_files.read_numbered_pages(t.spark, path, pattern, of_path=True)
     return read.select("list_name", "page_number", F.length(F.regexp_replace("payload", r"\n", "")).alias("n_chars"))

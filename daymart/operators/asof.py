@@ -25,12 +25,10 @@ def asof_merge(
     ``tolerance_days`` (between calendar days, both ends count), has NULLs.  Of several rows of ``right`` at one time the one with the largest
     ``values`` stands; a NULL value there is the value found.
     """
-    known = (
-        right.where(_complete(keys, right_time))
-        .groupBy(*keys, F.col(right_time).alias("_at"))
-        .agg(F.max(F.struct(F.col(right_time).alias("_at"), *values)).alias("_found"))
+    known = right.where(_complete(keys, right_time)).select(
+        *keys, F.col(right_time).alias("_at"), F.struct(F.col(right_time).alias("_at"), *values).alias("_found")
     )
-    asked = left.where(_complete(keys, time)).select(*keys, F.col(time).alias("_at")).distinct()
+    asked = left.where(_complete(keys, time)).select(*keys, F.col(time).alias("_at"))
     block = F.floor(F.unix_date(F.to_date("_at")) / F.lit(block_days)).alias("_block")
     points = known.unionByName(asked, allowMissingColumns=True).groupBy(*keys, "_at").agg(F.max("_found").alias("_found")).select("*", block)
     upto = Window.partitionBy(*keys, "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -8,6 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymart.operators.asof import asof_merge
+
 LOOKBACK_DAYS = 7  # both ends count, so eight days
 
 
@@ -39,3 +41,9 @@ def latest_price(prices: DataFrame, ds: dt.date | None = None, days: int = LOOKB
         .groupBy("run_date", "Stock_Code")
         .agg(F.max_by("Close", "p_date").alias("Actual_Price"), F.max("p_date").alias("p_date"))
     )
+
+
+def with_latest_price(held: DataFrame, prices: DataFrame, days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Rows with ``run_date`` and ``Ticker`` and the ``price_date`` and ``Actual_Price`` of ``latest_price``; no price is copied."""
+    quotes = prices.select(F.col("Stock_Code").alias("Ticker"), F.col("p_date").alias("price_date"), F.col("Close").alias("Actual_Price"))
+    return asof_merge(held, quotes, ["Ticker"], "run_date", "price_date", ["Actual_Price"], days)

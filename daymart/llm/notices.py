@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -69,9 +70,8 @@ class Search:
     def __init__(self, phrases: dict[str, str], notices: dict[str, str], rate: float = EDITS_PER_CHARACTER) -> None:
         self.phrases = phrases
         self.notices = [(notice, label, int(len(notice) * rate)) for notice, label in notices.items()]
-        self.patterns = [
-            regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}") for notice, _, edits in self.notices
-        ]
+        fuzzy = [f"(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}" for notice, _, edits in self.notices]
+        self.patterns = [(regex.compile(f), regex.compile(f"(?b){f}")) for f in fuzzy]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for k, (notice, _, edits) in enumerate(self.notices):
             for offset, piece in pieces(notice, edits):
@@ -99,23 +99,36 @@ class Search:
         for k, last in open_at.items():
             yield k, *last
 
+    def matches(self, k: int, line: str, start: int, stop: int) -> Iterator[regex.Match]:
+        """All places of a notice in a window.  The next place is looked for first and its best alignment only around it, since the best
+        match of a whole window hides those in front of it."""
+        notice, _, edits = self.notices[k]
+        anywhere, best = self.patterns[k]
+        while found := anywhere.search(line, start, stop):
+            match = best.search(line, found.start(), min(stop, found.start() + len(notice) + 2 * edits))
+            yield match
+            start = match.end()
+
     def find(self, line: str) -> list[Found]:
         """Exact phrases and fuzzy notices of a reduced text, with positions counted in words."""
-        out = []
+        found = []  # label, start, end, edits, score, exact; places in characters
         for phrase, label in self.phrases.items():
-            size, at = phrase.count(" ") + 1, line.find(f" {phrase} ")
+            at = line.find(f" {phrase} ")
             while at >= 0:
-                word = line.count(" ", 0, at + 1) - 1
-                out.append(Found(label, word, word + size, 0, 1.0, True))
+                found.append((label, at + 1, at + 1 + len(phrase), 0, 1.0, True))
                 at = line.find(f" {phrase} ", at + 1)
         for k, start, stop in self.windows(line):
             notice, label, _ = self.notices[k]
-            for match in self.patterns[k].finditer(line, start, stop):
+            for match in self.matches(k, line, start, stop):
                 edits = sum(match.fuzzy_counts)
-                first = line.count(" ", 0, match.start() + 1) - 1
-                last = line.count(" ", 0, match.end()) - (1 if line[match.end() - 1] == " " else 0)
-                out.append(Found(label, first, max(last, first + 1), edits, 1 - edits / len(notice), False))
-        return out
+                first, end = match.span()
+                found.append((label, first + (line[first] == " "), end - (line[end - 1] == " "), edits, 1 - edits / len(notice), False))
+        if not found:
+            return []
+        spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 32)
+        first = np.searchsorted(spaces, [x[1] for x in found]) - 1
+        last = np.maximum(np.searchsorted(spaces, [x[2] for x in found]), first + 1)
+        return [Found(x[0], int(a), int(b), *x[3:]) for x, a, b in zip(found, first, last)]
 
 
 @lru_cache(1)

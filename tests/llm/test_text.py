@@ -73,6 +73,46 @@ def test_edited_notices_are_found_with_their_spans():
     assert not search.find(notices.reduced(prose(77, 2000))[0])
 
 
+def fewest_edits(notice, text):
+    """The edit distance of a notice and the part of the text that is nearest to it, by the whole table."""
+    above = [0] * (len(text) + 1)
+    for i, c in enumerate(notice, 1):
+        row = [i]
+        for j, d in enumerate(text, 1):
+            row.append(min(above[j - 1] + (c != d), above[j] + 1, row[-1] + 1))
+        above = row
+    return min(above)
+
+
+def test_an_edited_copy_before_cleaner_ones_is_found():
+    line, n_words = notices.reduced("relaesed under the mit license and released under the mit license " * 3)
+    found = sorted((x.first_word, x.edits) for x in notices.default_search().find(line) if not x.exact)
+    assert n_words == 33
+    assert found == [(w, e) for start in (0, 11, 22) for w, e in ((start, 2), (start + 6, 0))]
+
+
+def test_edits_against_the_whole_table():
+    draw, search = random.Random(6), notices.default_search()
+    for notice, label in notices.NOTICES.items():
+        limit = int(len(notice) * notices.EDITS_PER_CHARACTER)
+        for _ in range(12):
+            letters = list(notice)
+            for _ in range(draw.randint(0, limit + 2)):
+                letters[draw.randrange(len(letters))] = draw.choice("xyz")
+            line = notices.reduced("one two " + "".join(letters) + " three four")[0]
+            fewest = fewest_edits(notice, line)
+            found = [x.edits for x in search.find(line) if x.label == label and not x.exact and x.score >= 1 - (limit + 0.5) / len(notice)]
+            assert (min(found) == fewest) if fewest <= limit else True
+            assert bool(found) >= (fewest <= limit)
+
+
+def test_a_text_of_notices_only_takes_linear_time():
+    line = notices.reduced("released under the mit license cc by " * 20_000)[0]
+    found = notices.default_search().find(line)
+    assert sum(x.exact for x in found) == 20_000
+    assert sum(not x.exact and x.label == "mit" for x in found) == 20_000
+
+
 # ---- languages ----------------------------------------------------------------------------
 
 
@@ -86,6 +126,34 @@ def test_languages_held_out(spark):
     assert len(sure) > 0.8 * len(rows) and np.mean([r["lang_pred"] == r["lang"] for r in sure]) > 0.97
 
 
+def test_subwords_and_probabilities_by_hand():
+    text = "Ab, c"
+    counts = dict.fromkeys(range(language.BUCKETS), 0)
+    letters = [ord(c) for c in " ab  c "]
+    for size in (2, 3, 4):
+        for i in range(len(letters) - size + 1):
+            value = 0
+            for c in letters[i : i + size]:
+                value = (value * 257 + c) % 2**32
+            counts[value * 2654435761 % 2**32 >> 19] += 1
+    assert language.subwords(text).tolist() == list(counts.values())
+    draw = np.random.default_rng(1)
+    model = language.Identifier(["a", "b", "c"], draw.normal(size=(language.BUCKETS, 3)), np.array([0.1, 0.0, -0.1]), 0.5)
+    z = [sum(n * model.logits[k, j] for k, n in counts.items()) / sum(counts.values()) + model.bias[j] for j in range(3)]
+    p = [float(np.exp(v)) / sum(float(np.exp(w)) for w in z) for v in z]
+    best = max(range(3), key=p.__getitem__)
+    found = model.predict(text)
+    assert found[0] == "abc"[best] and abs(found[1] - p[best]) < 1e-9 and found[2] == (p[best] >= 0.5)
+
+
+def test_every_labelled_language_is_learnt_and_a_repeated_text_counts_once(make):
+    texts = [(f"l{k}", f"{chr(97 + k % 26)}{chr(97 + k // 26)} word {i}") for k in range(230) for i in range(2)]
+    model = language.fit(make([(1, t, k, "s") for k, t in texts] + [(None, "aa word 0", "l0", "s")] * 50))
+    assert model.languages == sorted({k for k, _ in texts})
+    few = language.fit(make([(i, t, k, "s") for i, (k, t) in enumerate(texts)]), rows_in_all=100)
+    assert 0 < len(few.languages) < 230
+
+
 def test_languages_of_messy_rows(make, messy):
     docs = make(messy + [(20, "123 !?", "en", "a")])
     model = language.fit(docs)

@@ -2,8 +2,8 @@
 
 A text is the average of the embeddings of its byte 2-, 3- and 4-grams, hashed into a fixed number of buckets; a
 linear layer and a softmax turn it into probabilities.  Plain stochastic gradient descent in numpy fits both on a
-sample of about ``rows_per_language`` texts of each of the ``max_languages`` most frequent languages, chosen by a
-hash of the id.  A fifth of the sample calibrates: a temperature for the probabilities and the lowest
+sample of different texts of every labelled language, chosen by a hash of the text: about ``rows_per_language`` of each, and fewer
+where that would be more than ``rows_in_all``.  A fifth of the sample calibrates: a temperature for the probabilities and the lowest
 score at which predictions are right with probability ``precision``; below it ``accepted`` is false.
 
 Since averaging and the layer are linear, scoring needs one logit per bucket and language only.
@@ -141,24 +141,19 @@ def _sample_rows(frame: DataFrame) -> list:
 
 def fit(
     docs: DataFrame,
-    id: str = "doc_id",
     text: str = "text",
     label: str = "lang",
     rows_per_language: int = 1_000,
-    max_languages: int = 200,
+    rows_in_all: int = 200_000,
     precision: float = 0.99,
 ) -> Identifier:
-    """Learn from the rows with a label and a letter."""
-    known = docs.select(F.col(id).alias("id"), F.col(f"`{text}`").alias("text"), F.col(label).alias("label")).filter(
-        F.col("text").rlike("\\p{L}") & F.col("label").isNotNull()
-    )
-    counts = docs.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
-    common = counts.orderBy(F.desc("n"), "label").limit(max_languages).collect()
-    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    wanted = F.lit(False)
-    for row in common:
-        wanted = wanted | ((F.col("label") == row["label"]) & (draw < round(1_000_000 * min(1.0, rows_per_language / row["n"]))))
-    rows = _sample_rows(known.filter(wanted))
+    """Learn from the rows with a label and a letter; a text that repeats teaches a language once."""
+    labelled = docs.select(F.col(f"`{text}`").alias("text"), F.col(label).alias("label")).filter(F.col("label").isNotNull())
+    counts = labelled.groupBy("label").agg(F.count("*").alias("_n"))
+    share = min(rows_per_language, rows_in_all / max(counts.count(), 1))
+    known = labelled.filter(F.col("text").rlike("\\p{L}")).withColumn("id", F.xxhash64("text"))
+    drawn = known.join(counts, "label").filter(F.pmod("id", F.lit(1_000_000)) < F.lit(1e6 * share) / F.col("_n"))
+    rows = _sample_rows(drawn.drop("_n").dropDuplicates(["label", "id"]))
     return learn(
         [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["share"], np.float32)) for r in rows],
         [r["label"] for r in rows],

@@ -129,7 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     chosen = known.filter("label = 0").orderBy(*order).limit(rows_per_class).unionByName(
         known.filter("label = 1").orderBy(*order).limit(rows_per_class)
     ).select("id", "label")
+    # Of the texts of a repeated id one, so that the bound on rows holds.
     texts = docs.select(F.col(id).alias("id"), F.col(f"`{text}`").alias("text")).join(chosen, "id")
+    texts = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = sorted((r["id"], r["label"], list(r["features"])) for r in featurised(texts, "text", "id", "label").collect())
     side = {k: np.array([r[2] for r in rows if r[1] == k]).reshape(-1, N_FEATURES) for k in (0, 1)}
     return learn(side[1], side[0], counts[0] / (counts[0] + counts[1]))

@@ -95,6 +95,39 @@ def test_pairwise_scores_held_out_texts(make, spark, labelled):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
 
 
+def test_pairwise_weights_against_plain_gradient_descent():
+    draw = np.random.default_rng(3)
+    n = pairwise_quality.N_FEATURES
+    good, bad = draw.normal(0.4, 1, (60, n)), draw.normal(0, 2, (50, n))
+    pairs, ridge = 2_000, 0.05
+    model = pairwise_quality.learn(good, bad, 0.4, pairs=pairs, ridge=ridge)
+    again = np.random.default_rng(7)
+    left, right = again.integers(0, len(good), pairs), again.integers(0, len(bad), pairs)
+    spread = np.vstack([good, bad]).std(0)
+    weights = np.zeros(n)
+    for _ in range(4_000):
+        slope = ridge * weights
+        gaps = (good[left] - bad[right]) / spread
+        slope = slope - (gaps / (1 + np.exp(gaps @ weights))[:, None]).mean(0)
+        weights = weights - 0.1 * slope
+    assert np.allclose(model.weights, weights, atol=1e-4)
+    scores = sorted([(s, 0.6 / 60) for s in model.raw(good)] + [(s, 0.4 / 50) for s in model.raw(bad)])
+    below = sum(w for s, w in scores if s < model.threshold)
+    assert abs(below - 0.4) <= 0.01
+
+
+def test_pairwise_takes_one_text_of_a_repeated_id(make, spark):
+    rows = [(i, f"word {i} " * (5 + i % 3), "en", "s") for i in range(8)] + [(1, "x " * k, "en", "s") for k in range(1, 40)]
+    taught = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, label int")
+    seen = []
+    learn, pairwise_quality.learn = pairwise_quality.learn, lambda good, bad, share: seen.append((len(good), len(bad)))
+    try:
+        pairwise_quality.fit(make(rows), taught)
+    finally:
+        pairwise_quality.learn = learn
+    assert seen == [(4, 4)]
+
+
 def test_pairwise_edge_cases(make, spark, messy):
     docs = make(messy)
     odd = [(1, 1), (1, 0), (2, 7), (None, 1), (5, None), (6, 1), (9, 0)]

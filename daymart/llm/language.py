@@ -26,6 +26,7 @@ from daymart.llm.tables import extended
 
 BUCKETS = 1 << 13
 WIDTH = 16
+BROADCAST_LANGUAGES = 100_000
 _LETTERS = np.full(256, 32, np.uint32)
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
@@ -150,7 +151,9 @@ def fit(
     """Learn from the rows with a label and a letter; a text that repeats teaches a language once."""
     labelled = docs.select(F.col(f"`{text}`").alias("text"), F.col(label).alias("label")).filter(F.col("label").isNotNull())
     counts = labelled.groupBy("label").agg(F.count("*").alias("_n"))
-    share = min(rows_per_language, rows_in_all / max(counts.count(), 1))
+    languages = counts.count()
+    share = min(rows_per_language, rows_in_all / max(languages, 1))
+    counts = F.broadcast(counts) if languages <= BROADCAST_LANGUAGES else counts  # a label and a number each
     known = labelled.filter(F.col("text").rlike("\\p{L}")).withColumn("id", F.xxhash64("text"))
     drawn = known.join(counts, "label").filter(F.pmod("id", F.lit(1_000_000)) < F.lit(1e6 * share) / F.col("_n"))
     rows = _sample_rows(drawn.drop("_n").dropDuplicates(["label", "id"]))

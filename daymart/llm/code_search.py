@@ -6,14 +6,17 @@ that brings all rows to the same length; queries have zero there.
 
 Search: a code is cut into substrings of 16 bits.  Two codes within the radius ``m * a + b`` of ``m`` substrings agree up to ``a`` bits in one of the
 first ``b + 1`` or up to ``a - 1`` bits in one of the others, so probing each substring's index to these depths finds every code within the radius, and no
-other way is taken to candidates.  A depth is probed by its bit patterns, or over the occupied buckets where these are fewer.  Candidates within the radius are
-ranked by the inner product of the vectors as they are, added up in double precision in the order of the entries, so equal vectors score equally.
+other way is taken to candidates.  Most near codes agree far better in some substring than this worst case, so the depths are those of a smaller
+number, the reach.  A depth is probed by its bit patterns, or over the occupied buckets where these cost less.  Candidates within the radius are
+ranked by the inner product of the vectors as they are, added up in double precision in the order of the entries, so equal vectors score equally;
+so are only those that a matrix product, less its greatest possible error, doesn't put behind ``k`` others.
 
-The radius is learned: on the sample, ``share`` of the true nearest rows of sampled queries lie within it.  A query that finds fewer than
-``k`` rows, though there are more, is searched again with the full length of the code as the radius, that is, against all rows.
+Radius and reach are learned: sampled queries are compared with all rows, one pass over the table, and ``share`` of their true ``k`` nearest rows lie within
+both.  The more rows, the nearer these are, and the smaller are radius and reach.  A query that finds fewer than ``k`` rows, though there are
+more, is searched again with the full length of the code as the radius, that is, against all rows.
 
 Queries and rows meet in blocks of bounded size, dealt by place and not by content, so copies of one vector lie in all blocks.  Each block of rows
-builds its own indexes and gives ``k`` rows for each query; these are merged.
+builds its own indexes and gives ``k`` rows for each query; these are merged.  Where blocks of rows are fewer than tasks, the queries are dealt to more blocks.
 
 Defined results: vectors that are NULL, empty or zero or hold NULL or infinite entries or NaN take no part, nor do those of another length than the
 most frequent one.  An id over several rows: they all are candidates, but not for a query of the same id; as a query it counts once, with the least of its
@@ -33,16 +36,17 @@ from pyspark.sql import functions as F
 from daymart.llm.tables import usable, usual_length, written
 
 SUBSTRING = 16
-QUERY_BLOCK, ROW_BLOCK, LEAST_ROW_BLOCK, AT_ONCE = 8192, 65_536, 4096, 128
+QUERY_BLOCK, LEAST_QUERY_BLOCK, ROW_BLOCK, LEAST_ROW_BLOCK, AT_ONCE = 8192, 256, 65_536, 16_384, 128
 
 
 @dataclass(frozen=True)
 class Codes:
-    """Directions of the code (one column for each bit), the greatest length of a row, and the radius."""
+    """Directions of the code (one column for each bit), the greatest length of a row, the radius, and the reach of probing."""
 
     directions: np.ndarray
     longest: float
     radius: int
+    reach: int
 
     @property
     def bits(self) -> int:
@@ -85,25 +89,59 @@ def _matrix(column) -> np.ndarray:
     return values.reshape(len(flat), -1) if len(flat) else values.reshape(0, 0)
 
 
-def fit(rows: DataFrame, vector: str, k: int, bits: int = 256, sample_rows: int = 8192, sample_queries: int = 256, share: float = 0.98) -> Codes | None:
-    """Codes from at most ``sample_rows`` different vectors, those with the smallest digests; the greatest length is that of all rows."""
-    squared = F.aggregate(vector, F.lit(0.0), lambda total, c: total + c.cast("double") * c.cast("double"))
-    longest = rows.agg(F.sqrt(F.max(squared)).alias("longest")).collect()[0]["longest"]
-    if longest is None:
-        return None
-    drawn = rows.select(F.xxhash64(vector).alias("drawn"), vector).distinct().orderBy("drawn", vector).limit(sample_rows).toArrow()
-    plain = _matrix(drawn.column(vector))
-    asked = plain[:: max(1, len(plain) // sample_queries)]
-    directions = _directions(raised(plain, longest), bits)
-    codes, questions = coded(raised(plain, longest), directions), coded(np.hstack([asked, np.zeros((len(asked), 1))]), directions)
-    far = []
-    for question, vector_ in zip(questions, asked):
-        scores = plain @ vector_
-        near = np.argsort(-scores, kind="stable")[1 : k + 1]
-        far.append(distances(codes[near], question))
-    far = np.concatenate(far) if far else np.zeros(0, int)
-    radius = int(np.ceil(np.quantile(far, share))) if len(far) else bits
-    return Codes(directions, float(longest), radius)
+def _nearest_codes(rows: DataFrame, own: np.ndarray, asked: np.ndarray, directions: np.ndarray, longest: float, k: int) -> pa.Table:
+    """Codes of the true ``k`` nearest other rows of each query, compared with all rows, and the number of the query: ``(query, code)``."""
+    at_once = max(k, (1 << 20) // len(asked))
+
+    def nearest_of(batches):
+        score, vector = np.full((len(asked), k), -np.inf), np.zeros((len(asked), k, asked.shape[1]))
+        for batch in batches:
+            plain, ids = _matrix(batch.column("vector")), batch.column("id").fill_null(0).to_numpy(zero_copy_only=False)
+            null = batch.column("id").is_null().to_numpy(zero_copy_only=False)
+            for low in range(0, len(plain), at_once):
+                part = plain[low : low + at_once]
+                new = asked @ part.T
+                here = slice(low, low + len(part))
+                new[(own[:, None] == ids[here]) & ~null[here]] = -np.inf
+                both = np.hstack([score, new])
+                chosen = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                score = np.take_along_axis(both, chosen, 1)
+                kept = np.take_along_axis(vector, chosen.clip(max=k - 1)[..., None], 1)
+                vector = np.where((chosen < k)[..., None], kept, part[(chosen - k).clip(min=0)])
+        query, place = np.nonzero(np.isfinite(score))
+        codes = coded(raised(vector[query, place], longest), directions)
+        columns = [pa.array(query, pa.int32()), pa.array(score[query, place]), pa.array([c.tobytes() for c in codes], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["query", "score", "code"])
+
+    found = rows.select("id", "vector").mapInArrow(nearest_of, "query int, score double, code binary")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "code"))
+    return found.withColumn("place", place).where(F.col("place") <= k).select("query", "code").toArrow()
+
+
+def bounds(differing: np.ndarray, share: float) -> tuple[int, int]:
+    """Radius and reach that hold ``share`` of these near codes, given by the bits that differ in each substring."""
+    far, substrings = differing.sum(axis=1), differing.shape[1]
+    probed = (differing * substrings + np.arange(substrings)).min(axis=1)  # the least reach that finds a code
+    radius = int(np.quantile(far, (1 + share) / 2, method="higher"))
+    inside = np.sort(probed[far <= radius])
+    return radius, int(inside[min(len(inside), int(np.ceil(share * len(far)))) - 1])
+
+
+def fit(rows: DataFrame, queries: DataFrame, k: int, bits: int = 256, sample_rows: int = 8192, sample_queries: int = 256, share: float = 0.9995) -> Codes:
+    """Directions from at most ``sample_rows`` different vectors, those with the smallest digests, and bounds from the nearest of all rows to at most
+    ``sample_queries`` different queries, chosen likewise; the greatest length is that of all rows."""
+    squared = F.aggregate("vector", F.lit(0.0), lambda total, c: total + c.cast("double") * c.cast("double"))
+    longest = float(rows.agg(F.sqrt(F.max(squared)).alias("longest")).collect()[0]["longest"])
+    drawn = rows.select(F.xxhash64("vector").alias("drawn"), "vector").distinct().orderBy("drawn", "vector").limit(sample_rows).toArrow()
+    directions = _directions(raised(_matrix(drawn.column("vector")), longest), bits)
+    some = queries.groupBy("vector").agg(F.min("id").alias("id")).orderBy(F.xxhash64("vector"), "id").limit(sample_queries).toArrow()
+    own, asked = some.column("id").to_numpy(), _matrix(some.column("vector"))
+    near = _nearest_codes(rows, own, asked, directions, longest, k)
+    if not near.num_rows:
+        return Codes(directions, longest, bits, bits)
+    codes = np.frombuffer(b"".join(near.column("code").to_pylist()), np.uint16).reshape(near.num_rows, -1)
+    questions = coded(np.hstack([asked, np.zeros((len(asked), 1))]), directions)[near.column("query").to_numpy()]
+    return Codes(directions, longest, *bounds(np.bitwise_count(codes ^ questions).astype(np.int64), share))
 
 
 def depths(radius: int, substrings: int) -> list[int]:
@@ -112,11 +150,16 @@ def depths(radius: int, substrings: int) -> list[int]:
     return [whole if j <= rest else whole - 1 for j in range(substrings)]
 
 
+def _words(codes: np.ndarray) -> np.ndarray:
+    """Codes in words of 64 bits, a row for each word."""
+    return np.ascontiguousarray(np.pad(codes, ((0, 0), (0, -codes.shape[1] % 4))).view(np.uint64).T)
+
+
 class MultiIndex:
     """One index for each substring: rows in order of their bucket, and where the occupied buckets begin."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes, self.indexes = codes, []
+        self.codes, self.words, self.indexes = codes, _words(codes), []
         for j in range(codes.shape[1]):
             order = np.argsort(codes[:, j], kind="stable")
             keys, starts, sizes = np.unique(codes[order, j], return_index=True, return_counts=True)
@@ -126,40 +169,47 @@ class MultiIndex:
         """Pairs of query and occupied bucket that differ in ``depth`` bits at most."""
         patterns = _patterns(depth, len(keys))
         if patterns is None:
-            return np.nonzero(np.bitwise_count(asked[:, None] ^ keys[None, :]) <= depth)
-        probed = asked[:, None] ^ patterns[None, :]
-        bucket = np.searchsorted(keys, probed).clip(max=len(keys) - 1)
-        query, place = np.nonzero(keys[bucket] == probed)
-        return query, bucket[query, place]
-
-    def within(self, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs of query and row whose codes differ in ``radius`` bits at most."""
-        seen = np.zeros((len(asked), len(self.codes)), dtype=bool)
-        for j, depth in enumerate(depths(radius, self.codes.shape[1])):
+            hit = np.flatnonzero(np.bitwise_count(asked[:, None] ^ keys[None, :]) <= depth)
+            return hit // len(keys), hit % len(keys)
+        buckets = np.full(1 << SUBSTRING, -1, dtype=np.int32)
+        buckets[keys] = np.arange(len(keys))
+        bucket = buckets[asked[:, None] ^ patterns[None, :]].ravel()
+        hit = np.flatnonzero(bucket >= 0)
+        return hit // len(patterns), bucket[hit]
+
+    def within(self, asked: np.ndarray, radius: int, reach: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of query and row whose codes differ in ``radius`` bits at most; with a smaller ``reach``, those of them that its depths find."""
+        n = len(self.codes)
+        if radius >= SUBSTRING * self.codes.shape[1]:
+            return np.repeat(np.arange(len(asked)), n), np.tile(np.arange(n), len(asked))
+        seen = np.zeros((len(asked), n), dtype=bool)
+        for j, depth in enumerate(depths(radius if reach is None else min(reach, radius), self.codes.shape[1])):
             if depth < 0:
                 continue
             order, keys, starts, sizes = self.indexes[j]
             query, bucket = self._hits(asked[:, j], keys, depth)
             many = sizes[bucket]
-            offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            seen[np.repeat(query, many), order[np.repeat(starts[bucket], many) + offset]] = True
-        query, row = np.nonzero(seen)
-        kept = np.zeros(len(query), dtype=bool)
-        for low in range(0, len(query), 1 << 20):
-            part = slice(low, low + (1 << 20))
-            kept[part] = distances(asked[query[part]], self.codes[row[part]]) <= radius
-        return query[kept], row[kept]
+            place = np.arange(many.sum()) + np.repeat(starts[bucket] - (np.cumsum(many) - many), many)
+            seen.ravel()[np.repeat(query * n, many) + order[place]] = True
+        kept = []
+        for own, marked in zip(_words(asked).T, seen):
+            row = np.flatnonzero(marked)
+            far = np.zeros(len(row), dtype=np.int32)
+            for word, stored in zip(own, self.words):
+                far += np.bitwise_count(stored[row] ^ word)
+            kept.append(row[far <= radius])
+        return np.repeat(np.arange(len(asked)), [len(row) for row in kept]), np.concatenate(kept)
 
 
 _KNOWN: dict[int, np.ndarray] = {}
 
 
 def _patterns(depth: int, occupied: int) -> np.ndarray | None:
-    """All patterns of up to ``depth`` set bits; none where the occupied buckets are fewer."""
+    """All patterns of up to ``depth`` set bits; none where comparing the occupied buckets costs less, about a quarter of a pattern each."""
     size, ways = 0, 1
     for t in range(min(depth, SUBSTRING) + 1):
         size, ways = size + ways, ways * (SUBSTRING - t) // (t + 1)
-    if size >= occupied:
+    if 4 * size >= occupied:
         return None
     if depth not in _KNOWN:
         _KNOWN[depth] = np.array([sum(1 << b for b in chosen) for t in range(depth + 1) for chosen in combinations(range(SUBSTRING), t)], dtype=np.uint16)
@@ -174,7 +224,21 @@ def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def _block_search(codes: Codes, radius: int, k: int):
+def _foremost(query: np.ndarray, row: np.ndarray, asked: np.ndarray, stored: np.ndarray, longest: float, k: int) -> np.ndarray:
+    """Of pairs in order of their query, those that may be among its ``k`` best scores: a matrix product errs by less than ``slack``."""
+    near = np.ones(len(query), dtype=bool)
+    edges = np.flatnonzero(np.diff(query, prepend=-1, append=-1))
+    with np.errstate(all="ignore"):
+        for low, high in zip(edges[:-1], edges[1:]):
+            if high - low > k:
+                own = asked[query[low]]
+                rough = stored[row[low:high]] @ own
+                slack = 4 * len(own) * (np.finfo(float).eps * longest * np.abs(own).max() * np.sqrt(len(own)) + np.finfo(float).smallest_subnormal)
+                near[low:high] = ~(rough < np.partition(rough, -k)[-k] - slack)  # keeps all where it overflows
+    return near
+
+
+def _block_search(codes: Codes, radius: int, reach: int, k: int):
     def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
         out = ([], [], [])
         if queries.num_rows and rows.num_rows:
@@ -185,9 +249,11 @@ def _block_search(codes: Codes, radius: int, k: int):
             index = MultiIndex(coded(raised(stored, codes.longest), codes.directions))
             questions = coded(np.hstack([asked, np.zeros((len(asked), 1))]), codes.directions)
             for low in range(0, len(asked), AT_ONCE):
-                query, row = index.within(questions[low : low + AT_ONCE], radius)
+                query, row = index.within(questions[low : low + AT_ONCE], radius, reach)
                 other = (own[low + query] != ids[row]) | null[row]
                 query, row = query[other] + low, row[other]
+                near = _foremost(query, row, asked, stored, codes.longest, k)
+                query, row = query[near], row[near]
                 score = np.concatenate([scores(asked[query[p : p + 65536]], stored[row[p : p + 65536]]) for p in range(0, len(query), 65536)] or [np.zeros(0)])
                 order = np.lexsort((ids[row], null[row], -score, query))
                 query, row, score = query[order], row[order], score[order]
@@ -206,11 +272,12 @@ def _block_search(codes: Codes, radius: int, k: int):
     return search
 
 
-def _met(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, codes: Codes, radius: int, k: int) -> DataFrame:
+def _met(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, codes: Codes, radius: int, reach: int, k: int) -> DataFrame:
     """``query_id, vec_id, score``: the nearest rows of each block of rows."""
     slots = rows.sparkSession.sparkContext.defaultParallelism
     in_block = min(ROW_BLOCK, max(LEAST_ROW_BLOCK, n_rows // (3 * slots)))
-    of_rows, of_queries = -(-n_rows // in_block), -(-n_queries // QUERY_BLOCK)
+    of_rows = -(-n_rows // in_block)
+    of_queries = max(-(-n_queries // QUERY_BLOCK), min(-(-3 * slots // of_rows), -(-n_queries // LEAST_QUERY_BLOCK)))
 
     def dealt(frame: DataFrame, own: str, parts: int, other: str, others: int) -> DataFrame:
         numbered = frame.withColumn(own, F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
@@ -218,7 +285,7 @@ def _met(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, codes
 
     left = dealt(queries, "q_block", of_queries, "r_block", of_rows).groupBy("q_block", "r_block")
     right = dealt(rows, "r_block", of_rows, "q_block", of_queries).groupBy("q_block", "r_block")
-    return left.cogroup(right).applyInArrow(_block_search(codes, radius, k), "query_id long, vec_id long, score double")
+    return left.cogroup(right).applyInArrow(_block_search(codes, radius, reach, k), "query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, asked: Column, ids: str = "vec_id", vector: str = "embedding", k: int = 20, **options) -> DataFrame:
@@ -228,16 +295,13 @@ def nearest(vectors: DataFrame, asked: Column, ids: str = "vec_id", vector: str
     rows = rows.where(F.exists("vector", lambda c: c != 0))
     width = usual_length(rows, "vector")
     rows = rows.where(F.size("vector") == width)
-    codes = fit(rows, "vector", k, **options) if width else None
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if codes is None:
-        return empty
     queries = written(rows.where(F.col("asked") & F.col("id").isNotNull()).groupBy("id").agg(F.min("vector").alias("vector")))
     rows = rows.select("id", "vector")
     n_rows, n_queries = rows.count(), queries.count()
     if not n_queries:
-        return empty
-    found = written(_met(queries, rows, n_queries, n_rows, codes, codes.radius, k))
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    codes = fit(rows, queries, k, **options)
+    found = written(_met(queries, rows, n_queries, n_rows, codes, codes.radius, codes.reach, k))
 
     # Queries with fewer finds than they could have are asked again without a bound.
     own = rows.join(queries.select("id"), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
@@ -247,7 +311,7 @@ def nearest(vectors: DataFrame, asked: Column, ids: str = "vec_id", vector: str
     short = written(short)
     n_short = short.count()
     if n_short:
-        again = _met(short, rows, n_short, n_rows, codes, codes.bits, k)
+        again = _met(short, rows, n_short, n_rows, codes, codes.bits, codes.bits, k)
         found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(again)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

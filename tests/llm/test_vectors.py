@@ -79,6 +79,69 @@ def test_nearest(spark, vectors, share):
         assert [sorted(got[q]) for q in exact] == [expected[q] for q in exact]  # ranks, ties and scores to the last bit
 
 
+def test_reach_finds_what_its_depths_probe():
+    chance = np.random.default_rng(2)
+    codes = chance.integers(0, 1 << 16, (500, 16), dtype=np.uint16)
+    codes[250:] = codes[:250] ^ (chance.random((250, 16)) < 0.3)
+    for radius, reach in ((100, 30), (60, 17), (100, 300)):
+        query, row = code_search.MultiIndex(codes).within(codes[:40], radius, reach)
+        differing = np.bitwise_count(codes[:40, None] ^ codes[None]).astype(int)
+        found = (differing <= np.array(code_search.depths(min(radius, reach), 16))).any(axis=2) & (differing.sum(axis=2) <= radius)
+        assert sorted(zip(query.tolist(), row.tolist())) == list(zip(*map(np.ndarray.tolist, np.nonzero(found))))
+    near = chance.integers(0, 9, (1000, 16))
+    for share in (0.5, 0.99, 1.0):
+        radius, reach = code_search.bounds(near, share)
+        assert ((near <= np.array(code_search.depths(reach, 16))).any(axis=1) & (near.sum(axis=1) <= radius)).mean() >= share
+
+
+def test_bounds_are_those_of_all_rows(spark, monkeypatch):
+    """Each of 60 groups has 30 near vectors, but few in the sample, whose nearest are strangers: bounds from these would let in most rows."""
+    from pyspark.sql import functions as F
+
+    chance, seen, real = np.random.default_rng(4), [], code_search.fit
+    centres = chance.standard_normal((60, 24))
+    rows = [(i, (centres[i % 60] + chance.standard_normal(24) * 0.05).tolist()) for i in range(1800)]
+    monkeypatch.setattr(code_search, "fit", lambda *args, **options: seen.append(real(*args, **options)) or seen[-1])
+    got = {}
+    for r in code_search.nearest(_frame(spark, rows), F.col("vec_id") % 20 == 0, k=20, sample_rows=120).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    expected = _nearest(rows, lambda i: i % 20 == 0, 20)
+    assert sum(len(got[q] & {x[1] for x in expected[q]}) for q in expected) >= 0.97 * 20 * len(expected)
+    points = np.array([v for _, v in rows])
+    found = seen[0]
+    codes = code_search.coded(code_search.raised(points, found.longest), found.directions)
+    questions = code_search.coded(np.hstack([points[::20], np.zeros((90, 1))]), found.directions)
+    assert np.mean(code_search.distances(questions[:, None], codes[None]) <= found.radius) < 0.2
+
+
+def test_copies_do_not_fill_the_sampled_queries(spark, monkeypatch):
+    """The vector with the smallest digest has 300 copies; queries for these alone would give a radius of 0."""
+    from pyspark.sql import functions as F
+
+    chance, seen, real = np.random.default_rng(6), [], code_search.fit
+    rows = [(20 * i, chance.standard_normal(24).tolist()) for i in range(200)]
+    first = _frame(spark, rows).orderBy(F.xxhash64("embedding")).first()["embedding"]
+    rows += [(20 * i, first) for i in range(200, 500)]
+    monkeypatch.setattr(code_search, "fit", lambda *args, **options: seen.append(real(*args, **options)) or seen[-1])
+    assert code_search.nearest(_frame(spark, rows), F.col("vec_id") % 20 == 0, k=10, sample_queries=50).count() == 5000
+    assert seen[0].radius > 0
+
+
+def test_rough_scores_lose_nothing():
+    """Scores that differ by less than the error of a matrix product all stay, and so do all that overflow."""
+    chance = np.random.default_rng(5)
+    for scale in (1.0, 1e-170, 1e160):
+        stored = np.repeat(chance.standard_normal((1, 64)), 200, axis=0) * scale
+        stored[:, 5] *= 1 + np.arange(200) * 2.0**-52
+        asked = chance.standard_normal((3, 64)) * scale
+        query, row = np.repeat(np.arange(3), 200), np.tile(np.arange(200), 3)
+        with np.errstate(all="ignore"):
+            near = code_search._foremost(query, row, asked, stored, float(np.sqrt((stored**2).sum(axis=1).max())), 20)
+            for q in range(3):
+                best = np.argsort(-code_search.scores(np.repeat(asked[q : q + 1], 200, axis=0), stored), kind="stable")[:20]
+                assert near[200 * q + best].all()
+
+
 def test_all_rows_if_fewer_and_none(spark, vectors):
     from pyspark.sql import functions as F
 

@@ -330,7 +330,8 @@ def html_kv_pivot(t: Tables) -> DataFrame:
     return (
         t["statistics_pages"]
         .select("Ticker", html.key_values(F.col("html")).alias("pairs"))
-        .select("Ticker", *html.wide(F.col("pairs"), names))
+        .select("Ticker", html.first_values(F.col("pairs"), names).alias("values"))
+        .select("Ticker", *html.wide(F.col("values"), names))
     )
 
 

@@ -22,7 +22,8 @@ def financials_raw(pages: DataFrame, ticker: str, page: str, ds: dt.date | str)
     """
     names = [name for name, _ in FINANCIALS]
     parsed = _parsed(pages, ticker, page).where(F.size("_pairs") > 0)
-    wide = parsed.select(F.lit(as_date(ds)).alias("p_date"), "Ticker", *html.wide(F.col("_pairs"), names))
+    values = parsed.select("Ticker", html.first_values(F.col("_pairs"), names).alias("_values"))
+    wide = values.select(F.lit(as_date(ds)).alias("p_date"), "Ticker", *html.wide(F.col("_values"), names))
     numbers = [f.name for f in table_schema("financials_raw").fields if f.dataType.simpleString() == "double"]
     return enforce(
         wide.withColumns({n: F.col(n).try_cast("double") for n in numbers}), table_schema("financials_raw")
@@ -37,9 +38,10 @@ def financials_routed(pages: DataFrame, ticker: str, page: str) -> DataFrame:
     entry = "struct<name: string, value: string>"
     unknown = F.filter("_pairs", lambda p: ~p["name"].isin(names))
     each = F.concat(F.array(F.lit(None).cast(entry)), unknown)
-    rows = _parsed(pages, ticker, page).select("Ticker", "_pairs", F.posexplode_outer(each).alias("_place", "_entry"))
+    parsed = _parsed(pages, ticker, page).withColumn("_values", html.first_values(F.col("_pairs"), names))
+    rows = parsed.select("Ticker", "_pairs", "_values", F.posexplode_outer(each).alias("_place", "_entry"))
     own = (F.col("_place") == 0) & (F.size("_pairs") > 0)
-    values = [F.when(own, value).try_cast(kinds[name].dataType).alias(name) for name, value in zip(names, html.wide(F.col("_pairs"), names))]
+    values = [F.when(own, value).try_cast(kinds[name].dataType).alias(name) for name, value in zip(names, html.wide(F.col("_values"), names))]
     return rows.select(
         "Ticker",
         *values,

@@ -19,7 +19,8 @@ NEWS_FIELDS = {
     "source": r"""(?s)<img[^>]*alt="([^"]*)\"""",
 }
 
-TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
+# Up to the next closing tag, in runs instead of by single characters.
+TABLE_ROW = r"(?s)<tr[^>]*>((?:[^<]+|<(?!/tr>))*+)</tr>"
 ROW_CELL = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 
 
@@ -28,11 +29,12 @@ def all_matches(html: Column, pattern: str, group: int = 1) -> Column:
 
 
 def plain(fragment: Column) -> Column:
-    """Text of a fragment: tags dropped, the common entities decoded."""
-    text = F.regexp_replace(fragment, r"<[^>]*>", "")
+    """Text of a fragment: tags dropped, the common entities decoded.  Most fragments have neither and are only looked through."""
+    bare = F.when(F.contains(fragment, F.lit("<")), F.regexp_replace(fragment, r"<[^>]*>", "")).otherwise(fragment)
+    text = bare
     for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(sign))
-    return text
+    return F.when(F.contains(fragment, F.lit("&")), text).otherwise(bare)
 
 
 def items(
@@ -72,7 +74,22 @@ def key_values(html: Column) -> Column:
     )
 
 
-def wide(pairs: Column, names: Sequence[str]) -> list[Column]:
-    """One column per name: the first value under it.  Both the pairs and the wide row belong
+def first_values(pairs: Column, names: Sequence[str]) -> Column:
+    """The first value under each name, as an array in the order of the names; ``wide`` makes columns of it.
+
+    A column of its own, so that the pairs are looked through once for a page.  Dozens of look-ups side by side would make a
+    generated method too large for the JVM to compile.
+    """
+    page = F.array(F.struct(pairs["name"].alias("names"), pairs["value"].alias("values")))
+    wanted = F.array(*[F.lit(name) for name in names])
+    found = F.transform(
+        page,
+        lambda p: F.transform(wanted, lambda name: F.get(p["values"], F.array_position(p["names"], name).cast("int") - 1)),
+    )
+    return F.get(found, F.lit(0))
+
+
+def wide(values: Column, names: Sequence[str]) -> list[Column]:
+    """One column per name from the column of ``first_values``.  Both the pairs and the wide row belong
     to one page, so no shuffle is needed to turn one into the other."""
-    return [F.get(pairs["value"], F.array_position(pairs["name"], name).cast("int") - 1).alias(name) for name in names]
+    return [F.get(values, F.lit(i)).alias(name) for i, name in enumerate(names)]

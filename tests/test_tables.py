@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bindings.views import Tables
 from daymart.operators import calendar, checks, lookback, pick
 from daymart.plans import financials, marts, prices, sentiment
 from daymart.schemas import FINANCIAL_MEASURES, FINANCIALS, TABLE_NAMES, table_schema
@@ -185,6 +186,31 @@ def test_keyword_tags(rows):
 # ---- pages and payloads ---------------------------------------------------------------
 
 
+def test_first_values_of_a_page(rows):
+    page = (
+        "<tr><td>a</td><td>1 &amp; <b>2</b> </td></tr><tr x='<'><th>a</th><td>late</td></tr><tr><td>b</td></tr>"
+        "<tr><td>52 &lt;w&gt;</td><td></td></tr><tr><td>c</td><td>1</td><td>2</td></tr><tr><td>d</td><td>open"
+    )
+    pages = rows("html string", (page,), ("",), (None,))
+    names = ["_52_<w>", "a", "b", "c", "d"]
+    found = pages.select(html.first_values(html.key_values(F.col("html")), names).alias("values"))
+    got = [tuple(r) for r in found.select(*html.wide(F.col("values"), names)).collect()]
+    assert got == [("", "1 & 2", None, None, None), (None,) * 5, (None,) * 5]
+
+
+def test_names_are_looked_up_in_one_expression(rows, capsys):
+    found = rows("pairs array<struct<name: string, value: string>>", ([("n1", "x")],)).select(
+        html.first_values(F.col("pairs"), [f"n{i}" for i in range(60)]).alias("values")
+    )
+    found.select(*html.wide(F.col("values"), [f"n{i}" for i in range(60)])).explain()
+    assert capsys.readouterr().out.count("array_position") == 1
+
+
+def test_pages_of_one_small_file_are_many_tasks(spark):
+    pages = Tables(spark, "/root/testdata/sf0.001")["statistics_pages"]
+    assert pages.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
 def test_news_page(rows):
     page = """<html><article class="stocknewsitem"><img src="a.png" alt="The Paper"/>
       <div class="publisheddate">2022-04-04 09:30:00</div><div class="title">Up &amp; <b>away</b></div>

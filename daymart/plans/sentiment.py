@@ -150,12 +150,12 @@ def score_posts(
     """Append the compound lexicon score of ``text`` and its label.
 
     The caller decides how the lexicon travels: a mapping becomes part of the expression and every text is scored
-    where it lies; a table is joined to the tokens, and only (text digest, token, count) rows travel.
+    where it lies; a table is joined to the tokens, and sums travel by the digest of a text.
     """
     if not isinstance(lexicon, DataFrame):
         scored = posts.withColumn(score, compound(valence_sum(text, lexicon)))
     else:
-        keyed = posts.withColumn("_key", F.sha2(F.col(text), 256))
+        keyed = posts.withColumn("_key", _digest(text))
         scored = _with_joined_score(keyed, _sums_by_join(keyed, text, lexicon), score).drop("_key")
     return scored.withColumn(label, post_label(F.col(score)))
 
@@ -173,37 +173,41 @@ def scored_posts(
     """Scores of the first of equal posts, for reports that do not show the texts.
 
     ``same`` names the columns on which two posts count as equal; the columns ``texts`` are left out of the result.
-    Equal texts score alike, so scoring may come first, where the texts lie; then only scores and digests of the
-    columns are shuffled to find the copies, and no text is.
+    Equal texts score alike: by a mapping they are scored first, where the texts lie, by a table after the copies are gone.
+    Either way digests, sums and scores are shuffled, and no text is.
     """
-    digests = {f"_same{i}": F.sha2(F.col(c).cast("string"), 256) for i, c in enumerate(same)}
     shown = [c for c in cleaned.columns if c not in texts]
     if not isinstance(lexicon, DataFrame):
-        scored = cleaned.withColumns({score: compound(valence_sum(text, lexicon)), **digests}).select(*shown, score, *digests)
+        scored = cleaned.withColumns({score: compound(valence_sum(text, lexicon)), "_same": _digest(*same)})
+        scored = keep_first(scored.select(*shown, score, "_same"), ["_same"], [seq])
     else:
-        keyed = cleaned.withColumns({"_key": F.sha2(F.col(text), 256), **digests})
-        bare = keyed.select(*shown, "_key", *digests)
-        scored = _with_joined_score(bare, _sums_by_join(keyed, text, lexicon), score).drop("_key")
-    scored = scored.withColumn(label, post_label(F.col(score)))
-    return keep_first(scored, list(digests), [seq]).drop(*digests)
+        keyed = cleaned.withColumns({"_key": _digest(text), "_same": _digest(*same)})
+        first = keep_first(keyed.select(*shown, "_key", "_same"), ["_same"], [seq])
+        scored = _with_joined_score(first, _sums_by_join(keyed, text, lexicon), score).drop("_key")
+    return scored.withColumn(label, post_label(F.col(score))).drop("_same")
+
+
+def _digest(*columns: str) -> Column:
+    """32 bytes that are the same for equal values of the columns; a missing value equals another missing one only.
+
+    Never NULL: the filter for keys that Spark would infer below a join would clean and digest every text once more.
+    """
+    each = [F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("-")) for c in columns]
+    return F.coalesce(F.unhex(F.sha2(F.concat_ws(",", *each), 256)), F.lit(b""))
 
 
 def _sums_by_join(keyed: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
     """``_key`` and the exact sum of valences in thousandths of the text with that digest.
 
-    Tokens are counted over all copies of a text, and so are the copies; each copy adds the same, so the quotient is
-    whole.  No text is shuffled.
+    The lexicon meets the tokens first, so that with a lexicon small enough to be broadcast nothing is shuffled for a token, but one
+    row for each text and task.  Tokens are summed over all copies of a text, and the copies counted by their first tokens; each
+    copy adds the same, so the quotient is whole.  No text is shuffled.
     """
-    counts = (
-        keyed.select("_key", F.explode(tokens(F.col(text))).alias("token"))
-        .groupBy("_key", "token")
-        .agg(F.count("*").alias("_c"))
-    )
-    copies = keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count("*").alias("_copies"))
-    sums = counts.join(lexicon_weights(lexicon), "token").groupBy("_key").agg(F.sum(F.col("_w") * F.col("_c")).alias("_total"))
-    return copies.join(sums, "_key", "left").select(
-        "_key", F.expr("coalesce(_total, 0L) div _copies").alias("_sum")
-    )
+    placed = keyed.select("_key", F.posexplode(tokens(F.col(text))).alias("_place", "token"))
+    copies = F.count(F.when(F.col("_place") == 0, 1)).alias("_copies")
+    total = F.coalesce(F.sum("_w"), F.lit(0)).alias("_total")
+    sums = placed.join(lexicon_weights(lexicon), "token", "left").groupBy("_key").agg(total, copies)
+    return sums.select("_key", F.expr("_total div _copies").alias("_sum"))
 
 
 def _with_joined_score(keyed: DataFrame, sums: DataFrame, score: str) -> DataFrame:

@@ -157,6 +157,32 @@ def test_no_text_is_hashed_or_sorted_in_a_shuffle(rows, capsys):
                 assert "content#" not in line.split("),")[0], line
 
 
+def test_no_token_is_shuffled_to_meet_a_small_lexicon(rows, capsys):
+    posts = rows("seq bigint, content string, ticker string, p_date date", (1, "x", "A", DAY))
+    words = rows("token string, valence double", ("good", 1.9))
+    for frame in (
+        sentiment.score_posts(posts, "content", words),
+        sentiment.scored_posts(posts, "content", sentiment.SAME_SOCIAL, "seq", words),
+    ):
+        frame.explain()
+        keys = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(" in line]
+        assert not [line for line in keys if "token#" in line and "_key#" in line], keys
+
+
+def test_missing_values_are_no_texts(rows):
+    words = rows("token string, valence double", ("a", 1.0), ("-", 2.0))
+    posts = rows(
+        "id int, t string, k string, n int",
+        (1, None, "a", 1), (2, None, "a", 1), (3, "-", "a", 1), (4, "a", None, 1), (5, "a", "-", 1), (6, "a", "-", None),
+        (7, "a,a", "", 1), (8, "a", "a,", 1), (9, "", "", 1), (10, "", "", 1), (11, "a a", "", 1),
+    )
+    for lexicon in (words, {"a": 1.0, "-": 2.0}):
+        got = sentiment.scored_posts(posts, "t", ["t", "k", "n"], "id", lexicon, texts=("t",))
+        scores = {r.id: r.NLTK_score for r in got.collect()}
+        assert set(scores) == {1, 3, 4, 5, 6, 7, 8, 9, 11}
+        assert (scores[1], scores[3], scores[4], scores[9], scores[11]) == (None, 0.4588, 0.25, 0.0, 0.4588)
+
+
 def test_union_tolerates_missing_columns_and_empty_sources(spark, rows):
     empty = spark.createDataFrame([], "source string, title string")
     whole = sentiment.union_sources(empty, rows("title string, ticker string", ("x", "A")))
